@@ -14,7 +14,10 @@ def prefixed_hash(prefix: str, *keys: Column) -> Column:
     A null key counts as an empty text, so that its neighbours keep their place.
     """
     parts = [F.coalesce(k.cast("string"), F.lit("")) for k in keys]
-    return F.concat(F.lit(prefix), F.sha2(F.concat_ws("|", *parts), 256))
+    # sha2 counts as nullable. Without the coalesce a join on the id would hash
+    # every row a second time, to test it for null.
+    digest = F.coalesce(F.sha2(F.concat_ws("|", *parts), 256), F.lit(""))
+    return F.concat(F.lit(prefix), digest)
 
 
 def prefixed_uuid(prefix: str) -> Column:

@@ -47,29 +47,28 @@ def flat_orders_v1(envelopes: DataFrame, with_date: bool = False) -> DataFrame:
     return pick(envelopes, fields)
 
 
-def _items(envelopes: DataFrame, *carried: Column) -> DataFrame:
-    """One row per item with its position; an order without items gives none."""
+def _items(envelopes: DataFrame, carried: Mapping[str, str]) -> DataFrame:
+    """One row per item with its position; an order without items gives none.
+
+    The fields that the result carries are taken out before the expansion:
+    left inside their struct, the whole struct would be read and copied.
+    """
     if envelopes is None or not envelopes.columns:
         raise ValueError("order envelopes have no columns")
-    return envelopes.select(
-        "event_id",
-        "order_id",
-        *carried,
-        F.posexplode("order_details.items").alias("item_pos", "item"),
-    )
+    flat = pick(envelopes, {**carried, "items": "order_details.items"})
+    return flat.select(*carried, F.posexplode("items").alias("item_pos", "item"))
 
 
 def _packages(items: DataFrame) -> DataFrame:
     """One row per package of an item, with its position."""
-    kept = [c for c in items.columns if c != "item"]
-    return items.select(
-        *kept,
-        F.col("item.product_id"),
-        F.col("item.product_name"),
-        F.col("item.price").alias("price"),
-        F.col("item.quantity").alias("item_quantity"),
-        F.posexplode("item.packages").alias("package_pos", "package"),
-    )
+    return items.select("*", F.posexplode("item.packages").alias("package_pos", "package"))
+
+
+_ITEM_CONTEXT = {
+    "event_id": "event_id",
+    "order_id": "order_id",
+    "order_timestamp": "order_details.order_timestamp",
+}
 
 
 def item_rows(envelopes: DataFrame) -> DataFrame:
@@ -80,20 +79,17 @@ def item_rows(envelopes: DataFrame) -> DataFrame:
     order and the two positions, so that each query over the same envelopes
     sees the same ids.
     """
-    packages = _packages(
-        _items(envelopes, F.col("order_details.order_timestamp").alias("order_timestamp"))
-    )
-    units = F.col("item_quantity").cast("bigint") * F.col("package.quantity").cast("bigint")
-    return packages.select(
-        prefixed_hash(
-            "inv-", *(F.col(c) for c in ("event_id", "order_id", "item_pos", "package_pos"))
-        ).alias("inventory_id"),
+    rows = _packages(_items(envelopes, _ITEM_CONTEXT))
+    place = [F.col(c) for c in ("event_id", "order_id", "item_pos", "package_pos")]
+    units = _units()
+    return rows.select(
+        prefixed_hash("inv-", *place).alias("inventory_id"),
         "order_id",
-        "product_id",
-        "product_name",
-        F.col("price").alias("order_price"),
-        F.col("package.package_id"),
-        F.col("package.subpackage_id"),
+        "item.product_id",
+        "item.product_name",
+        F.col("item.price").alias("order_price"),
+        "package.package_id",
+        "package.subpackage_id",
         units.alias("items_quantity"),
         (units * F.col("package.weight")).alias("items_weight"),
         (units * F.col("package.volume")).alias("items_volume"),
@@ -102,13 +98,26 @@ def item_rows(envelopes: DataFrame) -> DataFrame:
     )
 
 
+def _units() -> Column:
+    return F.col("item.quantity").cast("bigint") * F.col("package.quantity").cast("bigint")
+
+
+def item_quantities(envelopes: DataFrame) -> DataFrame:
+    """The part of the order items that stock needs. Works on envelopes read
+    with ``schemas.DEMAND_FIELDS`` alone, a fraction of their columns."""
+    return _packages(_items(envelopes, {})).select(
+        "package.package_id",
+        "package.subpackage_id",
+        _units().alias("items_quantity"),
+        F.lit(PENDING).alias("status"),
+    )
+
+
 def item_rows_v1(envelopes: DataFrame) -> DataFrame:
     """Older order items: one row per item, no packages."""
-    items = _items(envelopes, F.col("order_details.order_timestamp").alias("order_timestamp"))
-    return items.select(
-        prefixed_hash("inv-", *(F.col(c) for c in ("event_id", "order_id", "item_pos"))).alias(
-            "inventory_id"
-        ),
+    place = [F.col(c) for c in ("event_id", "order_id", "item_pos")]
+    return _items(envelopes, _ITEM_CONTEXT).select(
+        prefixed_hash("inv-", *place).alias("inventory_id"),
         "order_id",
         "item.product_id",
         "item.product_name",
@@ -127,27 +136,26 @@ def item_review(
     one package and/or order."""
     if order_id is not None:
         envelopes = envelopes.where(F.col("order_id") == order_id)
-    rows = _packages(
-        _items(
-            envelopes,
-            F.col("order_details.total_weight").alias("order_total_weight"),
-            F.col("order_details.order_timestamp").alias("order_timestamp"),
-            F.col("order_details.status").alias("status"),
-        )
-    )
+    carried = {
+        "order_id": "order_id",
+        "order_total_weight": "order_details.total_weight",
+        "order_timestamp": "order_details.order_timestamp",
+        "status": "order_details.status",
+    }
+    rows = _packages(_items(envelopes, carried))
     if package_id is not None:
         rows = rows.where(F.col("package.package_id") == package_id)
     return rows.select(
         "order_id",
         "order_total_weight",
-        "product_id",
-        "product_name",
-        F.col("price").alias("order_price"),
+        "item.product_id",
+        "item.product_name",
+        F.col("item.price").alias("order_price"),
         "package.package_id",
         "package.subpackage_id",
         F.col("package.weight").alias("package_weight"),
         F.col("package.volume").alias("package_volume"),
-        F.col("item_quantity").alias("order_quantity"),
+        F.col("item.quantity").alias("order_quantity"),
         F.col("package.quantity").alias("package_quantity"),
         "order_timestamp",
         "status",

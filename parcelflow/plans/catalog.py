@@ -26,6 +26,7 @@ from parcelflow.operators.merge import (
 from parcelflow.operators.projections import (
     flat_orders,
     flat_orders_v1,
+    item_quantities,
     item_review,
     item_rows,
     item_rows_v1,
@@ -34,7 +35,9 @@ from parcelflow.operators.projections import (
 from parcelflow.operators.status import processing_events, status_changes
 from parcelflow.plans.order_flow import OrderTables, run_order_flow, shortages
 from parcelflow.schemas import (
+    DEMAND_FIELDS,
     ENVELOPE,
+    ENVELOPE_V1,
     ORDER_ITEMS,
     ORDERS,
     PACKAGES,
@@ -44,7 +47,7 @@ from parcelflow.schemas import (
     RECEIVED,
 )
 from parcelflow.sources import readers
-from parcelflow.sources.landing import base_table, envelopes_v1, landing, shared_folder
+from parcelflow.sources.landing import base_table, landing, shared_folder
 from parcelflow.sources.snapshots import SnapshotTable, key_slices
 from parcelflow.streaming import append_files, finish, to_function
 
@@ -84,6 +87,10 @@ def _fixed_time():
     return F.lit(PROCESSED_AT).cast("timestamp")
 
 
+def _quantities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return item_quantities(landing(spark, sf_dir).envelopes(DEMAND_FIELDS))
+
+
 # -- reading and decoding ---------------------------------------------------
 
 
@@ -164,12 +171,9 @@ def items_measures(spark, sf_dir):
 
 @_query
 def deterministic_ids(spark, sf_dir):
-    """Ids of two independent reads of the same envelopes; each id meets itself."""
-    first = item_rows(landing(spark, sf_dir).envelopes()).select("inventory_id", "package_id")
-    again = item_rows(landing(spark, sf_dir).envelopes()).select(
-        "inventory_id", F.col("subpackage_id").alias("subpackage_again")
+    return item_rows(landing(spark, sf_dir).envelopes()).select(
+        "inventory_id", "order_id", "package_id", "subpackage_id"
     )
-    return first.join(again, "inventory_id")
 
 
 @_query
@@ -209,13 +213,13 @@ def count_unprocessed(spark, sf_dir):
 
 @_query
 def package_demand(spark, sf_dir):
-    return tables.package_demand(item_rows(landing(spark, sf_dir).envelopes()))
+    return tables.package_demand(_quantities(spark, sf_dir))
 
 
 @_query
 def package_demand_all(spark, sf_dir):
     """Demand without the status filter."""
-    return tables.package_demand(item_rows(landing(spark, sf_dir).envelopes()), status=None)
+    return tables.package_demand(_quantities(spark, sf_dir), status=None)
 
 
 @_query
@@ -244,8 +248,7 @@ def max_timestamp(spark, sf_dir):
 
 @_query
 def distinct_packages(spark, sf_dir):
-    items = item_rows(landing(spark, sf_dir).envelopes())
-    return tables.distinct_count(items, *tables.PACKAGE_KEYS)
+    return tables.distinct_count(_quantities(spark, sf_dir), *tables.PACKAGE_KEYS)
 
 
 @_query
@@ -347,8 +350,8 @@ def interval_join(spark, sf_dir):
 
 
 def _stock(spark, sf_dir) -> Merge:
-    land = landing(spark, sf_dir)
-    return stock_merge(land.packages(), tables.package_demand(item_rows(land.envelopes())))
+    demand = tables.package_demand(_quantities(spark, sf_dir))
+    return stock_merge(landing(spark, sf_dir).packages(), demand)
 
 
 def _of_orders(envelopes: DataFrame, status: str) -> DataFrame:
@@ -383,8 +386,7 @@ def stock_decrement(spark, sf_dir):
 
 @_query
 def stock_shortage(spark, sf_dir):
-    land = landing(spark, sf_dir)
-    return shortages(land.packages(), item_rows(land.envelopes()))
+    return shortages(landing(spark, sf_dir).packages(), _quantities(spark, sf_dir))
 
 
 @_query
@@ -451,8 +453,8 @@ def events_from_status(spark, sf_dir):
 # -- streams ----------------------------------------------------------------
 
 
-def _envelope_stream(spark, sf_dir) -> DataFrame:
-    return readers.stream_files(spark, landing(spark, sf_dir).path("envelopes"), ENVELOPE)
+def _envelope_stream(spark, sf_dir, schema=ENVELOPE) -> DataFrame:
+    return readers.stream_files(spark, landing(spark, sf_dir).path("envelopes"), schema)
 
 
 def _through_files(spark: SparkSession, stream: DataFrame) -> DataFrame:
@@ -516,7 +518,7 @@ def stream_stock_decrement(spark, sf_dir):
         spark, f"{root}/package_table", PACKAGES, key_slices(16, *tables.PACKAGE_KEYS)
     )
     stock.replace(landing(spark, sf_dir).packages())
-    items = item_rows(_envelope_stream(spark, sf_dir))
+    items = item_quantities(_envelope_stream(spark, sf_dir, DEMAND_FIELDS))
     return _merge_stream(items, stock, stock_merge, tables.package_demand, root)
 
 
@@ -526,9 +528,11 @@ def stream_items_to_processing(spark, sf_dir):
     items = SnapshotTable(spark, f"{root}/orders_items", ORDER_ITEMS)
     items.append(item_rows(landing(spark, sf_dir).envelopes()), "load", 0)
     stream = item_rows(_of_orders(_envelope_stream(spark, sf_dir), PENDING))
-    return _merge_stream(
-        stream, items, items_merge, lambda rows: tables.with_status(rows, PENDING), root
-    )
+
+    def pending(rows: DataFrame) -> DataFrame:
+        return tables.with_status(rows, PENDING).select("order_id", "inventory_id")
+
+    return _merge_stream(stream, items, items_merge, pending, root)
 
 
 @_query
@@ -537,9 +541,11 @@ def stream_orders_to_processing(spark, sf_dir):
     orders = SnapshotTable(spark, f"{root}/orders", ORDERS)
     orders.append(flat_orders(landing(spark, sf_dir).envelopes()), "load", 0)
     stream = flat_orders(_envelope_stream(spark, sf_dir))
-    return _merge_stream(
-        stream, orders, orders_merge, lambda rows: tables.with_status(rows, RECEIVED), root
-    )
+
+    def received(rows: DataFrame) -> DataFrame:
+        return tables.with_status(rows, RECEIVED).select("order_id")
+
+    return _merge_stream(stream, orders, orders_merge, received, root)
 
 
 @_query
@@ -565,7 +571,10 @@ def stream_interval_join(spark, sf_dir):
 
 @_query
 def stream_inner_join(spark, sf_dir):
-    items = item_rows_v1(envelopes_v1(_envelope_stream(spark, sf_dir)))
+    envelopes = readers.stream_files(
+        spark, landing(spark, sf_dir).path("envelopes_v1"), ENVELOPE_V1
+    )
+    items = item_rows_v1(envelopes)
     products = readers.stream_files(spark, landing(spark, sf_dir).path("products"), PRODUCTS)
     return _through_files(spark, joins.stock_outcome(items, products, how="inner", salts=8))
 

@@ -158,8 +158,7 @@ _BODIES = {
     "items_measures": """SELECT product_id, CAST(sum(items_quantity) AS BIGINT) AS items_quantity,
         sum(items_weight) AS items_weight, sum(items_volume) AS items_volume
       FROM items GROUP BY product_id""",
-    "deterministic_ids": """SELECT inventory_id, package_id, subpackage_id AS subpackage_again
-      FROM items""",
+    "deterministic_ids": "SELECT inventory_id, order_id, package_id, subpackage_id FROM items",
     "item_review_all": _REVIEW,
     "item_review_lookup": f"{_REVIEW} WHERE package_id = '{LOOKUP_PACKAGE}'",
     "filter_pending": f"{_ORDERS} WHERE status = 'PENDING'",

@@ -13,8 +13,9 @@ import tempfile
 import uuid
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from parcelflow.schemas import (
     ENVELOPE,
@@ -24,6 +25,8 @@ from parcelflow.schemas import (
     PENDING,
     PROCESSING,
     PRODUCTS,
+    RAW_RECORD,
+    RAW_TEXT_RECORD,
     RECEIVED,
 )
 
@@ -44,7 +47,8 @@ def base_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _line_items(spark: SparkSession, sf_dir: str, long_orders: DataFrame) -> DataFrame:
-    """Line items as envelope items, with the envelope (``part_nr``) of each."""
+    """Line items with their product and the envelope (``part_nr``) of each.
+    Rows stay narrow here; packages are made after the shuffle."""
     fingerprint = F.md5(
         F.concat_ws(
             "|",
@@ -53,21 +57,13 @@ def _line_items(spark: SparkSession, sf_dir: str, long_orders: DataFrame) -> Dat
         )
     )
     share = F.conv(F.substring(fingerprint, 1, 8), 16, 10).cast("bigint") % F.col("parts")
-    packages = F.transform(
-        F.sequence(F.lit(1), F.col("p_size") % 3 + 1),
-        lambda i: F.struct(
-            F.concat(F.lit("pkg-"), "p_partkey").alias("package_id"),
-            i.alias("subpackage_id"),
-            i.cast("bigint").alias("quantity"),
-            (F.col("p_size") * 0.5).alias("weight"),
-            (F.col("p_size") * 0.25).alias("volume"),
-        ),
-    )
-    units = F.col("quantity") * ((F.col("p_size") % 3 + 1) * (F.col("p_size") % 3 + 2) / 2)
     lines = base_table(spark, sf_dir, "lineitem").withColumn(
         "quantity", F.col("l_quantity").cast("bigint")
     )
     parts = base_table(spark, sf_dir, "part")
+    # A part has p_size % 3 + 1 packages; package i holds i units.
+    n = F.col("p_size") % 3 + 1
+    units = F.col("quantity") * (n * (n + 1) / 2)
     return (
         lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
         .join(long_orders, "l_orderkey", "left")
@@ -81,16 +77,34 @@ def _line_items(spark: SparkSession, sf_dir: str, long_orders: DataFrame) -> Dat
                 "l_extendedprice",
                 "l_shipdate",
                 "quantity",
-                F.concat(F.lit("prd-"), "p_partkey").alias("product_id"),
-                F.col("p_name").alias("product_name"),
-                packages.alias("packages"),
+                "p_name",
+                "p_size",
             ).alias("line"),
-            (units * F.col("p_size") * 0.5).alias("weight"),
-            (units * F.col("p_size") * 0.25).alias("volume"),
+            (units * F.col("p_size")).alias("size_units"),
         )
     )
 
 
+def _item(line: Column) -> Column:
+    part = line.l_partkey.cast("string")
+    return F.struct(
+        F.concat(F.lit("prd-"), part).alias("product_id"),
+        line.p_name.alias("product_name"),
+        line.l_extendedprice.alias("price"),
+        line.quantity.alias("quantity"),
+        F.transform(
+            F.sequence(F.lit(1), line.p_size % 3 + 1),
+            lambda i: F.struct(
+                F.concat(F.lit("pkg-"), part).alias("package_id"),
+                i.alias("subpackage_id"),
+                i.cast("bigint").alias("quantity"),
+                (line.p_size * 0.5).alias("weight"),
+                (line.p_size * 0.25).alias("volume"),
+            ),
+        ).alias("packages"),
+    )
+
+
 def build_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Orders beyond the limit: few, and read from one narrow column.
     long_orders = (
@@ -99,22 +113,19 @@ def build_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.ceil(F.count(F.lit(1)) / LINES_PER_ENVELOPE).alias("parts"))
         .where(F.col("parts") > 1)
     )
+    # Collecting lines does not shrink them, so they are shuffled as plain rows
+    # and collected once, behind the shuffle that the grouping needs anyway.
     contents = (
         _line_items(spark, sf_dir, long_orders)
+        .repartition("l_orderkey", "part_nr")
         .groupBy("l_orderkey", "part_nr")
-        .agg(
-            F.transform(
-                F.array_sort(F.collect_list("line")),
-                lambda x: F.struct(
-                    x.product_id.alias("product_id"),
-                    x.product_name.alias("product_name"),
-                    x.l_extendedprice.alias("price"),
-                    x.quantity.alias("quantity"),
-                    x.packages.alias("packages"),
-                ),
-            ).alias("items"),
-            F.sum("weight").alias("weight"),
-            F.sum("volume").alias("volume"),
+        .agg(F.array_sort(F.collect_list("line")).alias("lines"), F.sum("size_units").alias("size"))
+        .select(
+            "l_orderkey",
+            "part_nr",
+            F.transform("lines", _item).alias("items"),
+            (F.col("size") * 0.5).alias("weight"),
+            (F.col("size") * 0.25).alias("volume"),
         )
     )
     orders = base_table(spark, sf_dir, "orders")
@@ -255,6 +266,7 @@ class Landing:
     def _builders(self):
         return {
             "envelopes": lambda: build_envelopes(self.spark, self.sf_dir),
+            "envelopes_v1": lambda: envelopes_v1(self.envelopes()),
             "packages": lambda: build_packages(self.spark, self.sf_dir),
             "products": lambda: build_products(self.spark, self.sf_dir),
             "raw": lambda: raw_records(self.envelopes()),
@@ -271,26 +283,26 @@ class Landing:
             self._written.add(name)
         return where
 
-    def _read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+    def _read(self, name: str, schema: StructType) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(self.path(name))
 
-    def envelopes(self) -> DataFrame:
-        return self._read("envelopes")
+    def envelopes(self, schema: StructType = ENVELOPE) -> DataFrame:
+        return self._read("envelopes", schema)
 
     def envelopes_v1(self) -> DataFrame:
-        return envelopes_v1(self.envelopes())
+        return self._read("envelopes_v1", ENVELOPE_V1)
 
     def packages(self) -> DataFrame:
-        return self._read("packages")
+        return self._read("packages", PACKAGES)
 
     def products(self) -> DataFrame:
-        return self._read("products")
+        return self._read("products", PRODUCTS)
 
     def raw(self) -> DataFrame:
-        return self._read("raw")
+        return self._read("raw", RAW_RECORD)
 
     def raw_base64(self) -> DataFrame:
-        return self._read("raw_base64")
+        return self._read("raw_base64", RAW_TEXT_RECORD)
 
 
 _landings: dict[tuple[str, str], Landing] = {}

@@ -11,9 +11,10 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -127,39 +128,68 @@ class SnapshotTable:
         state = self._state()
         if self._seen(state, app, batch):
             return False
-        merged = build(self.read(with_slice=True), source)
-        touched = self._touched(merged) if slices is None else list(slices)
-        merged = build(self.read(touched, with_slice=True), source)
-        if before is not None:
-            before(merged)
-        version, written = state.version + 1, []
-        if touched:
-            written = self._write(merged.rows(), version)
+        # Read for the slices, for `before` and for the publish.
+        source = source.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if slices is None:
+                slices = self._touched(build(self.read(with_slice=True), source), state)
+            merged = build(self.read(slices, with_slice=True), source)
+            if before is not None:
+                before(merged)
+            self._publish(merged.rows() if slices else None, state, app, batch)
+        finally:
+            source.unpersist()
+        return True
+
+    def update(
+        self,
+        set_: Mapping[str, Column],
+        where: Column,
+        app: str,
+        batch: int,
+        slices: Iterable[str] | None = None,
+    ) -> bool:
+        """Publish new values for the rows that meet a condition: one pass over
+        the slices, without a join. False if the batch was applied before."""
+        state = self._state()
+        if self._seen(state, app, batch):
+            return False
+        rows = self.read(slices, with_slice=True)
+        changed = {c: F.when(where, v).otherwise(F.col(c)) for c, v in set_.items()}
+        self._publish(rows.withColumns(changed), state, app, batch, gather=False)
+        return True
+
+    def _publish(
+        self, rows: DataFrame | None, state: _State, app: str, batch: int, gather: bool = True
+    ) -> None:
+        version = state.version + 1
+        written = [] if rows is None else self._write(rows, version, gather)
         self._commit(
-            version,
-            state.slices | dict.fromkeys(written, version),
-            state.applied | {app: batch},
+            version, state.slices | dict.fromkeys(written, version), state.applied | {app: batch}
         )
-        return True
 
-    def _touched(self, merge: Merge) -> list[str]:
+    def _touched(self, merge: Merge, state: _State) -> list[str]:
         """Slices with a row that the merge matches. At most one name per slice
         comes to the driver."""
+        if len(state.slices) < 2:
+            return list(state.slices)
         keys = merge.source.select(*merge.on)
         if self.slice_by is not None:
             found = keys.select(self.slice_by.alias(SLICE))
         else:
             target = merge.target.select(SLICE, *merge.on)
             found = target.join(keys, list(merge.on), "left_semi")
-        live = self._state().slices
-        return [r[SLICE] for r in found.select(SLICE).distinct().collect() if r[SLICE] in live]
+        names = [r[SLICE] for r in found.select(SLICE).distinct().collect()]
+        return [n for n in names if n in state.slices]
 
-    def _write(self, rows: DataFrame, version: int) -> list[str]:
-        """Write rows under their slices. Rebalancing gathers each slice into few
-        files and cuts a large slice into several tasks."""
+    def _write(self, rows: DataFrame, version: int, gather: bool = True) -> list[str]:
+        """Write rows under their slices. ``gather`` brings the rows of a slice
+        together first, a large slice into several tasks."""
         where = f"{self.path}/version={version}"
-        balanced = rows.select(*self.schema.names, SLICE).hint("rebalance", F.col(SLICE))
-        writer = balanced.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        rows = rows.select(*self.schema.names, SLICE)
+        if gather:
+            rows = rows.hint("rebalance", F.col(SLICE))
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
         writer.partitionBy(SLICE).parquet(where)
         names = [n for n in self._names(where) if n.startswith(f"{SLICE}=")]
         return [n.split("=", 1)[1] for n in names]
