@@ -1,0 +1,260 @@
+import time
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from parcelflow import streaming as st
+from parcelflow.operators import joins
+from parcelflow.sources import readers
+
+SCHEMA = "id bigint"
+
+
+@pytest.fixture
+def folder(spark, tmp_path):
+    """Three files of ten rows."""
+    path = str(tmp_path / "in")
+    for start in (0, 10, 20):
+        spark.range(start, start + 10, 1, 1).write.mode("append").parquet(path)
+    return path
+
+
+def ids(df):
+    return sorted(r.id for r in df.collect())
+
+
+def source(spark, path, **options):
+    from pyspark.sql.types import LongType, StructField, StructType
+
+    schema = StructType([StructField("id", LongType())])
+    return readers.stream_files(spark, path, schema, **options)
+
+
+def test_append_and_resume(spark, folder, tmp_path):
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "c")
+
+    def run():
+        return st.finish(st.append_files(source(spark, folder), out, checkpoint))
+
+    assert run().lastProgress["numInputRows"] == 30
+    assert ids(spark.read.parquet(out)) == list(range(30))
+    assert run().lastProgress is None or run().lastProgress["numInputRows"] == 0
+    spark.range(30, 40, 1, 1).write.mode("append").parquet(folder)
+    run()
+    assert ids(spark.read.parquet(out)) == list(range(40))
+
+
+def test_batches_follow_the_source_limit(spark, folder, tmp_path):
+    def batches(name, **options):
+        sizes = []
+        st.finish(
+            st.to_function(
+                source(spark, folder, **options),
+                lambda rows, batch: sizes.append((batch, rows.count())),
+                str(tmp_path / name),
+            )
+        )
+        return sizes
+
+    assert batches("all") == [(0, 30)]
+    assert batches("limited", files_per_batch=1) == [(0, 10), (1, 10), (2, 10)]
+
+
+def test_newest_first(spark, folder, tmp_path):
+    assert source(spark, folder, newest_first=True).isStreaming
+
+
+def test_json_and_text_streams(spark, tmp_path):
+    path = str(tmp_path / "json")
+    spark.range(5).write.json(path)
+    st.finish(
+        st.append_files(source(spark, path, fmt="json"), str(tmp_path / "o"), str(tmp_path / "c"))
+    )
+    assert ids(spark.read.parquet(str(tmp_path / "o"))) == list(range(5))
+
+
+def test_memory_and_console(spark, folder):
+    st.finish(st.to_memory(source(spark, folder), "seen"))
+    assert ids(readers.read_table(spark, "seen")) == list(range(30))
+    query = st.finish(st.to_console(source(spark, folder), rows=3))
+    assert query.lastProgress["numInputRows"] == 30
+
+
+def test_named_table(spark, folder, tmp_path):
+    st.finish(st.to_table(source(spark, folder), "streamed", str(tmp_path / "c")))
+    assert ids(readers.read_table(spark, "streamed")) == list(range(30))
+    spark.sql("DROP TABLE streamed")
+
+
+def test_batch_writes(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(3).write.mode("append").parquet(path)
+    spark.range(3, 5).write.mode("append").parquet(path)
+    assert ids(readers.read_files(spark, path)) == [0, 1, 2, 3, 4]
+    spark.range(2).write.mode("overwrite").parquet(path)
+    assert readers.read_files(spark, path).limit(1).count() == 1
+
+
+def test_file_sink_takes_no_updates(spark, folder, tmp_path):
+    with pytest.raises(AnalysisException):
+        source(spark, folder).writeStream.outputMode("update").format("parquet").option(
+            "checkpointLocation", str(tmp_path / "c")
+        ).start(str(tmp_path / "o"))
+
+
+def test_interval_trigger_stop_and_inspect(spark, folder, tmp_path):
+    log = st.ProgressLog()
+    spark.streams.addListener(log)
+    query = st.append_files(
+        source(spark, folder),
+        str(tmp_path / "o"),
+        str(tmp_path / "c"),
+        trigger=st.every("1 second"),
+        name="slow",
+    )
+    query.processAllAvailable()
+    state = st.inspect(query)
+    assert state["active"]
+    assert st.stop_all(spark) == 1 and not query.isActive
+    assert st.stop_all(spark) == 0
+    patience = time.monotonic() + 20
+    while not log.batches and time.monotonic() < patience:
+        time.sleep(0.1)
+    spark.streams.removeListener(log)
+    assert ("slow", 0, 30) in log.batches
+
+
+def test_failures_are_raised(spark, folder, tmp_path):
+    from pyspark.errors import StreamingQueryException
+
+    def fail(rows, batch):
+        raise RuntimeError("no")
+
+    with pytest.raises(StreamingQueryException):
+        st.finish(st.to_function(source(spark, folder), fail, str(tmp_path / "c")))
+
+
+def test_timeout(spark, folder, tmp_path):
+    query = st.append_files(
+        source(spark, folder), str(tmp_path / "o"), str(tmp_path / "c"), trigger=st.every("1 hour")
+    )
+    with pytest.raises(TimeoutError):
+        st.finish(query, seconds=1)
+    assert not query.isActive
+
+
+def test_kafka(spark, tmp_path):
+    options = readers.kafka_options("h:1", "orders", records_per_batch=5)
+    assert options == {
+        "kafka.bootstrap.servers": "h:1",
+        "subscribe": "orders",
+        "startingOffsets": "earliest",
+        "maxOffsetsPerTrigger": "5",
+    }
+    with pytest.raises(ValueError):
+        readers.kafka_options("h:1", "orders", start="middle")
+    with pytest.raises(AnalysisException):
+        readers.stream_kafka(spark, "h:1", "orders")
+
+
+def test_sorting_a_stream_is_refused(spark, folder, tmp_path):
+    with pytest.raises(AnalysisException):
+        st.append_files(
+            source(spark, folder).orderBy("id"), str(tmp_path / "o"), str(tmp_path / "c")
+        )
+
+
+T0 = datetime(2024, 1, 1)
+
+
+def seconds(*values):
+    return [(i, 1, T0 + timedelta(seconds=s)) for i, s in enumerate(values)]
+
+
+PAIR = "id bigint, k bigint, ts timestamp"
+
+
+def pairs(spark, left, right, within, how="left"):
+    joined = joins.interval_join(
+        spark.createDataFrame(left, PAIR),
+        spark.createDataFrame(right, PAIR),
+        on=[("k", "k")],
+        times=("ts", "ts"),
+        within=timedelta(seconds=within),
+        how=how,
+    )
+    rows = joined.select(F.col("l.id").alias("a"), F.col("r.id").alias("b")).collect()
+    return sorted(((r.a, r.b) for r in rows), key=repr)
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_interval_join_equals_brute_force(spark, how):
+    import random
+
+    draw = random.Random(3)
+    left = seconds(*(draw.uniform(-200, 500) for _ in range(120)), 0, 30, 60)
+    right = seconds(*(draw.uniform(-200, 500) for _ in range(90)), 0, 30, 90)
+    want = []
+    for a, _, x in left:
+        met = [b for b, _, y in right if abs(x - y) <= timedelta(seconds=30)]
+        want += [(a, b) for b in met] or ([(a, None)] if how == "left" else [])
+    assert pairs(spark, left, right, 30, how) == sorted(want, key=repr)
+
+
+def test_interval_join_null_times(spark):
+    left, right = [(0, 1, None), (1, 1, T0)], [(0, 1, None), (1, None, T0)]
+    assert pairs(spark, left, right, 30) == [(0, None), (1, None)]
+
+
+def test_outer_rows_wait_for_the_watermark(spark, tmp_path):
+    from pyspark.sql.types import StructType
+
+    schema = StructType.fromDDL(PAIR)
+    for name, rows in {"l": seconds(0, 10, 1000), "r": seconds(5, 1000)}.items():
+        rows = rows if name == "r" else [(r[0], 9 if r[0] == 1 else 1, r[2]) for r in rows]
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / name))
+    joined = joins.interval_join(
+        readers.stream_files(spark, str(tmp_path / "l"), schema),
+        readers.stream_files(spark, str(tmp_path / "r"), schema),
+        on=[("k", "k")],
+        times=("ts", "ts"),
+        within=timedelta(seconds=30),
+        lateness=("60 seconds", "150 seconds"),
+    ).select(F.col("l.id").alias("a"), F.col("r.id").alias("b"))
+    st.finish(st.append_files(joined, str(tmp_path / "o"), str(tmp_path / "c")))
+    got = {(r.a, r.b) for r in spark.read.parquet(str(tmp_path / "o")).collect()}
+    assert got == {(0, 0), (2, 1), (1, None)}
+
+
+def test_outer_stream_join_needs_watermarks(spark, tmp_path):
+    from pyspark.sql.types import StructType
+
+    schema = StructType.fromDDL(PAIR)
+    spark.createDataFrame(seconds(0), schema).write.parquet(str(tmp_path / "l"))
+    side = readers.stream_files(spark, str(tmp_path / "l"), schema)
+    joined = joins.interval_join(
+        side, side, on=[("k", "k")], times=("ts", "ts"), within=timedelta(seconds=1)
+    ).select(F.col("l.id").alias("a"))
+    with pytest.raises(AnalysisException):
+        st.append_files(joined, str(tmp_path / "o"), str(tmp_path / "c"))
+
+
+def test_unknown_stock_counts_as_short(spark):
+    items = spark.createDataFrame(
+        [("i", "o", "p", 2), ("j", "o", "q", 2)],
+        "inventory_id string, order_id string, product_id string, quantity bigint",
+    )
+    products = spark.createDataFrame([("p", 5)], "product_id string, quantity bigint")
+    for salts in (1, 4):
+        rows = {r.inventory_id: r for r in joins.stock_outcome(items, products, salts=salts).collect()}
+        assert (rows["i"].quantity_updated, rows["i"].status_updated) == (3, "PROCESSING")
+        assert rows["j"].quantity_updated is None
+        assert not rows["j"].availability_updated and rows["j"].status_updated == "INTERRUPTED"
+
+
+def test_messages_leave_out_nulls(spark):
+    rows = spark.createDataFrame([(1, "x", None)], "id bigint, a string, b string")
+    message = joins.keyed_messages(rows, "id").first()
+    assert (message.partitionKey, message.data) == ("1", '{"id":1,"a":"x"}')
