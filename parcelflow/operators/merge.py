@@ -20,6 +20,7 @@ from parcelflow.operators.tables import PACKAGE_KEYS
 from parcelflow.schemas import CANCELLED, PROCESSING
 
 _COPIES = "_source_copies"
+_HASH = "_key_hash"
 
 
 @dataclass(frozen=True)
@@ -31,8 +32,13 @@ class Merge:
     on: Sequence[str]
     set_: Mapping[str, Column]
     when: Column | None = None
-    # True when the source has one row per key by construction (a group-by).
+    # The source has one row per key by construction (a group-by).
     unique_source: bool = False
+    # Source rows with the same key count once. Otherwise they are an error as
+    # soon as their key exists in the target.
+    collapse: bool = False
+    # Many target rows may share a key.
+    coarse: bool = False
     _source: DataFrame = field(init=False, repr=False)
 
     def __post_init__(self):
@@ -42,12 +48,20 @@ class Merge:
         object.__setattr__(self, "_source", self._one_row_per_key())
 
     def _one_row_per_key(self) -> DataFrame:
-        """The source with a copy count per key. The grouping hashes by the join
-        keys, so the join reuses its shuffle."""
+        """The source with a copy count per key.
+
+        Grouped by the join keys, the source is in place for the join without
+        another shuffle. For a coarse merge that would be a trap: the run-time
+        split of a hot key needs a shuffle of its own on both sides. Grouping by
+        a hash of the keys as well gives the same groups and forces that shuffle.
+        """
         if self.unique_source:
             return self.source.withColumn(_COPIES, F.lit(1))
         values = [c for c in self.source.columns if c not in self.on]
-        return self.source.groupBy(*self.on).agg(
+        source, by = self.source, list(self.on)
+        if self.coarse:
+            source, by = source.withColumn(_HASH, F.xxhash64(*self.on)), [*by, _HASH]
+        return source.groupBy(*by).agg(
             F.count(F.lit(1)).alias(_COPIES), *(F.first(c).alias(c) for c in values)
         )
 
@@ -60,7 +74,7 @@ class Merge:
     @property
     def _matched(self) -> Column:
         copies = F.col(f"s.{_COPIES}")
-        if self.unique_source:
+        if self.unique_source or self.collapse:
             return copies.isNotNull()
         keys = ", ".join(self.on)
         clash = F.raise_error(F.lit(f"merge: several source rows match one target row on {keys}"))
@@ -134,14 +148,14 @@ def product_stock_merge(products: DataFrame, demand: DataFrame) -> Merge:
 
 
 def processing_merge(
-    target: DataFrame, source: DataFrame, on: Sequence[str], restamp=None
+    target: DataFrame, source: DataFrame, on: Sequence[str], restamp=None, **options
 ) -> Merge:
     """Set the matched rows to PROCESSING. ``restamp`` also sets their order
     time (True for now, or a fixed time); by default it stays."""
     set_ = {"status": F.lit(PROCESSING)}
     if restamp is not None and restamp is not False:
         set_["order_timestamp"] = now(None if restamp is True else restamp)
-    return Merge(target, source.select(*on), on, set_)
+    return Merge(target, source.select(*on), on, set_, **options)
 
 
 def items_merge(items: DataFrame, batch: DataFrame, restamp=None) -> Merge:
@@ -150,12 +164,12 @@ def items_merge(items: DataFrame, batch: DataFrame, restamp=None) -> Merge:
 
 def orders_merge(orders: DataFrame, batch: DataFrame, restamp=None) -> Merge:
     """Several rows of one order in the batch count once."""
-    return processing_merge(orders, batch.dropDuplicates(["order_id"]), ["order_id"], restamp)
+    return processing_merge(orders, batch, ["order_id"], restamp, collapse=True, coarse=True)
 
 
 def items_by_product_merge(items: DataFrame, batch: DataFrame, restamp=None) -> Merge:
     """Older form: touches the rows of every order that hold the product."""
-    return processing_merge(items, batch.dropDuplicates(["product_id"]), ["product_id"], restamp)
+    return processing_merge(items, batch, ["product_id"], restamp, collapse=True, coarse=True)
 
 
 def order_review_merge(orders: DataFrame, batch: DataFrame, at=None) -> Merge:
@@ -170,4 +184,5 @@ def order_review_merge(orders: DataFrame, batch: DataFrame, at=None) -> Merge:
             "status": F.when(more, F.lit(PROCESSING)).otherwise(F.lit(CANCELLED)),
             "order_date": now(at) + F.expr("INTERVAL 5 MINUTES"),
         },
+        coarse=True,
     )

@@ -47,8 +47,7 @@ def base_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _line_items(spark: SparkSession, sf_dir: str, long_orders: DataFrame) -> DataFrame:
-    """Line items with their product and the envelope (``part_nr``) of each.
-    Rows stay narrow here; packages are made after the shuffle."""
+    """Line items with their product and the envelope (``part_nr``) of each."""
     fingerprint = F.md5(
         F.concat_ws(
             "|",
@@ -61,69 +60,94 @@ def _line_items(spark: SparkSession, sf_dir: str, long_orders: DataFrame) -> Dat
         "quantity", F.col("l_quantity").cast("bigint")
     )
     parts = base_table(spark, sf_dir, "part")
-    # A part has p_size % 3 + 1 packages; package i holds i units.
-    n = F.col("p_size") % 3 + 1
-    units = F.col("quantity") * (n * (n + 1) / 2)
     return (
         lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
         .join(long_orders, "l_orderkey", "left")
         .select(
             "l_orderkey",
             F.when(F.col("parts").isNull(), 0).otherwise(share).cast("bigint").alias("part_nr"),
-            F.struct(
-                "l_linenumber",
-                "l_partkey",
-                "l_suppkey",
-                "l_extendedprice",
-                "l_shipdate",
-                "quantity",
-                "p_name",
-                "p_size",
-            ).alias("line"),
-            (units * F.col("p_size")).alias("size_units"),
+            *_LINE_ORDER,
+            "p_name",
+            "p_size",
         )
     )
 
 
-def _item(line: Column) -> Column:
-    part = line.l_partkey.cast("string")
+# The order of the items in an envelope.
+_LINE_ORDER = (
+    "l_linenumber",
+    "l_partkey",
+    "l_suppkey",
+    "l_extendedprice",
+    "l_shipdate",
+    "quantity",
+)
+
+
+def _item() -> Column:
+    """A line item as envelope item. Its part has p_size % 3 + 1 packages."""
+
+    def package(i: int) -> Column:
+        return F.struct(
+            F.concat(F.lit("pkg-"), "l_partkey").alias("package_id"),
+            F.lit(i).alias("subpackage_id"),
+            F.lit(i).cast("bigint").alias("quantity"),
+            (F.col("p_size") * 0.5).alias("weight"),
+            (F.col("p_size") * 0.25).alias("volume"),
+        )
+
+    packages = F.slice(F.array(*(package(i) for i in (1, 2, 3))), 1, F.col("p_size") % 3 + 1)
     return F.struct(
-        F.concat(F.lit("prd-"), part).alias("product_id"),
-        line.p_name.alias("product_name"),
-        line.l_extendedprice.alias("price"),
-        line.quantity.alias("quantity"),
-        F.transform(
-            F.sequence(F.lit(1), line.p_size % 3 + 1),
-            lambda i: F.struct(
-                F.concat(F.lit("pkg-"), part).alias("package_id"),
-                i.alias("subpackage_id"),
-                i.cast("bigint").alias("quantity"),
-                (line.p_size * 0.5).alias("weight"),
-                (line.p_size * 0.25).alias("volume"),
-            ),
-        ).alias("packages"),
+        F.concat(F.lit("prd-"), "l_partkey").alias("product_id"),
+        F.col("p_name").alias("product_name"),
+        F.col("l_extendedprice").alias("price"),
+        "quantity",
+        packages.alias("packages"),
+    )
+
+
+def _item_v1() -> Column:
+    return F.struct(
+        F.concat(F.lit("prd-"), "l_partkey").alias("product_id"),
+        F.col("p_name").alias("product_name"),
+        F.col("l_extendedprice").alias("price"),
+        (F.col("p_size") * 0.5).alias("weight"),
+        "quantity",
     )
 
 
-def build_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Orders beyond the limit: few, and read from one narrow column.
+def build_envelopes(spark: SparkSession, sf_dir: str, older: bool = False) -> DataFrame:
+    """Order envelopes of the current or the older generation."""
+    # Orders beyond the limit: few, and read from one narrow column. The hash in
+    # the grouping leaves the joins a shuffle of their own, which can be split
+    # at run time where it meets the many lines of such an order.
     long_orders = (
         base_table(spark, sf_dir, "lineitem")
-        .groupBy("l_orderkey")
+        .groupBy("l_orderkey", F.xxhash64("l_orderkey").alias("key_hash"))
         .agg(F.ceil(F.count(F.lit(1)) / LINES_PER_ENVELOPE).alias("parts"))
         .where(F.col("parts") > 1)
+        .select("l_orderkey", "parts")
     )
-    # Collecting lines does not shrink them, so they are shuffled as plain rows
+    # Package i holds i units, so n packages hold n(n+1)/2.
+    n = F.col("p_size") % 3 + 1
+    size = F.col("quantity") * (n * (n + 1) / 2) * F.col("p_size")
+    # Collecting lines does not shrink them, so they are shuffled as narrow rows
     # and collected once, behind the shuffle that the grouping needs anyway.
     contents = (
         _line_items(spark, sf_dir, long_orders)
         .repartition("l_orderkey", "part_nr")
+        .select(
+            "l_orderkey",
+            "part_nr",
+            F.struct(*_LINE_ORDER, (_item_v1() if older else _item()).alias("item")).alias("line"),
+            size.alias("size"),
+        )
         .groupBy("l_orderkey", "part_nr")
-        .agg(F.array_sort(F.collect_list("line")).alias("lines"), F.sum("size_units").alias("size"))
+        .agg(F.sort_array(F.collect_list("line")).alias("lines"), F.sum("size").alias("size"))
         .select(
             "l_orderkey",
             "part_nr",
-            F.transform("lines", _item).alias("items"),
+            F.col("lines.item").alias("items"),
             (F.col("size") * 0.5).alias("weight"),
             (F.col("size") * 0.25).alias("volume"),
         )
@@ -184,25 +208,8 @@ def build_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.lit("ord-"), key).alias("order_id"),
             details.alias("order_details"),
         )
-        .to(ENVELOPE)
-    )
-
-
-def envelopes_v1(envelopes: DataFrame) -> DataFrame:
-    """The older envelope: items without packages, with the weight of a unit."""
-    flat_items = F.transform(
-        "order_details.items",
-        lambda x: F.struct(
-            x.product_id.alias("product_id"),
-            x.product_name.alias("product_name"),
-            x.price.alias("price"),
-            x.packages[0].weight.alias("weight"),
-            x.quantity.alias("quantity"),
-        ),
+        .to(ENVELOPE_V1 if older else ENVELOPE)
     )
-    return envelopes.withColumn(
-        "order_details", F.col("order_details").withField("items", flat_items)
-    ).to(ENVELOPE_V1)
 
 
 def build_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -266,7 +273,7 @@ class Landing:
     def _builders(self):
         return {
             "envelopes": lambda: build_envelopes(self.spark, self.sf_dir),
-            "envelopes_v1": lambda: envelopes_v1(self.envelopes()),
+            "envelopes_v1": lambda: build_envelopes(self.spark, self.sf_dir, older=True),
             "packages": lambda: build_packages(self.spark, self.sf_dir),
             "products": lambda: build_products(self.spark, self.sf_dir),
             "raw": lambda: raw_records(self.envelopes()),

@@ -133,10 +133,12 @@ class SnapshotTable:
         try:
             if slices is None:
                 slices = self._touched(build(self.read(with_slice=True), source), state)
+            slices = list(slices)
             merged = build(self.read(slices, with_slice=True), source)
             if before is not None:
                 before(merged)
-            self._publish(merged.rows() if slices else None, state, app, batch)
+            rows = merged.rows() if slices else None
+            self._publish(rows, state, app, batch, gather=len(slices) > 1)
         finally:
             source.unpersist()
         return True
@@ -160,7 +162,7 @@ class SnapshotTable:
         return True
 
     def _publish(
-        self, rows: DataFrame | None, state: _State, app: str, batch: int, gather: bool = True
+        self, rows: DataFrame | None, state: _State, app: str, batch: int, gather: bool
     ) -> None:
         version = state.version + 1
         written = [] if rows is None else self._write(rows, version, gather)

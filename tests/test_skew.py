@@ -3,6 +3,7 @@
 import compare
 import pytest
 
+import __spark_entry__ as spark_entry
 from parcelflow.plans import oracle
 from parcelflow.sources import landing
 
@@ -69,3 +70,34 @@ def test_hot_order_is_cut_into_envelopes(spark, hot_dir):
 @pytest.mark.parametrize("name", NAMES)
 def test_query_on_hot_keys(spark, db, hot_dir, name):
     assert compare.check(spark, db, name, hot_dir) > 0
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    """Every join shuffles, and partitions count as skewed from 10 kB on."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "8",
+        "spark.sql.files.openCostInBytes": "0",
+        "spark.sql.files.maxPartitionBytes": "20KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    # Landing tables of several files: a partition is split between map tasks.
+    landing._landings.clear()
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize("name", ["items_by_product", "stock_outcome", "join_using"])
+def test_hot_key_is_split_at_run_time(spark, db, hot_dir, no_broadcast, name):
+    df = spark_entry.queries()[name](spark, hot_dir)
+    df.collect()
+    assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+    compare.check(spark, db, name, hot_dir)
