@@ -38,6 +38,7 @@ from parcelflow.schemas import (
     DEMAND_FIELDS,
     ENVELOPE,
     ENVELOPE_V1,
+    EVENTS,
     ORDER_ITEMS,
     ORDERS,
     PACKAGES,
@@ -49,7 +50,8 @@ from parcelflow.schemas import (
 from parcelflow.sources import readers
 from parcelflow.sources.landing import base_table, landing, shared_folder
 from parcelflow.sources.snapshots import SnapshotTable, key_slices
-from parcelflow.streaming import append_files, finish, to_function
+from parcelflow.sources.writers import save
+from parcelflow.streaming import append_files, finish, large_state, to_function
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,6 +61,7 @@ BOUND = "1998-06-30 00:00:00"
 LOOKUP_PACKAGE = "pkg-1"
 WITHIN = timedelta(minutes=30)
 LATENESS = ("60 seconds", "150 seconds")
+BYTES_PER_BATCH = 1 << 40
 
 _QUERIES: dict[str, Query] = {}
 
@@ -186,6 +189,20 @@ def item_review_lookup(spark, sf_dir):
     return item_review(landing(spark, sf_dir).envelopes(), package_id=LOOKUP_PACKAGE)
 
 
+# -- batch writes -----------------------------------------------------------
+
+
+@_query
+def batch_append(spark, sf_dir):
+    """Events of the pending orders, then of all others, appended to one table."""
+    envelopes = landing(spark, sf_dir).envelopes()
+    pending = F.col("order_details.status").eqNullSafe(PENDING)
+    path = f"{shared_folder(spark)}/events"
+    for part in (envelopes.where(pending), envelopes.where(~pending)):
+        save(order_events(part), path)
+    return readers.read_files(spark, path, schema=EVENTS)
+
+
 # -- filters, aggregates, orderings -----------------------------------------
 
 
@@ -453,8 +470,15 @@ def events_from_status(spark, sf_dir):
 # -- streams ----------------------------------------------------------------
 
 
-def _envelope_stream(spark, sf_dir, schema=ENVELOPE) -> DataFrame:
-    return readers.stream_files(spark, landing(spark, sf_dir).path("envelopes"), schema)
+def _envelope_stream(spark, sf_dir, schema=ENVELOPE, **options) -> DataFrame:
+    path = landing(spark, sf_dir).path("envelopes")
+    return readers.stream_files(spark, path, schema, **options)
+
+
+def _appended(spark, sf_dir) -> DataFrame:
+    """The envelope stream for queries that only append: any cut into batches
+    gives the same rows, so a batch is held to what a cluster redoes at ease."""
+    return _envelope_stream(spark, sf_dir, bytes_per_batch=BYTES_PER_BATCH)
 
 
 def _through_files(spark: SparkSession, stream: DataFrame) -> DataFrame:
@@ -473,7 +497,7 @@ def stream_ingest(spark, sf_dir):
 @_query
 def stream_table_read(spark, sf_dir):
     stream = tables.up_to(
-        order_events(_envelope_stream(spark, sf_dir)),
+        order_events(_appended(spark, sf_dir)),
         "event_timestamp",
         F.lit(BOUND).cast("timestamp"),
     )
@@ -482,23 +506,23 @@ def stream_table_read(spark, sf_dir):
 
 @_query
 def stream_append_events(spark, sf_dir):
-    return _through_files(spark, order_events(_envelope_stream(spark, sf_dir)))
+    return _through_files(spark, order_events(_appended(spark, sf_dir)))
 
 
 @_query
 def stream_append_orders(spark, sf_dir):
-    return _through_files(spark, flat_orders(_envelope_stream(spark, sf_dir)))
+    return _through_files(spark, flat_orders(_appended(spark, sf_dir)))
 
 
 @_query
 def stream_append_items(spark, sf_dir):
-    return _through_files(spark, item_rows(_envelope_stream(spark, sf_dir)))
+    return _through_files(spark, item_rows(_appended(spark, sf_dir)))
 
 
 @_query
 def stream_messages(spark, sf_dir):
     """Keyed messages of the item stream, written to a file sink."""
-    items = item_rows(_envelope_stream(spark, sf_dir))
+    items = item_rows(_appended(spark, sf_dir))
     sent = joins.keyed_messages(items, "inventory_id", "inventory_id", "order_id", "items_quantity")
     return _through_files(spark, sent)
 
@@ -566,7 +590,8 @@ def stream_interval_join(spark, sf_dir):
         within=WITHIN,
         lateness=LATENESS,
     )
-    return _through_files(spark, _event_pairs(joined))
+    with large_state(spark):
+        return _through_files(spark, _event_pairs(joined))
 
 
 @_query
@@ -576,7 +601,8 @@ def stream_inner_join(spark, sf_dir):
     )
     items = item_rows_v1(envelopes)
     products = readers.stream_files(spark, landing(spark, sf_dir).path("products"), PRODUCTS)
-    return _through_files(spark, joins.stock_outcome(items, products, how="inner", salts=8))
+    with large_state(spark):
+        return _through_files(spark, joins.stock_outcome(items, products, how="inner", salts=8))
 
 
 # -- the whole flow ---------------------------------------------------------

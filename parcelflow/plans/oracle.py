@@ -161,6 +161,7 @@ _BODIES = {
     "deterministic_ids": "SELECT inventory_id, order_id, package_id, subpackage_id FROM items",
     "item_review_all": _REVIEW,
     "item_review_lookup": f"{_REVIEW} WHERE package_id = '{LOOKUP_PACKAGE}'",
+    "batch_append": _EVENTS,
     "filter_pending": f"{_ORDERS} WHERE status = 'PENDING'",
     "filter_received": f"{_ORDERS} WHERE status = 'RECEIVED'",
     "filter_upto": _UP_TO,

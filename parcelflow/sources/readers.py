@@ -36,13 +36,13 @@ def stream_files(
     fmt: str = "parquet",
     newest_first: bool = False,
     files_per_batch: int | None = None,
-    bytes_per_batch: str | None = None,
+    bytes_per_batch: int | None = None,
     name_pattern: str | None = None,
 ) -> DataFrame:
     """Stream the files of a folder, from the oldest unless ``newest_first``.
 
     Without a limit the first batch holds all files present. ``bytes_per_batch``
-    (``"64g"``) is the limit to use on large folders.
+    is the limit to use on large folders.
     """
     options = {
         "latestFirst": "true" if newest_first else None,

@@ -12,6 +12,7 @@ from parcelflow.streaming.queries import (
     to_memory,
     to_table,
 )
+from parcelflow.streaming.state import large_state
 
 __all__ = [
     "AVAILABLE_NOW",
@@ -20,6 +21,7 @@ __all__ = [
     "every",
     "finish",
     "inspect",
+    "large_state",
     "stop_all",
     "to_console",
     "to_function",

@@ -133,3 +133,18 @@ def test_raw_stream_keeps_what_it_cannot_read(spark, tmp_path):
     finish(run_order_flow(stream, tables, str(tmp_path / "c"), "feed", raw=True, at=AT))
     assert state(tables) == EXPECTED
     assert [bytes(r.data) for r in tables.rejected.read().collect()] == [b"garbage"]
+
+
+def test_command_line(spark, tmp_path):
+    from parcelflow.__main__ import arguments, main
+
+    tables = setup(spark, tmp_path / "t")
+    first_batch(spark).write.parquet(str(tmp_path / "landing"))
+    main(
+        ["--landing", str(tmp_path / "landing"), "--tables", str(tmp_path / "t"),
+         "--checkpoint", str(tmp_path / "c"), "--app", "feed", "--package-slices", "4",
+         "--batch-bytes", "1000000"]
+    )
+    assert state(tables) == EXPECTED
+    with pytest.raises(SystemExit):
+        arguments(["--topic", "t", "--tables", "x", "--checkpoint", "y", "--app", "z"])

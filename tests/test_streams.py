@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from parcelflow import streaming as st
 from parcelflow.operators import joins
 from parcelflow.sources import readers
+from parcelflow.sources.writers import save, save_table
 
 SCHEMA = "id bigint"
 
@@ -60,6 +61,7 @@ def test_batches_follow_the_source_limit(spark, folder, tmp_path):
 
     assert batches("all") == [(0, 30)]
     assert batches("limited", files_per_batch=1) == [(0, 10), (1, 10), (2, 10)]
+    assert batches("small", bytes_per_batch=1) == [(0, 10), (1, 10), (2, 10)]
 
 
 def test_newest_first(spark, folder, tmp_path):
@@ -90,11 +92,23 @@ def test_named_table(spark, folder, tmp_path):
 
 def test_batch_writes(spark, tmp_path):
     path = str(tmp_path / "t")
-    spark.range(3).write.mode("append").parquet(path)
-    spark.range(3, 5).write.mode("append").parquet(path)
+    save(spark.range(3), path)
+    save(spark.range(3, 5), path)
     assert ids(readers.read_files(spark, path)) == [0, 1, 2, 3, 4]
-    spark.range(2).write.mode("overwrite").parquet(path)
+    save(spark.range(2), path, mode="overwrite")
     assert readers.read_files(spark, path).limit(1).count() == 1
+    save_table(spark.range(2), "written")
+    save_table(spark.range(2), "written")
+    assert ids(readers.read_table(spark, "written")) == [0, 0, 1, 1]
+    spark.sql("DROP TABLE written")
+
+
+def test_large_state_is_set_back(spark):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    with st.large_state(spark):
+        assert "RocksDB" in spark.conf.get(key)
+    assert spark.conf.get(key, None) == before
 
 
 def test_file_sink_takes_no_updates(spark, folder, tmp_path):
