@@ -7,6 +7,7 @@ and set of tables as the landing table, and read from there.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 from datetime import timedelta
 
@@ -67,9 +68,10 @@ _QUERIES: dict[str, Query] = {}
 
 
 def _plain_times(df: DataFrame) -> DataFrame:
-    """Times without zone, as the given tables have them."""
-    stamps = [f.name for f in df.schema if f.dataType.typeName() == "timestamp"]
-    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in stamps})
+    """Times without zone, as the given tables have them, and dates as text."""
+    plain = {"timestamp": "timestamp_ntz", "date": "string"}
+    kinds = {f.name: plain.get(f.dataType.typeName()) for f in df.schema}
+    return df.withColumns({c: F.col(c).cast(kind) for c, kind in kinds.items() if kind})
 
 
 def _query(fn: Query) -> Query:
@@ -608,28 +610,27 @@ def stream_inner_join(spark, sf_dir):
 # -- the whole flow ---------------------------------------------------------
 
 _flows: dict[tuple[str, str], OrderTables] = {}
+_flow_lock = threading.Lock()
 
 
 def _flow(spark: SparkSession, sf_dir: str) -> OrderTables:
     """The tables after one run over all envelopes, once per session."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _flows:
-        root = shared_folder(spark)
-        out = OrderTables.at(spark, root, package_slices=16)
-        out.packages.replace(landing(spark, sf_dir).packages())
-        finish(
-            run_order_flow(
-                _envelope_stream(spark, sf_dir),
-                out,
-                f"{root}/checkpoint",
-                app="orders",
-                at=_fixed_time(),
-            )
-        )
-        _flows[key] = out
+    with _flow_lock:
+        if key not in _flows:
+            _flows[key] = _run_flow(spark, sf_dir)
     return _flows[key]
 
 
+def _run_flow(spark: SparkSession, sf_dir: str) -> OrderTables:
+    root = shared_folder(spark)
+    out = OrderTables.at(spark, root, package_slices=16)
+    out.packages.replace(landing(spark, sf_dir).packages())
+    stream = _envelope_stream(spark, sf_dir)
+    finish(run_order_flow(stream, out, f"{root}/checkpoint", app="orders", at=_fixed_time()))
+    return out
+
+
 @_query
 def flow_events(spark, sf_dir):
     return _flow(spark, sf_dir).events.read()

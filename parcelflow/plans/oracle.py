@@ -141,7 +141,7 @@ _OUTCOME = "SELECT * FROM outcome"
 
 _BODIES = {
     "ingest_json": """SELECT e.event_id, event_type, event_timestamp, order_id, customer_id,
-        CAST(event_timestamp AS DATE) AS order_date, CAST(coalesce(n, 0) AS INTEGER) AS n_items,
+        CAST(CAST(event_timestamp AS DATE) AS VARCHAR) AS order_date, CAST(coalesce(n, 0) AS INTEGER) AS n_items,
         'txn-' || substr(order_id, 5) AS transaction_id
       FROM evt e JOIN (SELECT event_id, customer_id FROM ord) USING (event_id)
         LEFT JOIN cnt USING (event_id)""",
@@ -152,7 +152,7 @@ _BODIES = {
     "orders_flatten": _ORDERS,
     "orders_flatten_v1": f"SELECT * EXCLUDE (total_volume) FROM ({_ORDERS})",
     "orders_flatten_v1_date": f"""SELECT * EXCLUDE (total_volume, order_timestamp),
-        CAST(order_timestamp AS DATE) AS order_date FROM ({_ORDERS})""",
+        CAST(CAST(order_timestamp AS DATE) AS VARCHAR) AS order_date FROM ({_ORDERS})""",
     "items_explode": _ITEMS,
     "items_explode_v1": f"SELECT {_ITEM1} FROM items1",
     "items_measures": """SELECT product_id, CAST(sum(items_quantity) AS BIGINT) AS items_quantity,

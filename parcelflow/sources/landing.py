@@ -10,6 +10,7 @@ hold a whole large order.
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from functools import cache
 
@@ -269,6 +270,7 @@ class Landing:
         self.spark, self.sf_dir = spark, sf_dir
         self.root = shared_folder(spark)
         self._written: set[str] = set()
+        self._lock = threading.RLock()
 
     def _builders(self):
         return {
@@ -284,10 +286,11 @@ class Landing:
     def path(self, name: str) -> str:
         """Folder of the named landing table, written on first use."""
         where = f"{self.root}/{name}"
-        if name not in self._written:
-            fmt = "text" if name == "json" else "parquet"
-            self._builders()[name]().write.mode("overwrite").format(fmt).save(where)
-            self._written.add(name)
+        with self._lock:
+            if name not in self._written:
+                fmt = "text" if name == "json" else "parquet"
+                self._builders()[name]().write.mode("overwrite").format(fmt).save(where)
+                self._written.add(name)
         return where
 
     def _read(self, name: str, schema: StructType) -> DataFrame:
