@@ -5,5 +5,6 @@ from parcelflow.functions.columns import (
     row_payload,
     time_slot,
 )
+from parcelflow.functions.rows import numbered
 
-__all__ = ["now", "prefixed_hash", "prefixed_uuid", "row_payload", "time_slot"]
+__all__ = ["now", "numbered", "prefixed_hash", "prefixed_uuid", "row_payload", "time_slot"]

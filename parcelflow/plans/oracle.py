@@ -18,7 +18,9 @@ WITH long_orders AS (
 ), shares AS (
   SELECT l.*, CASE WHEN parts IS NULL THEN 0 ELSE
       CAST('0x' || substr(md5(concat_ws('|', l_linenumber, l_partkey, l_suppkey,
-                                        CAST(l_shipdate AS DATE))), 1, 8) AS BIGINT) % parts
+        CAST(l_shipdate AS DATE), CAST(l_quantity AS BIGINT),
+        CAST(floor(l_extendedprice * 100) AS BIGINT), CAST(floor(l_discount * 100) AS BIGINT),
+        CAST(floor(l_tax * 100) AS BIGINT))), 1, 8) AS BIGINT) % parts
     END AS part_nr
   FROM lineitem l LEFT JOIN long_orders USING (l_orderkey)
 ), li AS (
@@ -125,7 +127,7 @@ def _status_events(tag: str) -> str:
     return f"""SELECT 'ev-' || sha256(concat_ws('|', order_id, 'INVENTORY_UPDATED', '{tag}', nr))
     AS event_id, 'INVENTORY_UPDATED' AS event_type,
   TIMESTAMP '{PROCESSED_AT}' AS event_timestamp, order_id
-FROM (SELECT order_id, row_number() OVER (PARTITION BY order_id) AS nr
+FROM (SELECT order_id, row_number() OVER (PARTITION BY order_id) - 1 AS nr
       FROM ord WHERE status = 'RECEIVED')"""
 
 

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from parcelflow.functions import numbered
 from parcelflow.schemas import (
     ENVELOPE,
     ENVELOPE_V1,
@@ -54,6 +55,11 @@ def _line_items(spark: SparkSession, sf_dir: str, long_orders: DataFrame) -> Dat
             "|",
             *(F.col(c).cast("string") for c in ("l_linenumber", "l_partkey", "l_suppkey")),
             F.col("l_shipdate").cast("date").cast("string"),
+            F.col("quantity").cast("string"),
+            *(
+                F.floor(F.col(c) * 100).cast("bigint").cast("string")
+                for c in ("l_extendedprice", "l_discount", "l_tax")
+            ),
         )
     )
     share = F.conv(F.substring(fingerprint, 1, 8), 16, 10).cast("bigint") % F.col("parts")
@@ -160,16 +166,9 @@ def build_envelopes(spark: SparkSession, sf_dir: str, older: bool = False) -> Da
         orders.join(customers, F.col("c_custkey") == F.col("o_custkey"), "left")
         .join(nations, F.col("n_nationkey") == F.col("c_nationkey"), "left")
         .join(long_orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
-        .withColumn(
-            "part_nr",
-            F.explode(
-                F.sequence(
-                    F.lit(0).cast("bigint"), F.coalesce("parts", F.lit(1)) - 1
-                )
-            ),
-        )
-        .drop("l_orderkey", "parts")
+        .withColumn("parts", F.coalesce("parts", F.lit(1)))
     )
+    headers = numbered(headers, "parts", "part_nr").drop("l_orderkey", "parts")
     status = F.create_map(*(F.lit(x) for kv in STATUS_OF_LETTER.items() for x in kv))
     key = F.col("o_orderkey").cast("string")
     suffix = F.when(F.col("part_nr") > 0, F.concat(F.lit("-"), "part_nr")).otherwise("")

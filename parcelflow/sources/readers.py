@@ -85,21 +85,31 @@ def stream_kafka(spark: SparkSession, servers: str, topic: str, **options) -> Da
 
 @dataclass(frozen=True)
 class Decoded:
-    """``rows`` has the fields of the schema, ``rejected`` the records that gave
-    none of them."""
+    """Records with their parsed row in ``_row``."""
 
-    rows: DataFrame
-    rejected: DataFrame
+    parsed: DataFrame
+
+    @property
+    def _usable(self) -> Column:
+        names = self.parsed.schema["_row"].dataType.names
+        return reduce(or_, (F.col(f"_row.`{name}`").isNotNull() for name in names))
+
+    @property
+    def rows(self) -> DataFrame:
+        """The fields of the schema."""
+        return self.parsed.where(self._usable).select("_row.*")
+
+    @property
+    def rejected(self) -> DataFrame:
+        """The records that gave none of the fields, as they came."""
+        return self.parsed.where(~self._usable).drop("_row")
 
 
 def _parsed(records: DataFrame, text: Column, schema: StructType) -> Decoded:
     # The one-element explode keeps the optimizer from parsing the text again
     # for every use of the row.
-    parsed = records.select("*", F.explode(F.array(F.from_json(text, schema))).alias("_row"))
-    usable = reduce(or_, (F.col(f"_row.`{name}`").isNotNull() for name in schema.names))
     return Decoded(
-        rows=parsed.where(usable).select("_row.*"),
-        rejected=parsed.where(~usable).drop("_row"),
+        records.select("*", F.explode(F.array(F.from_json(text, schema))).alias("_row"))
     )
 
 

@@ -104,6 +104,26 @@ class SnapshotTable:
         written = self._write(rows.withColumn(SLICE, key), version)
         self._commit(version, dict.fromkeys(written, version), state.applied)
 
+    def compact(self, slices: Iterable[str] | None = None) -> None:
+        """Rewrite the named slices, or all, as one. Keeps the list of slices
+        short on a table that gets a new one with every batch. The last batch of
+        each application keeps its own: it may have to be finished from it."""
+        if self.slice_by is not None:
+            raise ValueError("a table sliced by key has a fixed number of slices")
+        state = self._state()
+        last = {f"{app}-{batch}" for app, batch in state.applied.items()}
+        named = state.slices if slices is None else slices
+        chosen = [s for s in named if s in state.slices and s not in last]
+        if len(chosen) < 2:
+            return
+        version = state.version + 1
+        name = f"compact-{version}"
+        self.read(chosen).hint("rebalance").write.mode("overwrite").parquet(
+            f"{self.path}/version={version}/{SLICE}={name}"
+        )
+        kept = {s: v for s, v in state.slices.items() if s not in chosen}
+        self._commit(version, kept | {name: version}, state.applied)
+
     def delete_all(self) -> None:
         """Publish an empty table; the rows of older versions stay on disk."""
         state = self._state()

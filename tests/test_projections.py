@@ -146,3 +146,16 @@ def test_demand_reads_only_its_fields(spark, tmp_path):
     assert T.package_demand(narrow).first().items_quantity == 6
     plan = narrow._jdf.queryExecution().executedPlan().toString()
     assert "product_name" not in plan and "weight" not in plan
+
+
+def test_numbered_copies(spark):
+    from parcelflow.functions import numbered
+
+    rows = spark.createDataFrame([("a", 25_001), ("b", 1), ("c", 0), ("d", 10_000)], "k string, n int")
+    out = numbered(rows, "n", "i").groupBy("k").agg(
+        F.count("i").alias("n"), F.min("i").alias("low"), F.max("i").alias("high"),
+        F.count_distinct("i").alias("m"),
+    )
+    assert sorted(tuple(r) for r in out.collect()) == [
+        ("a", 25_001, 0, 25_000, 25_001), ("b", 1, 0, 0, 1), ("d", 10_000, 0, 9_999, 10_000),
+    ]

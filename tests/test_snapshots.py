@@ -169,3 +169,17 @@ def test_items_merge_needs_both_keys(spark, tmp_path):
     batch = spark.createDataFrame([("o1", "i1"), ("o2", "i2")], "order_id string, inventory_id string")
     done = items_merge(target, batch).rows().where("status = 'PROCESSING'").collect()
     assert [r.inventory_id for r in done] == ["i1"]
+
+
+def test_compact(spark, tmp_path):
+    table = order_table(spark, tmp_path)
+    for batch in range(4):
+        table.append(some_orders(spark, f"o{batch}"), "feed", batch)
+    table.compact()
+    assert table.slices() == ["compact-5", "feed-3"]
+    assert sorted(r.order_id for r in table.read().collect()) == ["o0", "o1", "o2", "o3"]
+    assert not table.append(some_orders(spark, "o3"), "feed", 3)
+    table.compact(["compact-5"])
+    assert table.slices() == ["compact-5", "feed-3"]
+    with pytest.raises(ValueError):
+        stock_table(spark, tmp_path).compact()
