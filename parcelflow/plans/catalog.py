@@ -33,7 +33,7 @@ from parcelflow.operators.projections import (
     item_rows_v1,
     order_events,
 )
-from parcelflow.operators.status import processing_events, status_changes
+from parcelflow.operators.status import processing_events, status_changes, status_event_stream
 from parcelflow.plans.order_flow import OrderTables, run_order_flow, shortages
 from parcelflow.schemas import (
     DEMAND_FIELDS,
@@ -516,6 +516,13 @@ def stream_append_orders(spark, sf_dir):
     return _through_files(spark, flat_orders(_appended(spark, sf_dir)))
 
 
+@_query
+def stream_status_events(spark, sf_dir):
+    """Events of the orders that arrive in processing, appended to the events."""
+    orders = flat_orders(_appended(spark, sf_dir))
+    return _through_files(spark, status_event_stream(orders, at=_fixed_time()))
+
+
 @_query
 def stream_append_items(spark, sf_dir):
     return _through_files(spark, item_rows(_appended(spark, sf_dir)))

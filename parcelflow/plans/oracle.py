@@ -233,6 +233,10 @@ _BODIES = {
     "stream_table_read": _UP_TO,
     "stream_append_events": _EVENTS,
     "stream_append_orders": _ORDERS,
+    "stream_status_events": f"""SELECT 'ev-' || sha256(concat_ws('|', order_id, 'INVENTORY_UPDATED',
+        epoch_us(order_timestamp))) AS event_id, 'INVENTORY_UPDATED' AS event_type,
+        TIMESTAMP '{PROCESSED_AT}' AS event_timestamp, order_id
+      FROM ord WHERE status = 'PROCESSING'""",
     "stream_append_items": _ITEMS,
     "stream_messages": """SELECT inventory_id AS "partitionKey", CAST(to_json({
         'inventory_id': inventory_id, 'order_id': order_id, 'items_quantity': items_quantity

@@ -126,3 +126,27 @@ def test_changes_and_events(spark):
 def test_unknown_columns_are_refused(spark):
     with pytest.raises(ValueError):
         Merge(stock(spark), demand(spark), ["package_id"], {"nope": F.lit(1)})
+
+
+def test_stock_merge_equals_brute_force(spark):
+    import random
+
+    draw = random.Random(11)
+    have = {(f"p{i}", s): draw.randint(0, 20) for i in range(120) for s in (1, 2)}
+    asked = [
+        (f"p{draw.randint(0, 150)}", draw.choice([1, 2, 3]), draw.randint(1, 9))
+        for _ in range(300)
+    ]
+    wanted = {}
+    for package, sub, quantity in asked:
+        wanted[package, sub] = wanted.get((package, sub), 0) + quantity
+    want = sorted(
+        (*k, v - wanted[k] if wanted.get(k, v + 1) <= v else v) for k, v in have.items()
+    )
+    summed = demand(spark, *asked).groupBy("package_id", "subpackage_id").agg(
+        F.sum("items_quantity").alias("items_quantity")
+    )
+    m = stock_merge(stock(spark, *((*k, v) for k, v in have.items())), summed)
+    assert table(m.rows()) == want
+    assert m.changed().count() == sum(1 for k, v in have.items() if wanted.get(k, v + 1) <= v)
+    assert m.refused().count() == sum(1 for k, v in have.items() if wanted.get(k, 0) > v)

@@ -169,8 +169,14 @@ def test_kafka(spark, tmp_path):
     }
     with pytest.raises(ValueError):
         readers.kafka_options("h:1", "orders", start="middle")
+    # Without Spark's Kafka package both ends are refused.
     with pytest.raises(AnalysisException):
         readers.stream_kafka(spark, "h:1", "orders")
+    path = str(tmp_path / "in")
+    spark.range(1).write.parquet(path)
+    messages = joins.keyed_messages(source(spark, path), "id")
+    with pytest.raises(AnalysisException):
+        st.to_kafka(messages, "h:1", "orders", str(tmp_path / "c"))
 
 
 def test_sorting_a_stream_is_refused(spark, folder, tmp_path):
