@@ -20,7 +20,6 @@ from parcelflow.operators.tables import PACKAGE_KEYS
 from parcelflow.schemas import CANCELLED, PROCESSING
 
 _COPIES = "_source_copies"
-_HASH = "_key_hash"
 
 
 @dataclass(frozen=True)
@@ -52,18 +51,20 @@ class Merge:
 
         Grouped by the join keys, the source is in place for the join without
         another shuffle. For a coarse merge that would be a trap: the run-time
-        split of a hot key needs a shuffle of its own on both sides. Grouping by
-        a hash of the keys as well gives the same groups and forces that shuffle.
+        split of a hot key needs a shuffle for the join alone on both sides. So
+        there the keys pass through an expression that leaves them as they are,
+        but no longer counts as the grouped columns.
         """
         if self.unique_source:
             return self.source.withColumn(_COPIES, F.lit(1))
         values = [c for c in self.source.columns if c not in self.on]
-        source, by = self.source, list(self.on)
-        if self.coarse:
-            source, by = source.withColumn(_HASH, F.xxhash64(*self.on)), [*by, _HASH]
-        return source.groupBy(*by).agg(
+        grouped = self.source.groupBy(*self.on).agg(
             F.count(F.lit(1)).alias(_COPIES), *(F.first(c).alias(c) for c in values)
         )
+        if self.coarse:
+            counted = F.col(_COPIES) > 0
+            grouped = grouped.withColumns({k: F.when(counted, F.col(k)) for k in self.on})
+        return grouped
 
     def _joined(self, how: str) -> DataFrame:
         same = reduce(

@@ -74,12 +74,12 @@ def test_query_on_hot_keys(spark, db, hot_dir, name):
 
 @pytest.fixture
 def no_broadcast(spark):
-    """Every join shuffles, and partitions count as skewed from 10 kB on."""
+    """Every join shuffles, and partitions count as skewed from 2 kB on."""
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2KB",
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
         "spark.sql.shuffle.partitions": "8",
         "spark.sql.files.openCostInBytes": "0",
@@ -91,13 +91,18 @@ def no_broadcast(spark):
     # Landing tables of several files: a partition is split between map tasks.
     landing._landings.clear()
     yield
+    landing._landings.clear()
     for key, value in before.items():
         spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
-@pytest.mark.parametrize("name", ["items_by_product", "stock_outcome", "join_using"])
-def test_hot_key_is_split_at_run_time(spark, db, hot_dir, no_broadcast, name):
+@pytest.mark.parametrize(
+    "name",
+    ["items_by_product", "orders_to_processing_v1", "merge_case", "stock_outcome", "join_using"],
+)
+def test_hot_key_is_split_at_run_time(spark, hot_dir, no_broadcast, monkeypatch, name):
+    # Short envelopes, so that the hot order has many of them.
+    monkeypatch.setattr(landing, "LINES_PER_ENVELOPE", 4)
     df = spark_entry.queries()[name](spark, hot_dir)
     df.collect()
     assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
-    compare.check(spark, db, name, hot_dir)
