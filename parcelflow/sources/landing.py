@@ -3,8 +3,9 @@ that hold them.
 
 One order is one envelope whose items are its line items. Messages have a size
 limit, so an order with more than ``LINES_PER_ENVELOPE`` lines comes in several
-envelopes, each with its share of the items: no array and no task ever has to
-hold a whole large order.
+envelopes, each with its share of the items, so that no array and no task has to
+hold a whole large order. The shares go by a hash of the values of a line; exact
+copies of one line of an order would share an envelope.
 """
 
 from __future__ import annotations
