@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelflow.llm.common import batches, texts
+from parcelflow.llm.common import batches, grouped_texts, texts
 
 RANKS = "byte_bpe_50k.tiktoken"
 #: Code points that one pass of the automaton takes, and those of a block in it.
@@ -152,22 +152,6 @@ def slices(group: list[str]) -> Iterator[list[str]]:
         first = last[k] + 1
 
 
-def grouped(incoming: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
-    """Ids and texts, about a pass of code points at a time; a text is never cut."""
-    ids, group, size = [], [], 0
-    for batch in incoming:
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            text = text.as_py()
-            ids.append(doc_id)
-            group.append(text)
-            size += len(text) + 1
-            if size >= PASS:
-                yield ids, group
-                ids, group, size = [], [], 0
-    if ids:
-        yield ids, group
-
-
 # -- pairs -------------------------------------------------------------------
 
 
@@ -301,7 +285,7 @@ def encode(docs: DataFrame, vocabulary: str = RANKS) -> DataFrame:
 
     def rows(incoming):
         encoder = Encoder(public_tokenizers.path(vocabulary))
-        for ids, group in grouped(incoming):
+        for ids, group in grouped_texts(incoming, PASS):
             for doc_id, pieces in zip(ids, slices(group)):
                 yield doc_id, encoder(pieces)
 

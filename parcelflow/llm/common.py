@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,7 +16,17 @@ from parcelflow.sources.landing import shared_folder
 ROWS_OUT = 512
 
 
+def find_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it. Where executors have
+    it elsewhere, ship it (``--py-files``); the extra path does no harm."""
+    root, env = str(Path(__file__).parents[2]), spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    find_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -53,3 +65,22 @@ def batches(rows: Iterable[tuple], schema: pa.Schema, most: int = ROWS_OUT) -> I
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), schema)]
     return pa.RecordBatch.from_arrays(columns, schema=schema)
+
+
+def grouped_texts(incoming: Iterator[pa.RecordBatch], points: int) -> Iterator[tuple[list, list[str]]]:
+    """Ids and texts of (id, text) batches, about ``points`` code points at a time; a text is
+    never cut."""
+    ids: list = []
+    group: list[str] = []
+    size = 0
+    for batch in incoming:
+        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            text = text.as_py()
+            ids.append(doc_id)
+            group.append(text)
+            size += len(text) + 1
+            if size >= points:
+                yield ids, group
+                ids, group, size = [], [], 0
+    if ids:
+        yield ids, group

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from parcelflow.llm import bpe, exact_dedup, packing, secrets
+from parcelflow.llm import ann, bpe, exact_dedup, packing, secrets, toxicity
 from parcelflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,13 +26,28 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"))))
 
 
+def op7_block_matrix_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_best_fit_packing, op2_secret_scan, op4_byte_bpe, op8_exact_dedup)
+    for f in (
+        op1_best_fit_packing,
+        op2_secret_scan,
+        op4_byte_bpe,
+        op7_block_matrix_neighbours,
+        op8_exact_dedup,
+        op10_toxicity,
+    )
 }
 
 SQL: dict[str, str] = {"op8_exact_dedup": exact_dedup.EXACT_DEDUP_SQL}
