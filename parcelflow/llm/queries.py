@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.llm import ann, bpe, exact_dedup, packing, secrets, toxicity
+from parcelflow.llm import ann, bpe, exact_dedup, language_model, packing, secrets, toxicity
 from parcelflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,10 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"))))
 
 
+def op5_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_block_matrix_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -44,6 +48,7 @@ QUERIES: dict[str, Query] = {
         op1_best_fit_packing,
         op2_secret_scan,
         op4_byte_bpe,
+        op5_deleted_interpolation,
         op7_block_matrix_neighbours,
         op8_exact_dedup,
         op10_toxicity,
