@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.llm import ann, bpe, exact_dedup, language_model, packing, secrets, toxicity
+from parcelflow.llm import ann, bpe, exact_dedup, language_model, packing, pii, quality, secrets, toxicity
 from parcelflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,10 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.span_digests(secrets.find_secrets(table(spark, sf_dir, "documents")))
 
 
+def op3_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"))))
 
@@ -38,6 +42,10 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.hidden_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -47,10 +55,12 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_best_fit_packing,
         op2_secret_scan,
+        op3_weak_label_quality,
         op4_byte_bpe,
         op5_deleted_interpolation,
         op7_block_matrix_neighbours,
         op8_exact_dedup,
+        op9_surrogates,
         op10_toxicity,
     )
 }
