@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.llm import ann, bpe, exact_dedup, language_model, packing, pii, quality, secrets, toxicity
+from parcelflow.llm import (
+    ann,
+    bpe,
+    exact_dedup,
+    language_model,
+    near_dedup,
+    packing,
+    pii,
+    quality,
+    secrets,
+    toxicity,
+)
 from parcelflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +45,10 @@ def op5_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_block_matrix_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -58,6 +73,7 @@ QUERIES: dict[str, Query] = {
         op3_weak_label_quality,
         op4_byte_bpe,
         op5_deleted_interpolation,
+        op6_order_minhash,
         op7_block_matrix_neighbours,
         op8_exact_dedup,
         op9_surrogates,
