@@ -36,6 +36,11 @@ def texts(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select("doc_id", *more, F.coalesce("text", F.lit("")).alias("text"))
 
 
+def whole_row(docs: DataFrame) -> Column:
+    """All columns of ``docs`` as one, so that no name of theirs clashes with those of a step."""
+    return F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+
+
 def saved(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read from there: later steps neither compute
     it again nor depend on the executors that made it."""

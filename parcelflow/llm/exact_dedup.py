@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelflow.llm.common import saved, texts
+from parcelflow.llm.common import saved, texts, whole_row
 
 #: Share of all rows from which on a text counts as frequent; at most 200 are broadcast.
 SUPPORT = 0.005
@@ -93,11 +93,11 @@ def keep_documents(docs: DataFrame, support: float = SUPPORT) -> DataFrame:
     """The rows of ``docs``, with all their columns, without copies: of equal texts one row of
     the largest id. Frequent texts leave on the map side; the rest meet their decision in one
     shuffle of the rows."""
-    columns = docs.columns
     hot, rest = decisions(saved(digests(docs)), support)
-    whole = F.struct(*(docs[c] for c in columns)).alias("row")
     rows = docs.select(
-        whole, docs["doc_id"].alias("doc_id"), F.sha2(F.coalesce(docs["text"], F.lit("")), 256).alias("digest")
+        whole_row(docs).alias("row"),
+        F.col("doc_id").alias("doc_id"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest"),
     )
     stays = F.col("doc_id").eqNullSafe(F.col("keep_id"))
     by_hot = rows.join(F.broadcast(hot), "digest").where(stays)

@@ -193,7 +193,7 @@ def fill_bins(lengths: np.ndarray, most: int = LENGTH) -> Bins:
     return bins
 
 
-def _pack_group(key, frame: pd.DataFrame) -> pd.DataFrame:
+def _pack_group(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
     frame = frame.sort_values(["length", "item"], ascending=[False, True], ignore_index=True)
     most = int(frame["most"].iloc[0])
     bins = fill_bins(frame["length"].to_numpy(), most)
@@ -216,10 +216,11 @@ def _pack_group(key, frame: pd.DataFrame) -> pd.DataFrame:
 def pack(items: DataFrame, most: int = LENGTH, group: int = GROUP) -> DataFrame:
     """Place rows with a ``length`` of 1 to ``most`` into sequences.
 
-    Returns all columns of ``items`` with ``sequence_id`` and ``offset``; a sequence holds at most
+    Returns all columns of ``items`` with ``sequence_id`` and ``offset`` (in place of columns of these names); a sequence holds at most
     ``most``, its offsets have no gaps. Rows need no key: each gets a number when it is written.
     The result has no row for an empty table.
     """
+    items = items.drop("_item", "sequence_id", "offset")
     numbered = saved(items.withColumn("_item", F.monotonically_increasing_id()))
     lengths = numbered.select(F.col("_item").alias("item"), "length")
     alone = lengths.where(F.col("length") == most).select(

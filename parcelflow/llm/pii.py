@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelflow.llm.common import saved, texts
+from parcelflow.llm.common import saved, texts, whole_row
 
 EMAIL, IP, CARD, PHONE, NAME = KINDS = ("email", "ip", "card", "phone", "name")
 KEY = "surrogates"
@@ -318,11 +318,9 @@ def _parts(text: Column) -> tuple[Column, Column]:
 
 
 def replaced(docs: DataFrame, secret: str = KEY) -> DataFrame:
-    """The rows of ``docs``, all their columns, with surrogates in ``text``, and ``_mentions``, the types of
-    the mentions in order. Rows without a mention pass unchanged, null texts as null."""
-    columns = docs.columns
-    whole = F.struct(*(docs[c] for c in columns))
-    rows = docs.select(whole.alias("row"), docs["text"].alias("text"))
+    """``row``, all columns of ``docs`` with surrogates in ``text``, and ``kinds``, the types of the mentions
+    in order. Rows without a mention pass unchanged, null texts as null."""
+    rows = docs.select(whole_row(docs).alias("row"), F.col("text").alias("text"))
     holds = F.coalesce(F.regexp_like("text", F.lit(PATTERN)), F.lit(False))
     mentions, between = _parts(F.col("text"))
     hits = saved(
@@ -341,15 +339,15 @@ def replaced(docs: DataFrame, secret: str = KEY) -> DataFrame:
         F.zip_with(F.col("between"), F.concat(new, F.array(F.lit(""))), lambda a, b: F.concat(a, b))
     )
     changed = hits.join(maps, "number").select(
-        F.col("row").withField("text", text).alias("row"), F.transform("mentions", kind_of).alias("_mentions")
+        F.col("row").withField("text", text).alias("row"), F.transform("mentions", kind_of).alias("kinds")
     )
-    same = rows.where(~holds).select("row", F.array().cast("array<string>").alias("_mentions"))
-    return changed.unionByName(same).select("row.*", "_mentions")
+    same = rows.where(~holds).select("row", F.array().cast("array<string>").alias("kinds"))
+    return changed.unionByName(same)
 
 
 def hide(docs: DataFrame, secret: str = KEY) -> DataFrame:
     """``docs`` with surrogates in place of personal data; same rows, same columns."""
-    return replaced(docs.select(*docs.columns), secret).select(*docs.columns)
+    return replaced(docs, secret).select("row.*")
 
 
 def hidden_documents(docs: DataFrame, secret: str = KEY) -> DataFrame:
@@ -358,6 +356,6 @@ def hidden_documents(docs: DataFrame, secret: str = KEY) -> DataFrame:
     found = replaced(texts(docs), secret)
 
     def count(kind: str) -> Column:
-        return F.size(F.filter("_mentions", lambda k: k == kind)).cast("bigint").alias(f"n_{kind}")
+        return F.size(F.filter("kinds", lambda k: k == kind)).cast("bigint").alias(f"n_{kind}")
 
-    return found.select("doc_id", "text", *(count(k) for k in KINDS))
+    return found.select("row.doc_id", "row.text", *(count(k) for k in KINDS))
