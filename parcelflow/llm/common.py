@@ -49,6 +49,16 @@ def saved(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def about(df: DataFrame, most: int) -> DataFrame:
+    """About ``most`` rows of a written table, or all if there are not more: a filter on the places of rows,
+    which copies of a row don't share, so the bound holds for any data (up to chance) without a sort."""
+    n = df.count()
+    if n <= most:
+        return df
+    place = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << 32))
+    return df.where(place < int(most / n * (1 << 32)))
+
+
 def crc_of_id(doc_id: str | Column = "doc_id") -> Column:
     """crc32 of the document's number as text (of the empty text for a null)."""
     column = F.col(doc_id) if isinstance(doc_id, str) else doc_id

@@ -13,15 +13,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelflow.llm.common import batches, find_package, grouped_texts, saved, texts
+from parcelflow.llm.common import about, batches, find_package, grouped_texts, saved, texts, whole_row
 
 JUNK, NOTHING, GOOD = 0, 1, 2
 
-#: Texts that the scorer learns from, at most: those of the smallest hash.
+#: Texts that the scorer learns from, about, if there are more.
 SAMPLE = 20_000
 BUCKETS = 1 << 12
 EPOCHS, RATE, DECAY = 150, 0.1, 1e-5
@@ -115,6 +114,9 @@ class View:
     def share(self, column: int) -> float:
         return self.sums[column] / max(1, self.n)
 
+    def void(self) -> bool:
+        return not self.sums[LETTERS]
+
     def features(self) -> tuple[np.ndarray, np.ndarray]:
         """Buckets and the roots of their shares; the extra features count places, not tokens."""
         n = max(1, self.n)
@@ -170,11 +172,7 @@ def sentences(v: View) -> int:
     return GOOD if 2 <= words <= 40 and ends else JUNK if words > 150 or not ends else NOTHING
 
 
-def emptiness(v: View) -> int:
-    return JUNK if not v.sums[LETTERS] else NOTHING
-
-
-LABELLERS = (shouting, odd_signs, piled_marks, loose_signs, stuttering, pressing, sentences, emptiness)
+LABELLERS = (shouting, odd_signs, piled_marks, loose_signs, stuttering, pressing, sentences)
 
 
 def views(reader: Reader, group: list[str]) -> Iterator[View]:
@@ -184,14 +182,15 @@ def views(reader: Reader, group: list[str]) -> Iterator[View]:
 
 
 def votes(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id``, ``votes`` (one digit for each of ``LABELLERS``) and the
-    hashed ``buckets`` and ``parts`` of the text."""
+    """One row per row of ``docs``: ``doc_id``, ``votes`` (one digit for each of ``LABELLERS``), the hashed
+    ``buckets`` and ``parts`` of the text, and whether it is ``void``, without a letter."""
     schema = pa.schema(
         [
             ("doc_id", pa.int64()),
             ("votes", pa.string()),
             ("buckets", pa.list_(pa.int32())),
             ("parts", pa.list_(pa.float32())),
+            ("void", pa.bool_()),
         ]
     )
 
@@ -200,11 +199,12 @@ def votes(docs: DataFrame) -> DataFrame:
         for ids, group in grouped_texts(incoming, GROUP_POINTS):
             for doc_id, view in zip(ids, views(reader, group)):
                 bucket, part = view.features()
-                yield doc_id, "".join(str(f(view)) for f in LABELLERS), bucket, part.astype(np.float32)
+                given = "".join(str(f(view)) for f in LABELLERS)
+                yield doc_id, given, bucket, part.astype(np.float32), view.void()
 
     return texts(docs).mapInArrow(
         lambda incoming: batches(rows(incoming), schema),
-        "doc_id bigint, votes string, buckets array<int>, parts array<float>",
+        "doc_id bigint, votes string, buckets array<int>, parts array<float>, void boolean",
     )
 
 
@@ -283,16 +283,12 @@ def train_scorer(buckets: list, parts: list, target: np.ndarray, epochs: int = E
 def fit(docs: DataFrame) -> tuple[LabelModel, np.ndarray, float, DataFrame]:
     """The label model over all documents, the scorer over a bounded sample, and the written votes."""
     voted = saved(votes(docs))
+    seen = voted.where("NOT void")
     # At most 3 ** labellers patterns.
-    counts = voted.groupBy("votes").count().orderBy("votes").collect()
+    counts = seen.groupBy("votes").count().orderBy("votes").collect()
     patterns = np.array([[int(c) for c in r["votes"]] for r in counts], np.int64).reshape(-1, len(LABELLERS))
     model = learn_accuracies(patterns, np.array([r["count"] for r in counts], np.float64))
-    drawn = (
-        voted.orderBy(F.xxhash64("doc_id", "votes", "buckets"), "doc_id", "votes")
-        .limit(SAMPLE)
-        .select("votes", "buckets", "parts")
-        .toPandas()
-    )
+    drawn = about(seen, SAMPLE).select("votes", "buckets", "parts").toPandas()
     given = np.array([[int(c) for c in v] for v in drawn["votes"]], np.int64).reshape(-1, len(LABELLERS))
     weight, bias = train_scorer(list(drawn["buckets"]), list(drawn["parts"]), model.posterior(given))
     return model, weight, bias, voted
@@ -300,7 +296,7 @@ def fit(docs: DataFrame) -> tuple[LabelModel, np.ndarray, float, DataFrame]:
 
 def quality(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, votes, posterior`` (of being good, by the votes), ``score`` (by
-    the scorer) and ``accepted``. Null and empty texts are junk by the vote for texts without letters."""
+    the scorer) and ``accepted``. A text without letters, as an empty or null one, has posterior and score 0."""
     model, weight, bias, voted = fit(docs)
     schema = pa.schema(
         [
@@ -314,13 +310,16 @@ def quality(docs: DataFrame) -> DataFrame:
 
     def rows(incoming: Iterator[pa.RecordBatch]):
         for batch in incoming:
-            for doc_id, given, bucket, part in zip(*(c.to_pylist() for c in batch.columns)):
+            for doc_id, given, bucket, part, void in zip(*(c.to_pylist() for c in batch.columns)):
+                if void:
+                    yield doc_id, given, 0.0, 0.0, False
+                    continue
                 logit = float(weight[bucket] @ np.array(part)) + bias
                 good = float(model.posterior(np.array([[int(c) for c in given]]))[0])
                 chance = float(1 / (1 + np.exp(-np.clip(logit, -500, 500))))
                 yield doc_id, given, good, chance, chance >= THRESHOLD
 
-    return voted.select("doc_id", "votes", "buckets", "parts").mapInArrow(
+    return voted.select("doc_id", "votes", "buckets", "parts", "void").mapInArrow(
         lambda incoming: batches(rows(incoming), schema, 4096),
         "doc_id bigint, votes string, posterior double, score double, accepted boolean",
     )
@@ -331,19 +330,20 @@ def keep_accepted(docs: DataFrame) -> DataFrame:
     are read, so they need no key."""
     find_package(docs.sparkSession)
     _, weight, bias, _ = fit(docs)
-    place = docs.columns.index("text")
+    rows = docs.select(whole_row(docs).alias("row"), F.coalesce("text", F.lit("")).alias("text"))
 
     def kept(incoming: Iterator[pa.RecordBatch]):
         reader = Reader()
         for batch in incoming:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                group = [t or "" for t in part.column(place).to_pylist()]
+                group = part.column(1).to_pylist()
                 logits = []
                 for view in views(reader, group):
                     bucket, share = view.features()
-                    logits.append(float(weight[bucket] @ share.astype(np.float32)) + bias)
+                    logit = float(weight[bucket] @ share.astype(np.float32)) + bias
+                    logits.append(-np.inf if view.void() else logit)
                 chance = 1 / (1 + np.exp(-np.clip(np.array(logits), -500, 500)))
-                yield part.filter(pa.array(chance >= THRESHOLD))
+                yield part.filter(pa.array(chance >= THRESHOLD)).select(["row"])
 
-    return docs.mapInArrow(kept, docs.schema)
+    return rows.mapInArrow(kept, rows.select("row").schema).select("row.*")

@@ -21,13 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelflow.llm.common import batches, crc_of_id, grouped_texts, saved, texts
+from parcelflow.llm.common import about, batches, crc_of_id, grouped_texts, saved, texts
 
 BUCKET_BITS, WIDTH = 18, 4
 BUCKETS = 1 << BUCKET_BITS
 GRAMS = (3, 4, 5)
-#: Labelled texts of class 0 and 1 that the model learns from, at most: those of the smallest hash
-#: among those of up to ``SAMPLE_POINTS`` code points. All texts are scored, whole.
+#: Labelled texts of class 0 and 1 that the model learns from, about, if there are more, of those of up
+#: to ``SAMPLE_POINTS`` code points. All texts are scored, whole.
 SAMPLE, SAMPLE_POINTS = (7500, 2500), 4000
 EPOCHS, RATE, DECAY = 80, 0.5, 1e-6
 #: Buckets that fewer sampled words and texts hold keep the embedding zero.
@@ -224,19 +224,20 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: int = 1) -> tuple[np.ndarr
     size = docs.where(F.col("doc_id").isNotNull() & (F.pmod(crc_of_id(), F.lit(3)) != held_out)).select(
         "doc_id", F.length("text").alias("size")
     )
-    rows = size.where(F.col("size") <= SAMPLE_POINTS).join(marks, "doc_id")
-    drawn = [
-        rows.where(F.col("toxic") == k)
-        .select("doc_id", "toxic")
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(most)
-        for k, most in enumerate(SAMPLE)
-    ]
-    chosen = saved(drawn[0].union(drawn[1]).distinct())
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    rows = saved(size.where(F.col("size") <= SAMPLE_POINTS).select("doc_id").distinct().join(marks, "doc_id"))
+    drawn = [about(saved(rows.where(F.col("toxic") == k)), most) for k, most in enumerate(SAMPLE)]
+    chosen = saved(drawn[0].union(drawn[1]))
+    # Of several texts of an id the largest is learned from.
+    sample = (
+        docs.select("doc_id", "text")
+        .where(F.length("text") <= SAMPLE_POINTS)
+        .join(F.broadcast(chosen), "doc_id")
+        .groupBy("doc_id", "toxic")
+        .agg(F.max("text").alias("text"))
+    )
 
     def learn(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["doc_id", "text"], ignore_index=True)
+        frame = frame.sort_values("doc_id", ignore_index=True)
         model = train(list(frame["text"]), frame["toxic"].to_numpy())
         shares = model.shares()
         used = np.flatnonzero(shares)
