@@ -30,7 +30,7 @@ from parcelflow.llm.common import batches, crc_of_id, saved, texts
 #: Longest n-gram.
 ORDER = 2
 #: Code points of a chunk, and distinct n-grams that a range of hashes answers, about.
-CHUNK, RANGE = 1 << 22, 1 << 21
+CHUNK, RANGE = 1 << 21, 1 << 20
 #: One of so many training documents is deleted to learn the weights on.
 DELETED = 16
 ITERATIONS = 10
