@@ -32,6 +32,9 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--every", help="interval between batches, for instance '5 seconds'")
     parser.add_argument("--batch-bytes", type=int, help="size limit of a batch")
     parser.add_argument("--package-slices", type=int, default=64)
+    parser.add_argument(
+        "--compact-every", type=int, default=0, help="join old slices after so many batches"
+    )
     args = parser.parse_args(argv)
     if args.topic and not args.servers:
         parser.error("--topic needs --servers")
@@ -52,7 +55,16 @@ def main(argv: list[str] | None = None) -> None:
         )
     tables = OrderTables.at(spark, args.tables, args.package_slices)
     trigger = every(args.every) if args.every else AVAILABLE_NOW
-    finish(run_order_flow(stream, tables, args.checkpoint, args.app, raw=raw, trigger=trigger))
+    flow = run_order_flow(
+        stream,
+        tables,
+        args.checkpoint,
+        args.app,
+        raw=raw,
+        trigger=trigger,
+        compact_every=args.compact_every,
+    )
+    finish(flow)
 
 
 if __name__ == "__main__":

@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 def prefixed_hash(prefix: str, *keys: Column) -> Column:
     """A row id that is the same in every query over the same rows.
 
-    A null key counts as an empty text, so that its neighbours keep their place.
+    Every key goes in with its length, so that no two lists of keys look alike. A
+    null key counts as an empty text, so that its neighbours keep their place.
     """
-    parts = [F.coalesce(k.cast("string"), F.lit("")) for k in keys]
+    texts = [F.coalesce(k.cast("string"), F.lit("")) for k in keys]
+    parts = [x for t in texts for x in (F.length(t).cast("string"), F.lit(":"), t)]
     # sha2 counts as nullable. Without the coalesce a join on the id would hash
     # every row a second time, to test it for null.
-    digest = F.coalesce(F.sha2(F.concat_ws("|", *parts), 256), F.lit(""))
+    digest = F.coalesce(F.sha2(F.concat(*parts), 256), F.lit(""))
     return F.concat(F.lit(prefix), digest)
 
 

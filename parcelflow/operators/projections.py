@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelflow.functions import prefixed_hash
-from parcelflow.schemas import EVENTS, PENDING
+from parcelflow.schemas import EVENTS, ORDERS, PENDING
 
 # Output column -> field of the envelope.
 ORDER_FIELDS_V1 = {
@@ -21,7 +21,8 @@ ORDER_FIELDS_V1 = {
     "lat": "order_details.destination_address.lat",
     "lon": "order_details.destination_address.lon",
 }
-ORDER_FIELDS = ORDER_FIELDS_V1 | {"total_volume": "order_details.total_volume"}
+_WITH_VOLUME = ORDER_FIELDS_V1 | {"total_volume": "order_details.total_volume"}
+ORDER_FIELDS = {name: _WITH_VOLUME[name] for name in ORDERS.names}
 
 
 def pick(df: DataFrame, fields: Mapping[str, str]) -> DataFrame:
@@ -142,6 +143,14 @@ def item_review(
         "order_timestamp": "order_details.order_timestamp",
         "status": "order_details.status",
     }
+    if package_id is not None:
+        # Orders without the package are not expanded at all.
+        envelopes = envelopes.where(
+            F.exists(
+                "order_details.items",
+                lambda i: F.exists(i["packages"], lambda p: p["package_id"] == package_id),
+            )
+        )
     rows = _packages(_items(envelopes, carried))
     if package_id is not None:
         rows = rows.where(F.col("package.package_id") == package_id)

@@ -8,6 +8,7 @@ and set of tables as the landing table, and read from there.
 from __future__ import annotations
 
 import threading
+import uuid
 from collections.abc import Callable
 from datetime import timedelta
 
@@ -40,10 +41,13 @@ from parcelflow.schemas import (
     ENVELOPE,
     ENVELOPE_V1,
     EVENTS,
+    INTERRUPTED,
     ORDER_ITEMS,
+    ORDER_PART,
     ORDERS,
     PACKAGES,
     PENDING,
+    PROCESSING,
     PRODUCTS,
     RAW_RECORD,
     RECEIVED,
@@ -52,7 +56,7 @@ from parcelflow.sources import readers
 from parcelflow.sources.landing import base_table, landing, shared_folder
 from parcelflow.sources.snapshots import SnapshotTable, key_slices
 from parcelflow.sources.writers import save
-from parcelflow.streaming import append_files, finish, large_state, to_function
+from parcelflow.streaming import append_files, finish, large_state, to_function, to_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,6 +66,9 @@ BOUND = "1998-06-30 00:00:00"
 LOOKUP_PACKAGE = "pkg-1"
 WITHIN = timedelta(minutes=30)
 LATENESS = ("60 seconds", "150 seconds")
+# The one stock count of the tables is years later than the orders.
+STOCK_WITHIN = timedelta(days=3653)
+STOCK_LATENESS = ("1 day", "1 day")
 BYTES_PER_BATCH = 1 << 40
 
 _QUERIES: dict[str, Query] = {}
@@ -96,12 +103,34 @@ def _quantities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return item_quantities(landing(spark, sf_dir).envelopes(DEMAND_FIELDS))
 
 
+def _earlier(envelopes: DataFrame, project: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Items written before the batch: those of every second order under an older
+    event, with mixed statuses. One product in five has left the range since."""
+    number = F.substring("order_id", 5, 20).cast("bigint")
+    product = F.substring("product_id", 5, 20).cast("bigint")
+    statuses = F.array(*map(F.lit, (PENDING, PROCESSING, INTERRUPTED)))
+    older = envelopes.withColumn("event_id", F.concat(F.lit("old-"), "event_id"))
+    return project(older.where(number % 2 == 0)).withColumns(
+        {
+            "status": F.element_at(statuses, (number % 3 + 1).cast("int")),
+            "product_id": F.when(
+                product % 5 == 0, F.concat(F.lit("ret-"), product.cast("string"))
+            ).otherwise(F.col("product_id")),
+        }
+    )
+
+
+def _stored(envelopes: DataFrame, project: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The items table that a batch meets: its own new rows and earlier ones."""
+    return project(envelopes).unionByName(_earlier(envelopes, project))
+
+
 # -- reading and decoding ---------------------------------------------------
 
 
 @_query
 def ingest_json(spark, sf_dir):
-    envelopes = readers.read_json(spark, landing(spark, sf_dir).path("json"))
+    envelopes = readers.read_json(spark, landing(spark, sf_dir).path("json")).rows
     return envelopes.select(
         "event_id",
         "event_type",
@@ -116,7 +145,7 @@ def ingest_json(spark, sf_dir):
 
 @_query
 def decode_envelope(spark, sf_dir):
-    return flat_orders(readers.decode(landing(spark, sf_dir).raw()).rows)
+    return flat_orders(readers.decode(landing(spark, sf_dir).raw(), ORDER_PART).rows)
 
 
 @_query
@@ -191,20 +220,57 @@ def item_review_lookup(spark, sf_dir):
     return item_review(landing(spark, sf_dir).envelopes(), package_id=LOOKUP_PACKAGE)
 
 
+@_query
+def item_review_order(spark, sf_dir):
+    """One package in one order: the first order that has it."""
+    holds = F.concat(F.lit("pkg-"), F.col("l_partkey")) == LOOKUP_PACKAGE
+    lines = base_table(spark, sf_dir, "lineitem").where(holds)
+    first = lines.agg(F.min("l_orderkey")).first()[0]
+    return item_review(
+        landing(spark, sf_dir).envelopes(), package_id=LOOKUP_PACKAGE, order_id=f"ord-{first}"
+    )
+
+
 # -- batch writes -----------------------------------------------------------
 
 
 @_query
 def batch_append(spark, sf_dir):
     """Events of the pending orders, then of all others, appended to one table."""
+    path = f"{shared_folder(spark)}/events"
+    for part in _halves(spark, sf_dir):
+        save(order_events(part), path)
+    return readers.read_files(spark, path, schema=EVENTS)
+
+
+def _halves(spark, sf_dir) -> list[DataFrame]:
+    """The envelopes of the pending orders and those of all others."""
     envelopes = landing(spark, sf_dir).envelopes()
     pending = F.col("order_details.status").eqNullSafe(PENDING)
+    return [envelopes.where(pending), envelopes.where(~pending)]
+
+
+@_query
+def batch_overwrite(spark, sf_dir):
+    """Events of the pending orders, then those of all others in their place."""
     path = f"{shared_folder(spark)}/events"
-    for part in (envelopes.where(pending), envelopes.where(~pending)):
-        save(order_events(part), path)
+    for part in _halves(spark, sf_dir):
+        save(order_events(part), path, mode="overwrite")
     return readers.read_files(spark, path, schema=EVENTS)
 
 
+@_query
+def delete_all(spark, sf_dir):
+    """All events go; those of the pending orders are appended again."""
+    events = SnapshotTable(spark, f"{shared_folder(spark)}/events", EVENTS)
+    pending, others = _halves(spark, sf_dir)
+    events.append(order_events(others), "load", 0)
+    events.append(order_events(pending), "load", 1)
+    events.delete_all()
+    events.append(order_events(pending), "load", 2)
+    return events.read()
+
+
 # -- filters, aggregates, orderings -----------------------------------------
 
 
@@ -232,13 +298,15 @@ def count_unprocessed(spark, sf_dir):
 
 @_query
 def package_demand(spark, sf_dir):
-    return tables.package_demand(_quantities(spark, sf_dir))
+    """Demand of the pending items of the whole items table."""
+    return tables.package_demand(_stored(landing(spark, sf_dir).envelopes(), item_rows))
 
 
 @_query
 def package_demand_all(spark, sf_dir):
     """Demand without the status filter."""
-    return tables.package_demand(_quantities(spark, sf_dir), status=None)
+    stored = _stored(landing(spark, sf_dir).envelopes(), item_rows)
+    return tables.package_demand(stored, status=None)
 
 
 @_query
@@ -277,7 +345,8 @@ def distinct_status(spark, sf_dir):
 
 @_query
 def orders_to_process(spark, sf_dir):
-    return tables.orders_to_process(item_rows(landing(spark, sf_dir).envelopes()))
+    """What is still pending after the batch was merged."""
+    return tables.orders_to_process(_items(spark, sf_dir).rows())
 
 
 @_query
@@ -308,7 +377,12 @@ def stock_rank_desc(spark, sf_dir):
 @_query
 def stock_outcome(spark, sf_dir):
     items = item_rows_v1(landing(spark, sf_dir).envelopes_v1())
-    return joins.stock_outcome(items, landing(spark, sf_dir).products())
+    return _shown(joins.stock_outcome(items, landing(spark, sf_dir).products()))
+
+
+def _shown(outcome: DataFrame) -> DataFrame:
+    """Quantities that can be null are shown as doubles, which every reader has nulls for."""
+    return outcome.withColumn("quantity_updated", F.col("quantity_updated").cast("double"))
 
 
 @_query
@@ -324,7 +398,7 @@ def message_payload(spark, sf_dir):
     sent = joins.item_messages(items, landing(spark, sf_dir).products())
     fields = """inventory_id string, order_id string, product_id string, product_name string,
       order_quantity bigint, price double, weight double, order_timestamp timestamp,
-      status string, stock_quantity bigint, availability boolean"""
+      status string, stock_quantity double, availability string"""
     return sent.select("partitionKey", F.from_json("data", fields).alias("m")).select(
         "partitionKey", "m.*"
     )
@@ -373,16 +447,11 @@ def _stock(spark, sf_dir) -> Merge:
     return stock_merge(landing(spark, sf_dir).packages(), demand)
 
 
-def _of_orders(envelopes: DataFrame, status: str) -> DataFrame:
-    return envelopes.where(F.col("order_details.status") == status)
-
-
 def _items(spark, sf_dir, restamp=None) -> Merge:
-    """The items table, merged with the items of the orders that are pending."""
+    """The items table, merged with the pending items of the batch."""
     envelopes = landing(spark, sf_dir).envelopes()
-    return items_merge(
-        item_rows(envelopes), item_rows(_of_orders(envelopes, PENDING)), restamp
-    )
+    batch = tables.with_status(item_rows(envelopes), PENDING)
+    return items_merge(_stored(envelopes, item_rows), batch, restamp)
 
 
 def _orders(spark, sf_dir, restamp=None) -> Merge:
@@ -391,11 +460,10 @@ def _orders(spark, sf_dir, restamp=None) -> Merge:
 
 
 def _items_by_product(spark, sf_dir, restamp=None) -> Merge:
-    """The older items table, merged with the items of the newest day of orders."""
+    """The older items table, merged with the pending items of the batch."""
     envelopes = landing(spark, sf_dir).envelopes_v1()
-    newest = tables.max_timestamp(order_events(envelopes), "event_timestamp")
-    batch = envelopes.join(newest, F.col("event_timestamp") == F.col("max_timestamp"))
-    return items_by_product_merge(item_rows_v1(envelopes), item_rows_v1(batch), restamp)
+    batch = tables.with_status(item_rows_v1(envelopes), PENDING)
+    return items_by_product_merge(_stored(envelopes, item_rows_v1), batch, restamp)
 
 
 @_query
@@ -493,7 +561,7 @@ def _through_files(spark: SparkSession, stream: DataFrame) -> DataFrame:
 @_query
 def stream_ingest(spark, sf_dir):
     records = readers.stream_files(spark, landing(spark, sf_dir).path("raw"), RAW_RECORD)
-    return _through_files(spark, flat_orders(readers.decode(records).rows))
+    return _through_files(spark, flat_orders(readers.decode(records, ORDER_PART).rows))
 
 
 @_query
@@ -506,6 +574,26 @@ def stream_table_read(spark, sf_dir):
     return _through_files(spark, stream)
 
 
+@_query
+def stream_named_table(spark, sf_dir):
+    """Events streamed into a named table, which is then read by its name."""
+    name = f"events_{uuid.uuid4().hex}"
+    stream = order_events(_appended(spark, sf_dir))
+    finish(to_table(stream, name, f"{shared_folder(spark)}/checkpoint"))
+    return readers.read_table(spark, name)
+
+
+@_query
+def stream_resume(spark, sf_dir):
+    """Two runs on one checkpoint; files come in between. Every event once."""
+    root = shared_folder(spark)
+    for part in _halves(spark, sf_dir):
+        part.write.mode("append").parquet(f"{root}/landing")
+        stream = order_events(readers.stream_files(spark, f"{root}/landing", ENVELOPE))
+        finish(append_files(stream, f"{root}/rows", f"{root}/checkpoint"))
+    return readers.read_files(spark, f"{root}/rows", schema=EVENTS)
+
+
 @_query
 def stream_append_events(spark, sf_dir):
     return _through_files(spark, order_events(_appended(spark, sf_dir)))
@@ -559,8 +647,8 @@ def stream_stock_decrement(spark, sf_dir):
 def stream_items_to_processing(spark, sf_dir):
     root = shared_folder(spark)
     items = SnapshotTable(spark, f"{root}/orders_items", ORDER_ITEMS)
-    items.append(item_rows(landing(spark, sf_dir).envelopes()), "load", 0)
-    stream = item_rows(_of_orders(_envelope_stream(spark, sf_dir), PENDING))
+    items.append(_stored(landing(spark, sf_dir).envelopes(), item_rows), "load", 0)
+    stream = item_rows(_envelope_stream(spark, sf_dir))
 
     def pending(rows: DataFrame) -> DataFrame:
         return tables.with_status(rows, PENDING).select("order_id", "inventory_id")
@@ -611,7 +699,10 @@ def stream_inner_join(spark, sf_dir):
     items = item_rows_v1(envelopes)
     products = readers.stream_files(spark, landing(spark, sf_dir).path("products"), PRODUCTS)
     with large_state(spark):
-        return _through_files(spark, joins.stock_outcome(items, products, how="inner", salts=8))
+        outcome = joins.stock_outcome(
+            items, products, "inner", salts=8, within=STOCK_WITHIN, lateness=STOCK_LATENESS
+        )
+        return _through_files(spark, _shown(outcome))
 
 
 # -- the whole flow ---------------------------------------------------------
@@ -656,3 +747,16 @@ def flow_items(spark, sf_dir):
 @_query
 def flow_stock(spark, sf_dir):
     return _flow(spark, sf_dir).packages.read()
+
+
+@_query
+def flow_shortage(spark, sf_dir):
+    return _flow(spark, sf_dir).shortages.read()
+
+
+@_query
+def stream_status_changes(spark, sf_dir):
+    """The orders that the flow has moved on, followed as a stream."""
+    changes = _flow(spark, sf_dir).changes
+    stream = readers.stream_files(spark, changes.stream_path(), changes.schema)
+    return _through_files(spark, stream)

@@ -9,20 +9,39 @@ row unless the order is longer than an envelope), its items in both generations
 from __future__ import annotations
 
 from parcelflow.plans.catalog import BOUND, LOOKUP_PACKAGE, PROCESSED_AT, WITHIN
-from parcelflow.sources.landing import LINES_PER_ENVELOPE, STOCK_TIME
+from parcelflow.sources import landing
+from parcelflow.sources.landing import STOCK_TIME
 
-_PREFIX = f"""
-WITH long_orders AS (
-  SELECT l_orderkey, CAST(ceil(count(*) / {LINES_PER_ENVELOPE}.0) AS BIGINT) AS parts
-  FROM lineitem GROUP BY l_orderkey HAVING count(*) > {LINES_PER_ENVELOPE}
-), shares AS (
-  SELECT l.*, CASE WHEN parts IS NULL THEN 0 ELSE
-      CAST('0x' || substr(md5(concat_ws('|', l_linenumber, l_partkey, l_suppkey,
+
+def _hashed(prefix: str, *keys: str) -> str:
+    """SQL of a row id: every key with its length before it."""
+    texts = (f"CAST({k} AS VARCHAR)" for k in keys)
+    return f"'{prefix}' || sha256(" + " || ".join(f"length({t}) || ':' || {t}" for t in texts) + ")"
+
+
+def _share(shares: int) -> str:
+    if shares == 1:
+        return "CAST(0 AS BIGINT)"
+    return f"""CAST('0x' || substr(md5(concat_ws('|', l_linenumber, l_partkey, l_suppkey,
         CAST(l_shipdate AS DATE), CAST(l_quantity AS BIGINT),
         CAST(floor(l_extendedprice * 100) AS BIGINT), CAST(floor(l_discount * 100) AS BIGINT),
-        CAST(floor(l_tax * 100) AS BIGINT))), 1, 8) AS BIGINT) % parts
-    END AS part_nr
-  FROM lineitem l LEFT JOIN long_orders USING (l_orderkey)
+        CAST(floor(l_tax * 100) AS BIGINT))), 1, 8) AS BIGINT) % {shares}"""
+
+
+def _earlier(items: str, place: str) -> str:
+    """Items written before: those of every second order under an older event, with mixed
+    statuses; one product in five has left the range."""
+    number, product = "CAST(substr(order_id, 5) AS BIGINT)", "CAST(substr(product_id, 5) AS BIGINT)"
+    return f"""SELECT * REPLACE ({_hashed("inv-", "'old-' || event_id", "order_id", *place.split(","))} AS inventory_id,
+    CASE {number} % 3 WHEN 0 THEN 'PENDING' WHEN 1 THEN 'PROCESSING' ELSE 'INTERRUPTED' END AS status,
+    CASE WHEN {product} % 5 = 0 THEN 'ret-' || {product} ELSE product_id END AS product_id)
+  FROM {items} WHERE {number} % 2 = 0"""
+
+
+def _prefix(shares: int) -> str:
+    return f"""
+WITH shares AS (
+  SELECT l.*, {_share(shares)} AS part_nr FROM lineitem l
 ), li AS (
   SELECT l_orderkey, part_nr, CAST(l_quantity AS BIGINT) AS q, l_extendedprice,
     p_partkey, p_name, p_size,
@@ -33,8 +52,8 @@ WITH long_orders AS (
       AS item_pos
   FROM shares JOIN part ON p_partkey = l_partkey
 ), items AS (
-  SELECT 'inv-' || sha256(concat_ws('|', event_id, order_id, item_pos, i - 1)) AS inventory_id,
-    event_id, order_id, 'prd-' || p_partkey AS product_id, p_name AS product_name,
+  SELECT {_hashed("inv-", "event_id", "order_id", "item_pos", "i - 1")} AS inventory_id,
+    item_pos, i - 1 AS package_pos, event_id, order_id, 'prd-' || p_partkey AS product_id, p_name AS product_name,
     l_extendedprice AS order_price, 'pkg-' || p_partkey AS package_id,
     CAST(i AS INTEGER) AS subpackage_id, CAST(q * i AS BIGINT) AS items_quantity,
     q * i * (p_size * CAST(0.5 AS DOUBLE)) AS items_weight,
@@ -44,26 +63,30 @@ WITH long_orders AS (
   FROM li JOIN orders ON o_orderkey = l_orderkey,
     LATERAL (SELECT unnest(range(1, p_size % 3 + 2)) AS i)
 ), items1 AS (
-  SELECT 'inv-' || sha256(concat_ws('|', event_id, order_id, item_pos)) AS inventory_id,
-    order_id, 'prd-' || p_partkey AS product_id, p_name AS product_name, q AS quantity,
+  SELECT {_hashed("inv-", "event_id", "order_id", "item_pos")} AS inventory_id,
+    item_pos, event_id, order_id, 'prd-' || p_partkey AS product_id, p_name AS product_name, q AS quantity,
     l_extendedprice AS price, p_size * CAST(0.5 AS DOUBLE) AS weight,
     o_orderdate AS order_timestamp, 'PENDING' AS status
   FROM li JOIN orders ON o_orderkey = l_orderkey
+), earlier AS (
+  {_earlier("items", "item_pos,package_pos")}
+), earlier1 AS (
+  {_earlier("items1", "item_pos")}
 ), tot AS (
   SELECT event_id, sum(items_weight) AS w, sum(items_volume) AS v FROM items GROUP BY event_id
 ), cnt AS (
   SELECT event_id, count(*) AS n FROM li GROUP BY event_id
 ), hdr AS (
   SELECT 'ev-' || o_orderkey || CASE WHEN part_nr > 0 THEN '-' || part_nr ELSE '' END AS event_id,
-    'ord-' || o_orderkey AS order_id, o.*
-  FROM orders o LEFT JOIN long_orders ON l_orderkey = o_orderkey,
-    LATERAL (SELECT unnest(range(coalesce(parts, 1))) AS part_nr)
+    'ord-' || o_orderkey AS order_id, part_nr, o.*
+  FROM (SELECT o_orderkey AS k, CAST(0 AS BIGINT) AS part_nr FROM orders
+        UNION SELECT l_orderkey, part_nr FROM shares) JOIN orders o ON o_orderkey = k
 ), evt AS (
   SELECT event_id, 'ORDER_CREATED' AS event_type, o_orderdate AS event_timestamp, order_id FROM hdr
 ), ord AS (
   SELECT hdr.event_id, order_id, 'cus-' || o_custkey AS customer_id,
     coalesce(w, CAST(0 AS DOUBLE)) AS total_weight, coalesce(v, CAST(0 AS DOUBLE)) AS total_volume,
-    o_totalprice AS total_price, o_orderdate AS order_timestamp,
+    CASE WHEN part_nr = 0 THEN o_totalprice ELSE 0 END AS total_price, o_orderdate AS order_timestamp,
     CASE o_orderstatus WHEN 'O' THEN 'RECEIVED' WHEN 'P' THEN 'PENDING' ELSE 'PROCESSING' END
       AS status,
     c_nationkey * CAST(1.5 AS DOUBLE) AS lat, c_nationkey * CAST(-2.25 AS DOUBLE) AS lon
@@ -75,15 +98,12 @@ WITH long_orders AS (
 ), prd AS (
   SELECT 'prd-' || p_partkey AS product_id, CAST(p_size * 30 AS BIGINT) AS quantity,
     p_size % 2 = 0 AS availability, TIMESTAMP '{STOCK_TIME}' AS updated_at
-  FROM part
+  FROM part WHERE p_partkey % 7 <> 0
 ), demand AS (
   SELECT package_id, subpackage_id, CAST(sum(items_quantity) AS BIGINT) AS items_quantity
   FROM items GROUP BY package_id, subpackage_id
-), newest AS (
-  SELECT DISTINCT product_id FROM items1
-  WHERE order_timestamp = (SELECT max(o_orderdate) FROM orders)
 ), outcome AS (
-  SELECT inventory_id, order_id, i.product_id,
+  SELECT inventory_id, order_id, i.product_id, p.product_id IS NOT NULL AS in_stock,
     CASE WHEN p.quantity >= i.quantity THEN p.quantity - i.quantity ELSE p.quantity END
       AS quantity_updated,
     coalesce(p.quantity >= i.quantity, FALSE) AS availability_updated,
@@ -107,8 +127,7 @@ _ITEM = """inventory_id, order_id, product_id, product_name, order_price, packag
   items_quantity, items_weight, items_volume, order_timestamp, status"""
 _ITEM1 = """inventory_id, order_id, product_id, product_name, quantity, price, weight,
   order_timestamp, status"""
-_PENDING_ITEM = "CASE WHEN o_orderstatus = 'P' THEN 'PROCESSING' ELSE status END"
-_NEW_PRODUCT = "product_id IN (SELECT product_id FROM newest)"
+_SOLD = "product_id IN (SELECT product_id FROM items1)"
 _RECEIVED_ORDER = "CASE WHEN status = 'RECEIVED' THEN 'PROCESSING' ELSE status END"
 
 _EVENTS = "SELECT event_id, event_type, event_timestamp, order_id FROM evt"
@@ -118,13 +137,21 @@ _STOCK = """SELECT package_id, subpackage_id,
   CASE WHEN stock_quantity >= items_quantity THEN stock_quantity - items_quantity
        ELSE stock_quantity END AS stock_quantity
 FROM pkg LEFT JOIN demand USING (package_id, subpackage_id)"""
-_ITEMS_DONE = f"""SELECT * EXCLUDE (o_orderstatus) REPLACE ({_PENDING_ITEM} AS status)
-FROM (SELECT {_ITEM}, o_orderstatus FROM items)"""
+_SHORTAGE = """SELECT package_id, subpackage_id, stock_quantity, items_quantity
+FROM pkg JOIN demand USING (package_id, subpackage_id) WHERE stock_quantity < items_quantity"""
+_EARLIER = f"SELECT {_ITEM} FROM earlier"
+_ITEMS_DONE = f"""SELECT * REPLACE ('PROCESSING' AS status) FROM ({_ITEMS}) UNION ALL {_EARLIER}"""
+_STORED1 = f"(SELECT {_ITEM1} FROM items1 UNION ALL SELECT {_ITEM1} FROM earlier1)"
+_BY_PRODUCT = f"""SELECT * REPLACE (
+    CASE WHEN {_SOLD} THEN 'PROCESSING' ELSE status END AS status,
+    CASE WHEN {_SOLD} THEN TIMESTAMP '{PROCESSED_AT}' ELSE order_timestamp END AS order_timestamp)
+  FROM {_STORED1}"""
 _ORDERS_DONE = f"SELECT * REPLACE ({_RECEIVED_ORDER} AS status) FROM ({_ORDERS})"
 
 
 def _status_events(tag: str) -> str:
-    return f"""SELECT 'ev-' || sha256(concat_ws('|', order_id, 'INVENTORY_UPDATED', '{tag}', nr))
+    quoted = f"'{tag}'"
+    return f"""SELECT {_hashed("ev-", "order_id", "'INVENTORY_UPDATED'", quoted, "nr")}
     AS event_id, 'INVENTORY_UPDATED' AS event_type,
   TIMESTAMP '{PROCESSED_AT}' AS event_timestamp, order_id
 FROM (SELECT order_id, row_number() OVER (PARTITION BY order_id) - 1 AS nr
@@ -138,8 +165,11 @@ _REVIEW = """SELECT i.order_id, total_weight AS order_total_weight, product_id,
 FROM items i JOIN ord ON ord.event_id = i.event_id"""
 
 _UP_TO = f"{_EVENTS} WHERE event_timestamp <= TIMESTAMP '{BOUND}'"
-_PROCESSED1 = f"(SELECT * FROM items1 WHERE {_NEW_PRODUCT})"
-_OUTCOME = "SELECT * FROM outcome"
+_PROCESSED1 = f"(SELECT * FROM ({_BY_PRODUCT}) WHERE status = 'PROCESSING')"
+_OUTCOME = """SELECT * EXCLUDE (in_stock) REPLACE (CAST(quantity_updated AS DOUBLE) AS quantity_updated)
+  FROM outcome"""
+_DEMAND = """SELECT package_id, subpackage_id, CAST(sum(items_quantity) AS BIGINT) AS items_quantity
+  FROM (SELECT * FROM items UNION ALL SELECT * FROM earlier) {0} GROUP BY ALL"""
 
 _BODIES = {
     "ingest_json": """SELECT e.event_id, event_type, event_timestamp, order_id, customer_id,
@@ -163,13 +193,21 @@ _BODIES = {
     "deterministic_ids": "SELECT inventory_id, order_id, package_id, subpackage_id FROM items",
     "item_review_all": _REVIEW,
     "item_review_lookup": f"{_REVIEW} WHERE package_id = '{LOOKUP_PACKAGE}'",
+    "item_review_order": f"""{_REVIEW} WHERE package_id = '{LOOKUP_PACKAGE}' AND i.order_id =
+        (SELECT 'ord-' || min(l_orderkey) FROM lineitem WHERE 'pkg-' || l_partkey = '{LOOKUP_PACKAGE}')""",
     "batch_append": _EVENTS,
+    "batch_overwrite": f"{_EVENTS} JOIN hdr USING (event_id) WHERE o_orderstatus <> 'P'".replace(
+        "order_id FROM", "evt.order_id FROM"
+    ),
+    "delete_all": f"{_EVENTS} JOIN hdr USING (event_id) WHERE o_orderstatus = 'P'".replace(
+        "order_id FROM", "evt.order_id FROM"
+    ),
     "filter_pending": f"{_ORDERS} WHERE status = 'PENDING'",
     "filter_received": f"{_ORDERS} WHERE status = 'RECEIVED'",
     "filter_upto": _UP_TO,
     "count_unprocessed": "SELECT count(*) AS n FROM ord WHERE status <> 'PROCESSING'",
-    "package_demand": "SELECT * FROM demand",
-    "package_demand_all": "SELECT * FROM demand",
+    "package_demand": _DEMAND.format("WHERE status = 'PENDING'"),
+    "package_demand_all": _DEMAND.format(""),
     "threshold_totals": f"""SELECT sum(weight) AS total_weight,
         CAST(sum(quantity) AS BIGINT) AS total_quantity FROM {_PROCESSED1}""",
     "threshold_by_order": f"""SELECT order_id, sum(weight) AS total_weight,
@@ -179,45 +217,44 @@ _BODIES = {
     "distinct_packages": """SELECT count(*) AS n
       FROM (SELECT DISTINCT package_id, subpackage_id FROM items)""",
     "distinct_status": "SELECT DISTINCT status FROM ord",
-    "orders_to_process": "SELECT DISTINCT order_id FROM items",
+    "orders_to_process": "SELECT DISTINCT order_id FROM earlier WHERE status = 'PENDING'",
     "latest_events": f"{_EVENTS} ORDER BY event_timestamp DESC, event_id",
     "topk_items": f"{_ITEMS} ORDER BY order_timestamp DESC, inventory_id LIMIT 25",
     "stock_rank": "SELECT * FROM pkg ORDER BY stock_quantity, package_id, subpackage_id",
     "stock_rank_desc": "SELECT * FROM pkg ORDER BY stock_quantity DESC, package_id, subpackage_id",
     "stock_outcome": _OUTCOME,
-    "outcome_message": """SELECT inventory_id AS "partitionKey", CAST(to_json({
-        'inventory_id': inventory_id, 'order_id': order_id, 'product_id': product_id,
-        'quantity_updated': quantity_updated, 'availability_updated': availability_updated,
-        'status_updated': status_updated}) AS VARCHAR) AS data FROM outcome""",
+    # Null fields are left out of the messages.
+    "outcome_message": """SELECT inventory_id AS "partitionKey", CASE WHEN in_stock
+        THEN CAST(to_json({'inventory_id': inventory_id, 'order_id': order_id,
+          'product_id': product_id, 'quantity_updated': quantity_updated,
+          'availability_updated': availability_updated, 'status_updated': status_updated}) AS VARCHAR)
+        ELSE CAST(to_json({'inventory_id': inventory_id, 'order_id': order_id,
+          'product_id': product_id, 'availability_updated': availability_updated,
+          'status_updated': status_updated}) AS VARCHAR) END AS data FROM outcome""",
     "message_payload": """SELECT inventory_id AS "partitionKey", inventory_id, order_id,
         i.product_id, product_name, i.quantity AS order_quantity, price, weight, order_timestamp,
-        status, p.quantity AS stock_quantity, availability
+        status, CAST(p.quantity AS DOUBLE) AS stock_quantity,
+        CAST(availability AS VARCHAR) AS availability
       FROM items1 i LEFT JOIN prd p ON p.product_id = i.product_id""",
     "join_using": f"""SELECT {_ITEM1}, stock_quantity, availability, updated_at
       FROM items1 JOIN (SELECT * RENAME (quantity AS stock_quantity) FROM prd) USING (product_id)""",
     "interval_join": "SELECT * FROM pairs",
     "stock_decrement": _STOCK,
-    "stock_shortage": """SELECT package_id, subpackage_id, stock_quantity, items_quantity
-      FROM pkg JOIN demand USING (package_id, subpackage_id)
-      WHERE stock_quantity < items_quantity""",
+    "stock_shortage": _SHORTAGE,
     "product_decrement": """SELECT product_id,
         CAST(prd.quantity - coalesce(d.quantity, 0) AS BIGINT) AS quantity, availability, updated_at
       FROM prd LEFT JOIN (SELECT product_id, sum(quantity) AS quantity FROM items1
                           GROUP BY product_id) d USING (product_id)""",
     "items_to_processing": _ITEMS_DONE,
-    "items_to_processing_restamped": f"""SELECT * REPLACE (
-        CASE WHEN status = 'PROCESSING' THEN TIMESTAMP '{PROCESSED_AT}' ELSE order_timestamp END
-        AS order_timestamp) FROM ({_ITEMS_DONE})""",
+    "items_to_processing_restamped": f"""SELECT * REPLACE ('PROCESSING' AS status,
+        TIMESTAMP '{PROCESSED_AT}' AS order_timestamp) FROM ({_ITEMS}) UNION ALL {_EARLIER}""",
     "orders_to_processing": _ORDERS_DONE,
     "orders_to_processing_v1": f"""SELECT * EXCLUDE (total_volume, busy) REPLACE (
         CASE WHEN busy THEN 'PROCESSING' ELSE status END AS status,
         CASE WHEN busy THEN TIMESTAMP '{PROCESSED_AT}' ELSE order_timestamp END AS order_timestamp)
       FROM ({_ORDERS}) JOIN (SELECT DISTINCT order_id, order_id IN (SELECT order_id FROM items1)
         AS busy FROM ord) USING (order_id)""",
-    "items_by_product": f"""SELECT * REPLACE (
-        CASE WHEN {_NEW_PRODUCT} THEN 'PROCESSING' ELSE status END AS status,
-        CASE WHEN {_NEW_PRODUCT} THEN TIMESTAMP '{PROCESSED_AT}' ELSE order_timestamp END
-          AS order_timestamp) FROM items1""",
+    "items_by_product": _BY_PRODUCT,
     "merge_case": f"""SELECT ord.order_id, 2 * coalesce(cnt.n, 0) AS items,
         CASE WHEN packed.n IS NULL THEN status
              WHEN packed.n > 2 * coalesce(cnt.n, 0) THEN 'PROCESSING' ELSE 'CANCELLED' END AS status,
@@ -227,14 +264,18 @@ _BODIES = {
         LEFT JOIN (SELECT order_id, count(*) AS n FROM items GROUP BY order_id) packed
           ON packed.order_id = ord.order_id""",
     "status_change_rows": """SELECT order_id, inventory_id, 'PENDING' AS old_status,
-        'PROCESSING' AS new_status FROM items WHERE o_orderstatus = 'P'""",
+        'PROCESSING' AS new_status FROM items""",
     "events_from_status": _status_events(""),
     "stream_ingest": _ORDERS,
     "stream_table_read": _UP_TO,
     "stream_append_events": _EVENTS,
     "stream_append_orders": _ORDERS,
-    "stream_status_events": f"""SELECT 'ev-' || sha256(concat_ws('|', order_id, 'INVENTORY_UPDATED',
-        epoch_us(order_timestamp))) AS event_id, 'INVENTORY_UPDATED' AS event_type,
+    "stream_named_table": _EVENTS,
+    "stream_resume": _EVENTS,
+    "stream_status_changes": """SELECT order_id, status AS old_status, 'PROCESSING' AS new_status
+      FROM ord WHERE status = 'RECEIVED'""",
+    "stream_status_events": f"""SELECT {_hashed(
+        "ev-", "order_id", "'INVENTORY_UPDATED'", "epoch_us(order_timestamp)")} AS event_id, 'INVENTORY_UPDATED' AS event_type,
         TIMESTAMP '{PROCESSED_AT}' AS event_timestamp, order_id
       FROM ord WHERE status = 'PROCESSING'""",
     "stream_append_items": _ITEMS,
@@ -250,13 +291,15 @@ _BODIES = {
       WHERE purchase_id IS NOT NULL OR clicked_at + INTERVAL {WITHIN.seconds} SECOND < (
         SELECT least((SELECT max(ts) FROM clicks) - INTERVAL 60 SECOND,
                      (SELECT max(ts) FROM purchases) - INTERVAL 150 SECOND))""",
-    "stream_inner_join": _OUTCOME,
+    "stream_inner_join": f"{_OUTCOME} WHERE in_stock",
     "flow_events": f"({_EVENTS}) UNION ALL ({_status_events('orders-0')})",
     "flow_orders": _ORDERS_DONE,
     "flow_items": f"SELECT * REPLACE ('PROCESSING' AS status) FROM ({_ITEMS})",
     "flow_stock": _STOCK,
+    "flow_shortage": _SHORTAGE,
 }
 
 
 def all_sql() -> dict[str, str]:
-    return {name: _PREFIX + body for name, body in _BODIES.items()}
+    prefix = _prefix(landing.SHARES)
+    return {name: prefix + body for name, body in _BODIES.items()}

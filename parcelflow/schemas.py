@@ -87,6 +87,16 @@ ENVELOPE = _envelope(_ITEM, total_amount=_DOUBLE, total_volume=_DOUBLE, total_we
 # The older generation: flat items that carry their own weight, no volume.
 ENVELOPE_V1 = _envelope(_ITEM_V1, total_amount=_DOUBLE, total_weight=_DOUBLE)
 
+# An envelope without its items, for what needs the order alone.
+ORDER_PART = StructType(
+    [
+        StructField(f.name, StructType([x for x in f.dataType if x.name != "items"]))
+        if f.name == "order_details"
+        else f
+        for f in ENVELOPE
+    ]
+)
+
 # What the stock steps read of an envelope.
 DEMAND_FIELDS = _row(
     order_details=_row(
@@ -135,6 +145,13 @@ ORDER_ITEMS_V1 = _row(
 
 PACKAGES = _row(package_id=_STRING, subpackage_id=_INT, stock_quantity=_LONG)
 
+# Packages whose demand a batch was refused, with that demand.
+SHORTAGES = _row(
+    package_id=_STRING, subpackage_id=_INT, stock_quantity=_LONG, items_quantity=_LONG
+)
+
+STATUS_CHANGES = _row(**_strings("order_id", "old_status", "new_status"))
+
 PRODUCTS = _row(
     product_id=_STRING, quantity=_LONG, availability=BooleanType(), updated_at=_TIME
 )

@@ -1,11 +1,11 @@
 """Order envelopes built from the star-schema tables, and the landing tables
 that hold them.
 
-One order is one envelope whose items are its line items. Messages have a size
-limit, so an order with more than ``LINES_PER_ENVELOPE`` lines comes in several
-envelopes, each with its share of the items, so that no array and no task has to
-hold a whole large order. The shares go by a hash of the values of a line; exact
-copies of one line of an order would share an envelope.
+One order is one envelope whose items are its line items. Where messages or tasks
+must not hold a whole order, ``shares`` cuts every order alike: a line goes to one
+of so many envelopes by a hash of its values. Shares without lines are left out,
+but for share 0, which also has the money of the order, so that sums over
+envelopes stay what they are. Exact copies of one line share an envelope.
 """
 
 from __future__ import annotations
@@ -19,7 +19,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from parcelflow.functions import numbered
 from parcelflow.schemas import (
     ENVELOPE,
     ENVELOPE_V1,
@@ -33,7 +32,8 @@ from parcelflow.schemas import (
     RECEIVED,
 )
 
-LINES_PER_ENVELOPE = 1000
+# Envelopes that every order is cut into, at most.
+SHARES = 1
 
 # Status of an order by its letter in the orders table.
 STATUS_OF_LETTER = {"O": RECEIVED, "P": PENDING, "F": PROCESSING}
@@ -49,8 +49,20 @@ def base_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp") for c in stamps})
 
 
-def _line_items(spark: SparkSession, sf_dir: str, long_orders: DataFrame) -> DataFrame:
-    """Line items with their product and the envelope (``part_nr``) of each."""
+def _line_items(spark: SparkSession, sf_dir: str, shares: int) -> DataFrame:
+    """Line items with their product and the share of their order (``part_nr``)."""
+    lines = base_table(spark, sf_dir, "lineitem").withColumn(
+        "quantity", F.col("l_quantity").cast("bigint")
+    )
+    parts = base_table(spark, sf_dir, "part")
+    return lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
+        "l_orderkey", _share(shares).alias("part_nr"), *_LINE_ORDER, "p_name", "p_size"
+    )
+
+
+def _share(shares: int) -> Column:
+    if shares == 1:
+        return F.lit(0).cast("bigint")
     fingerprint = F.md5(
         F.concat_ws(
             "|",
@@ -63,22 +75,7 @@ def _line_items(spark: SparkSession, sf_dir: str, long_orders: DataFrame) -> Dat
             ),
         )
     )
-    share = F.conv(F.substring(fingerprint, 1, 8), 16, 10).cast("bigint") % F.col("parts")
-    lines = base_table(spark, sf_dir, "lineitem").withColumn(
-        "quantity", F.col("l_quantity").cast("bigint")
-    )
-    parts = base_table(spark, sf_dir, "part")
-    return (
-        lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
-        .join(long_orders, "l_orderkey", "left")
-        .select(
-            "l_orderkey",
-            F.when(F.col("parts").isNull(), 0).otherwise(share).cast("bigint").alias("part_nr"),
-            *_LINE_ORDER,
-            "p_name",
-            "p_size",
-        )
-    )
+    return F.conv(F.substring(fingerprint, 1, 8), 16, 10).cast("bigint") % shares
 
 
 # The order of the items in an envelope.
@@ -124,38 +121,30 @@ def _item_v1() -> Column:
     )
 
 
-def build_envelopes(spark: SparkSession, sf_dir: str, older: bool = False) -> DataFrame:
+def build_envelopes(
+    spark: SparkSession, sf_dir: str, older: bool = False, shares: int = 1
+) -> DataFrame:
     """Order envelopes of the current or the older generation, with the fields
     that the tables have; the declared schema adds the others when they are read."""
-    # Orders beyond the limit: few, and read from one narrow column. The hash in
-    # the grouping leaves the joins a shuffle of their own, which can be split
-    # at run time where it meets the many lines of such an order.
-    long_orders = (
-        base_table(spark, sf_dir, "lineitem")
-        .groupBy("l_orderkey", F.xxhash64("l_orderkey").alias("key_hash"))
-        .agg(F.ceil(F.count(F.lit(1)) / LINES_PER_ENVELOPE).alias("parts"))
-        .where(F.col("parts") > 1)
-        .select("l_orderkey", "parts")
-    )
     # Package i holds i units, so n packages hold n(n+1)/2.
     n = F.col("p_size") % 3 + 1
     size = F.col("quantity") * (n * (n + 1) / 2) * F.col("p_size")
     # Collecting lines does not shrink them, so they are shuffled as narrow rows
     # and collected once, behind the shuffle that the grouping needs anyway.
+    keys = ["l_orderkey", "part_nr"] if shares > 1 else ["l_orderkey"]
     contents = (
-        _line_items(spark, sf_dir, long_orders)
-        .repartition("l_orderkey", "part_nr")
+        _line_items(spark, sf_dir, shares)
+        .repartition(*keys)
         .select(
             "l_orderkey",
             "part_nr",
             F.struct(*_LINE_ORDER, (_item_v1() if older else _item()).alias("item")).alias("line"),
             size.alias("size"),
         )
-        .groupBy("l_orderkey", "part_nr")
+        .groupBy(*keys)
         .agg(F.sort_array(F.collect_list("line")).alias("lines"), F.sum("size").alias("size"))
         .select(
-            "l_orderkey",
-            "part_nr",
+            *keys,
             F.col("lines.item").alias("items"),
             (F.col("size") * 0.5).alias("weight"),
             (F.col("size") * 0.25).alias("volume"),
@@ -164,22 +153,22 @@ def build_envelopes(spark: SparkSession, sf_dir: str, older: bool = False) -> Da
     orders = base_table(spark, sf_dir, "orders")
     customers = base_table(spark, sf_dir, "customer")
     nations = base_table(spark, sf_dir, "nation")
-    headers = (
-        orders.join(customers, F.col("c_custkey") == F.col("o_custkey"), "left")
-        .join(nations, F.col("n_nationkey") == F.col("c_nationkey"), "left")
-        .join(long_orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
-        .withColumn("parts", F.coalesce("parts", F.lit(1)))
+    headers = orders.join(customers, F.col("c_custkey") == F.col("o_custkey"), "left").join(
+        nations, F.col("n_nationkey") == F.col("c_nationkey"), "left"
     )
-    headers = numbered(headers, "parts", "part_nr").drop("l_orderkey", "parts")
+    numbers = F.sequence(F.lit(0).cast("bigint"), F.lit(shares - 1).cast("bigint"))
+    nr = F.explode(numbers) if shares > 1 else F.lit(0).cast("bigint")
+    headers = headers.withColumn("part_nr", nr)
+    first = F.col("h.part_nr") == 0
     status = F.create_map(*(F.lit(x) for kv in STATUS_OF_LETTER.items() for x in kv))
     key = F.col("o_orderkey").cast("string")
-    suffix = F.when(F.col("part_nr") > 0, F.concat(F.lit("-"), "part_nr")).otherwise("")
+    suffix = F.when(first, "").otherwise(F.concat(F.lit("-"), F.col("h.part_nr")))
     details = F.struct(
         F.concat(F.lit("cus-"), "o_custkey").alias("customer_id"),
         F.col("o_orderdate").alias("order_timestamp"),
         F.col("o_orderdate").cast("date").alias("order_date"),
         "items",
-        F.col("o_totalprice").alias("total_amount"),
+        F.when(first, F.col("o_totalprice")).otherwise(0.0).alias("total_amount"),
         F.coalesce("volume", F.lit(0.0)).alias("total_volume"),
         F.coalesce("weight", F.lit(0.0)).alias("total_weight"),
         status[F.col("o_orderstatus")].alias("status"),
@@ -195,13 +184,11 @@ def build_envelopes(spark: SparkSession, sf_dir: str, older: bool = False) -> Da
             F.concat(F.lit("txn-"), "o_orderkey").alias("transaction_id"),
         ).alias("payment_details"),
     )
-    joined = headers.alias("h").join(
-        contents.alias("c"),
-        (F.col("h.o_orderkey") == F.col("c.l_orderkey"))
-        & (F.col("h.part_nr") == F.col("c.part_nr")),
-        "left",
-    )
-    return joined.drop(F.col("c.part_nr")).select(
+    same = F.col("h.o_orderkey") == F.col("c.l_orderkey")
+    if shares > 1:
+        same &= F.col("h.part_nr") == F.col("c.part_nr")
+    joined = headers.alias("h").join(contents.alias("c"), same, "left")
+    return joined.where(first | F.col("items").isNotNull()).select(
         F.concat(F.lit("ev-"), key, suffix).alias("event_id"),
         F.lit(ORDER_CREATED).alias("event_type"),
         F.col("o_orderdate").alias("event_timestamp"),
@@ -220,7 +207,8 @@ def build_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def build_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = base_table(spark, sf_dir, "part")
+    """Stock by product. One product in seven is not in stock at all."""
+    parts = base_table(spark, sf_dir, "part").where("p_partkey % 7 <> 0")
     return parts.select(
         F.concat(F.lit("prd-"), "p_partkey").alias("product_id"),
         (F.col("p_size").cast("bigint") * 30).alias("quantity"),
@@ -271,8 +259,10 @@ class Landing:
 
     def _builders(self):
         return {
-            "envelopes": lambda: build_envelopes(self.spark, self.sf_dir),
-            "envelopes_v1": lambda: build_envelopes(self.spark, self.sf_dir, older=True),
+            "envelopes": lambda: build_envelopes(self.spark, self.sf_dir, shares=SHARES),
+            "envelopes_v1": lambda: build_envelopes(
+                self.spark, self.sf_dir, older=True, shares=SHARES
+            ),
             "packages": lambda: build_packages(self.spark, self.sf_dir),
             "products": lambda: build_products(self.spark, self.sf_dir),
             "raw": lambda: raw_records(self.envelopes()),

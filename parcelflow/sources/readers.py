@@ -13,9 +13,10 @@ from pyspark.sql.types import StructType
 from parcelflow.schemas import ENVELOPE
 
 
-def read_json(spark: SparkSession, path: str, schema: StructType = ENVELOPE) -> DataFrame:
-    """JSON lines under a declared schema; nothing is inferred."""
-    return spark.read.schema(schema).json(path)
+def read_json(spark: SparkSession, path: str, schema: StructType = ENVELOPE) -> Decoded:
+    """JSON lines under a declared schema; nothing is inferred, and lines that
+    cannot be read are kept apart."""
+    return _parsed(spark.read.text(path), F.col("value"), schema)
 
 
 def read_files(
@@ -39,7 +40,8 @@ def stream_files(
     bytes_per_batch: int | None = None,
     name_pattern: str | None = None,
 ) -> DataFrame:
-    """Stream the files of a folder, from the oldest unless ``newest_first``.
+    """Stream the files of a folder, from the oldest unless ``newest_first``. To
+    leave out the files that are there already, see ``streaming.skip_present``.
 
     Without a limit the first batch holds all files present. ``bytes_per_batch``
     is the limit to use on large folders.
@@ -115,7 +117,8 @@ def _parsed(records: DataFrame, text: Column, schema: StructType) -> Decoded:
 
 def decode(records: DataFrame, schema: StructType = ENVELOPE, column: str = "data") -> Decoded:
     """JSON text in a binary column. A field of the wrong type becomes null and
-    its record is kept."""
+    its record is kept. Whatever a schema leaves out is not parsed; a record counts
+    as readable by the fields at the top, so give those in full."""
     return _parsed(records, F.col(column).cast("string"), schema)
 
 

@@ -66,6 +66,11 @@ class SnapshotTable:
         rows = self.spark.read.schema(typed).option("basePath", self.path).parquet(*paths)
         return rows.select(*schema.names)
 
+    def stream_path(self) -> str:
+        """Where a file stream finds the rows of a table that is only appended to: each
+        batch adds files and none is ever replaced."""
+        return f"{self.path}/version=*/{SLICE}=*"
+
     def slices(self) -> list[str]:
         return sorted(self._state().slices)
 

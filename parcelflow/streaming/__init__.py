@@ -5,6 +5,7 @@ from parcelflow.streaming.queries import (
     every,
     finish,
     inspect,
+    skip_present,
     stop_all,
     to_console,
     to_function,
@@ -22,6 +23,7 @@ __all__ = [
     "finish",
     "inspect",
     "large_state",
+    "skip_present",
     "stop_all",
     "to_console",
     "to_function",

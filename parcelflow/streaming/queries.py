@@ -64,6 +64,12 @@ def to_function(
     return _writer(stream, "update", trigger, checkpoint, name).foreachBatch(function).start()
 
 
+def skip_present(stream: DataFrame, checkpoint: str) -> None:
+    """Start at the latest: mark all that the source holds now as taken, without reading
+    it. A ``to_function`` query on the same checkpoint then begins with what comes later."""
+    finish(to_function(stream, lambda rows, batch: None, checkpoint))
+
+
 def to_memory(stream: DataFrame, name: str, trigger: Trigger = AVAILABLE_NOW) -> StreamingQuery:
     """Keep the rows on the driver as table ``name``; for looking at small streams."""
     return _writer(stream, "append", trigger, None, name).format("memory").start()
@@ -117,18 +123,19 @@ def inspect(query: StreamingQuery) -> dict[str, Any]:
 
 
 class ProgressLog(StreamingQueryListener):
-    """Collects (query name, batch, input rows) of finished batches."""
+    """Hands (query name, batch, input rows) of every finished batch to a function;
+    without one they are listed in ``batches``, for runs of few batches."""
 
-    def __init__(self, keep: int = 1000):
-        self.keep = keep
+    def __init__(self, record: Callable[[tuple[str | None, int, int]], None] | None = None):
         self.batches: list[tuple[str | None, int, int]] = []
+        self.record = self.batches.append if record is None else record
 
     def onQueryStarted(self, event):
         pass
 
     def onQueryProgress(self, event):
         p = event.progress
-        self.batches = [*self.batches, (p.name, p.batchId, p.numInputRows)][-self.keep :]
+        self.record((p.name, p.batchId, p.numInputRows))
 
     def onQueryTerminated(self, event):
         pass

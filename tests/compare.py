@@ -19,7 +19,7 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _text(value):
-    if value is None or value is pd.NaT or (isinstance(value, float) and value != value):
+    if value is None or value is pd.NaT or value is pd.NA or (isinstance(value, float) and value != value):
         return None
     if hasattr(value, "year"):
         return str(pd.Timestamp(value))

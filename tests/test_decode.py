@@ -4,8 +4,8 @@ import pytest
 from pyspark.errors import PySparkTypeError
 from pyspark.sql import functions as F
 
-from parcelflow.operators.projections import item_rows
-from parcelflow.schemas import ENVELOPE, RAW_RECORD, RAW_TEXT_RECORD
+from parcelflow.operators.projections import flat_orders, item_rows
+from parcelflow.schemas import ENVELOPE, ORDER_PART, RAW_RECORD, RAW_TEXT_RECORD
 from parcelflow.sources import readers
 
 GOOD = '{"event_id":"e1","order_id":"o1","event_timestamp":"2024-05-01T10:00:00Z"}'
@@ -71,3 +71,22 @@ def test_text_is_parsed_once(spark):
     rows = readers.decode(records(spark, GOOD)).rows
     plan = rows._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json(") == 1
+
+
+def test_json_lines_that_cannot_be_read_are_kept_apart(spark, tmp_path):
+    path = str(tmp_path / "lines.json")
+    with open(path, "w", encoding="utf-8") as file:
+        file.write(f"{GOOD}\nnot json\n\n[1, 2\n")
+    out = readers.read_json(spark, path)
+    assert [r.event_id for r in out.rows.collect()] == ["e1"]
+    assert sorted(r.value for r in out.rejected.collect()) == ["", "[1, 2", "not json"]
+
+
+def test_flat_orders_do_not_parse_items(spark):
+    text = GOOD[:-1] + ',"order_details":{"customer_id":"c1","items":[{"product_id":"p"}]}}'
+    flat = flat_orders(readers.decode(records(spark, text, "{}"), ORDER_PART).rows)
+    assert [r.customer_id for r in flat.collect()] == ["c1"]
+    assert "items" not in flat._jdf.queryExecution().optimizedPlan().toString()
+    only_items = records(spark, '{"order_details":{"items":[]}}')
+    assert readers.decode(only_items, ORDER_PART).rows.count() == 1
+    assert readers.decode(only_items, ENVELOPE).rows.count() == 1

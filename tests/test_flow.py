@@ -50,6 +50,32 @@ def test_batch_and_replay(spark, tmp_path):
     assert state(tables) == EXPECTED
     apply_batch(tables, first_batch(spark), "feed", 0, AT)
     assert state(tables) == EXPECTED
+    assert [tuple(r) for r in tables.changes.read().collect()] == [("o1", "RECEIVED", "PROCESSING")]
+
+
+def test_items_without_an_order_stay_pending(spark, tmp_path):
+    tables = setup(spark, tmp_path)
+    lost = envelopes(spark, envelope(None, [item([package("k2")])], "e9"))
+    apply_batch(tables, lost, "feed", 0, AT)
+    assert [r.status for r in tables.items.read().collect()] == ["PENDING"]
+
+
+def test_compaction_between_batches_keeps_rows(spark, tmp_path):
+    """Many batches; the list of slices stays short and the rows are those without compaction."""
+    landing = str(tmp_path / "landing")
+    for n in range(6):
+        batch = envelopes(spark, envelope(f"o{n}", [item([package("k1")])], f"e{n}"))
+        batch.coalesce(1).write.mode("append").parquet(landing)
+    states = []
+    for every in (0, 2):
+        tables = setup(spark, tmp_path / f"t{every}")
+        stream = readers.stream_files(spark, landing, ENVELOPE, files_per_batch=1)
+        checkpoint = str(tmp_path / f"c{every}")
+        finish(run_order_flow(stream, tables, checkpoint, "feed", at=AT, compact_every=every))
+        states.append(state(tables))
+        slices = len(tables.items.slices())
+        assert slices == 6 if every == 0 else slices <= 3
+    assert states[0] == states[1]
 
 
 @pytest.mark.parametrize("step", range(1, 9))
@@ -85,6 +111,8 @@ def test_short_stock(spark, tmp_path):
     assert {s for _, _, s in items} == {"PROCESSING"}
     from parcelflow.operators.projections import item_rows
 
+    kept = [(r.package_id, r.stock_quantity, r.items_quantity) for r in tables.shortages.read().collect()]
+    assert kept == [("k1", 11, 12)]
     short = shortages(
         spark.createDataFrame([("k1", 1, 11), ("k2", 1, 11)], PACKAGES), item_rows(batch)
     )

@@ -2,7 +2,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from parcelflow.functions import prefixed_uuid
+from parcelflow.functions import prefixed_hash, prefixed_uuid
 from parcelflow.operators import projections as P
 from parcelflow.operators import tables as T
 from parcelflow.schemas import ENVELOPE, ENVELOPE_V1, ORDER_ITEMS, ORDERS
@@ -159,3 +159,30 @@ def test_numbered_copies(spark):
     assert sorted(tuple(r) for r in out.collect()) == [
         ("a", 25_001, 0, 25_000, 25_001), ("b", 1, 0, 0, 1), ("d", 10_000, 0, 9_999, 10_000),
     ]
+
+
+def test_ids_of_different_keys_differ(spark):
+    keys = [("a|b", "c"), ("a", "b|c"), ("1:a", "b"), ("a", "1:b"), ("", "ab"), ("ab", "")]
+    rows = spark.createDataFrame(keys, "a string, b string")
+    ids = rows.select(prefixed_hash("x-", F.col("a"), F.col("b")).alias("id")).collect()
+    assert len({r.id for r in ids}) == len(keys)
+
+
+def test_order_columns_are_in_the_order_of_the_table(spark):
+    assert P.flat_orders(envelopes(spark)).columns == ORDERS.names
+
+
+def test_orders_by_time_and_stock(spark):
+    rows = [(i, f"k{i % 4}", 1, s) for i, s in enumerate([5, 3, 5, 9, 3, 1])]
+    packages = spark.createDataFrame(rows, "t int, package_id string, subpackage_id int, stock_quantity bigint")
+    packages = packages.repartition(4)
+
+    def stock(df):
+        return [(r.stock_quantity, r.package_id) for r in df.collect()]
+
+    rising = [(1, "k1"), (3, "k0"), (3, "k1"), (5, "k0"), (5, "k2"), (9, "k3")]
+    falling = [(9, "k3"), (5, "k0"), (5, "k2"), (3, "k0"), (3, "k1"), (1, "k1")]
+    assert stock(T.by_stock(packages)) == rising
+    assert stock(T.by_stock(packages, ascending=False)) == falling
+    newest = T.latest_first(packages, "stock_quantity", "t")
+    assert [r.t for r in newest.collect()] == [3, 0, 2, 1, 4, 5]

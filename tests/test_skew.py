@@ -4,7 +4,7 @@ import compare
 import pytest
 
 import __spark_entry__ as spark_entry
-from parcelflow.plans import oracle
+from parcelflow.plans import catalog
 from parcelflow.sources import landing
 
 BASE = "/root/testdata/sf0.001"
@@ -56,15 +56,35 @@ def db(hot_dir):
     return compare.connect(hot_dir)
 
 
-def test_hot_order_is_cut_into_envelopes(spark, hot_dir):
+@pytest.fixture(params=[1, 64])
+def shares(request, monkeypatch):
+    """Whole orders, and orders cut into many shares, all alike."""
+    monkeypatch.setattr(landing, "SHARES", request.param)
+    landing._landings.clear()
+    catalog._flows.clear()
+    yield request.param
+    landing._landings.clear()
+    catalog._flows.clear()
+
+
+def test_shares_add_up(spark, hot_dir, shares):
     envelopes = landing.landing(spark, hot_dir).envelopes()
-    sizes = envelopes.where("order_id = 'ord-7'").selectExpr(
+    hot = envelopes.where("order_id = 'ord-7'").selectExpr(
         "event_id", "size(order_details.items) AS n"
     ).collect()
-    limit = landing.LINES_PER_ENVELOPE
-    assert len(sizes) > 1 and len({r.event_id for r in sizes}) == len(sizes)
-    assert max(r.n for r in sizes) < 1.5 * limit
-    assert f"> {limit}" in oracle.all_sql()["items_explode"]
+    assert len({r.event_id for r in hot}) == len(hot)
+    assert max(r.n for r in hot) < 1.5 * sum(r.n for r in hot) / shares + 20
+    orders = spark.read.parquet(f"{hot_dir}/orders.parquet")
+    sums = envelopes.selectExpr(
+        "sum(order_details.total_amount) AS price", "sum(size(order_details.items)) AS lines"
+    ).first()
+    assert sums.price == pytest.approx(orders.agg({"o_totalprice": "sum"}).first()[0])
+    assert sums.lines == spark.read.parquet(f"{hot_dir}/lineitem.parquet").count()
+
+
+@pytest.mark.parametrize("name", ["orders_flatten", "items_explode", "merge_case", "flow_events"])
+def test_query_over_shares(spark, hot_dir, shares, name):
+    assert compare.check(spark, compare.connect(hot_dir), name, hot_dir) > 0
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -101,8 +121,8 @@ def no_broadcast(spark):
     ["items_by_product", "orders_to_processing_v1", "merge_case", "stock_outcome", "join_using"],
 )
 def test_hot_key_is_split_at_run_time(spark, hot_dir, no_broadcast, monkeypatch, name):
-    # Short envelopes, so that the hot order has many of them.
-    monkeypatch.setattr(landing, "LINES_PER_ENVELOPE", 4)
+    # Many envelopes for the hot order.
+    monkeypatch.setattr(landing, "SHARES", 512)
     df = spark_entry.queries()[name](spark, hot_dir)
     df.collect()
     assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()

@@ -261,6 +261,47 @@ def test_outer_stream_join_needs_watermarks(spark, tmp_path):
         st.append_files(joined, str(tmp_path / "o"), str(tmp_path / "c"))
 
 
+@pytest.mark.parametrize("how", ["right", "full", "outer", "left_anti"])
+def test_joins_that_copy_right_rows_keep_no_unmatched_ones(spark, how):
+    side = spark.range(2).select(F.col("id"), F.timestamp_seconds("id").alias("ts"))
+    with pytest.raises(ValueError):
+        joins.interval_join(side, side, [("id", "id")], ("ts", "ts"), timedelta(seconds=1), how=how)
+    items = spark.createDataFrame([], "inventory_id string, product_id string")
+    with pytest.raises(ValueError):
+        joins.stock_outcome(items, items, how=how, salts=8)
+
+
+def test_stock_counts_far_from_the_order_do_not_match(spark):
+    items = spark.createDataFrame(
+        [("i", "o", "p", 2, datetime(2024, 1, 1))],
+        "inventory_id string, order_id string, product_id string, quantity bigint, order_timestamp timestamp",
+    )
+    products = spark.createDataFrame(
+        [("p", 5, datetime(2024, 1, 2)), ("p", 9, datetime(2024, 2, 2))],
+        "product_id string, quantity bigint, updated_at timestamp",
+    )
+    got = joins.stock_outcome(items, products, "inner", salts=3, within=timedelta(days=2)).collect()
+    assert [r.quantity_updated for r in got] == [3]
+
+
+def test_start_at_latest_skips_what_is_there(spark, tmp_path):
+    path, checkpoint = str(tmp_path / "in"), str(tmp_path / "c")
+    spark.range(5).write.parquet(path)
+    stream = readers.stream_files(spark, path, spark.read.parquet(path).schema)
+    st.skip_present(stream, checkpoint)
+    seen = []
+    spark.range(100, 103).write.mode("append").parquet(path)
+    st.finish(st.to_function(stream, lambda rows, batch: seen.extend(r.id for r in rows.collect()), checkpoint))
+    assert sorted(seen) == [100, 101, 102]
+
+
+def test_progress_goes_to_a_function(spark, folder, tmp_path):
+    seen = []
+    log = st.ProgressLog(seen.append)
+    log.onQueryProgress(type("E", (), {"progress": type("P", (), {"name": "q", "batchId": 3, "numInputRows": 7})})())
+    assert seen == [("q", 3, 7)] and log.batches == []
+
+
 def test_unknown_stock_counts_as_short(spark):
     items = spark.createDataFrame(
         [("i", "o", "p", 2), ("j", "o", "q", 2)],
