@@ -103,10 +103,12 @@ def _units() -> Column:
     return F.col("item.quantity").cast("bigint") * F.col("package.quantity").cast("bigint")
 
 
-def item_quantities(envelopes: DataFrame) -> DataFrame:
-    """The part of the order items that stock needs. Works on envelopes read
-    with ``schemas.DEMAND_FIELDS`` alone, a fraction of their columns."""
-    return _packages(_items(envelopes, {})).select(
+def item_quantities(envelopes: DataFrame, *carried: str) -> DataFrame:
+    """The part of the order items that stock needs, with top-level fields that are
+    ``carried``. Works on envelopes read with ``schemas.DEMAND_FIELDS`` and these
+    alone, a fraction of their columns."""
+    return _packages(_items(envelopes, {c: c for c in carried})).select(
+        *carried,
         "package.package_id",
         "package.subpackage_id",
         _units().alias("items_quantity"),

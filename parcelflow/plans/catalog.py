@@ -12,8 +12,9 @@ import uuid
 from collections.abc import Callable
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from parcelflow.operators import joins, tables
 from parcelflow.operators.merge import (
@@ -103,16 +104,27 @@ def _quantities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return item_quantities(landing(spark, sf_dir).envelopes(DEMAND_FIELDS))
 
 
+def _order_number() -> Column:
+    return F.substring("order_id", 5, 20).cast("bigint")
+
+
+def _is_earlier() -> Column:
+    return _order_number() % 2 == 0
+
+
+def _earlier_status() -> Column:
+    statuses = F.array(*map(F.lit, (PENDING, PROCESSING, INTERRUPTED)))
+    return F.element_at(statuses, (_order_number() % 3 + 1).cast("int"))
+
+
 def _earlier(envelopes: DataFrame, project: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Items written before the batch: those of every second order under an older
     event, with mixed statuses. One product in five has left the range since."""
-    number = F.substring("order_id", 5, 20).cast("bigint")
     product = F.substring("product_id", 5, 20).cast("bigint")
-    statuses = F.array(*map(F.lit, (PENDING, PROCESSING, INTERRUPTED)))
     older = envelopes.withColumn("event_id", F.concat(F.lit("old-"), "event_id"))
-    return project(older.where(number % 2 == 0)).withColumns(
+    return project(older.where(_is_earlier())).withColumns(
         {
-            "status": F.element_at(statuses, (number % 3 + 1).cast("int")),
+            "status": _earlier_status(),
             "product_id": F.when(
                 product % 5 == 0, F.concat(F.lit("ret-"), product.cast("string"))
             ).otherwise(F.col("product_id")),
@@ -120,6 +132,14 @@ def _earlier(envelopes: DataFrame, project: Callable[[DataFrame], DataFrame]) ->
     )
 
 
+def _stored_quantities(spark, sf_dir) -> DataFrame:
+    """What stock needs of the items table, from narrow reads."""
+    schema = StructType([StructField("order_id", StringType()), *DEMAND_FIELDS])
+    older = landing(spark, sf_dir).envelopes(schema).where(_is_earlier())
+    rows = item_quantities(older, "order_id").withColumn("status", _earlier_status())
+    return _quantities(spark, sf_dir).unionByName(rows.drop("order_id"))
+
+
 def _stored(envelopes: DataFrame, project: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """The items table that a batch meets: its own new rows and earlier ones."""
     return project(envelopes).unionByName(_earlier(envelopes, project))
@@ -299,14 +319,13 @@ def count_unprocessed(spark, sf_dir):
 @_query
 def package_demand(spark, sf_dir):
     """Demand of the pending items of the whole items table."""
-    return tables.package_demand(_stored(landing(spark, sf_dir).envelopes(), item_rows))
+    return tables.package_demand(_stored_quantities(spark, sf_dir))
 
 
 @_query
 def package_demand_all(spark, sf_dir):
     """Demand without the status filter."""
-    stored = _stored(landing(spark, sf_dir).envelopes(), item_rows)
-    return tables.package_demand(stored, status=None)
+    return tables.package_demand(_stored_quantities(spark, sf_dir), status=None)
 
 
 @_query
