@@ -1,7 +1,7 @@
 """Exact duplicates with frequent texts removed on the map side.
 
 A Misra-Gries summary (``freqItems``) names the digests that may hold more than a share
-``support`` of all rows; it never misses one and never names more than ``1 / support``,
+``support`` of all rows; it never misses one and never names more than ``2 / support``,
 whatever the data. An exact count verifies them, and the verified ones, with the row that
 stays, are broadcast: their rows are decided where they are read. Only the other digests,
 each with less than that share, are shuffled.
