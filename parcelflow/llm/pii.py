@@ -8,6 +8,10 @@ number, the single parts of a name), so that one person or number has one surrog
 All keys of the corpus meet in one table. There a candidate is refused when it equals another key's
 surrogate or any real key of its type; refused keys draw again until none is left. So different keys have
 different surrogates, and no surrogate is somebody else's data. Only texts that hold a mention are shuffled.
+
+Names get longer from draw to draw. The other types keep the form of the key for ``SAME_FORM`` draws; keys still
+left then draw from a wider form, so that a form that is used up ends no job: an address with letters in front,
+a number with digits behind, one more in each draw, and any octets.
 """
 
 from __future__ import annotations
@@ -21,6 +25,8 @@ EMAIL, IP, CARD, PHONE, NAME = KINDS = ("email", "ip", "card", "phone", "name")
 KEY = "surrogates"
 #: Draws after which a type is taken to have no free surrogates left.
 MOST_DRAWS = 40
+#: Draws that keep the form of the key.
+SAME_FORM = 20
 
 # Forms of address by gender.
 MALE = ("Mr", "Mister", "Herr", "Herrn", "Señor", "Sr", "Monsieur", "Signor", "господин", "г-н", "κύριος")
@@ -141,21 +147,32 @@ def luhn_sum(digits: Column) -> Column:
     return F.aggregate(F.transform(_points(digits), worth), F.lit(0), lambda a, b: a + b)
 
 
-def _card(value: Column, stream: Column) -> Column:
+def _more(extra: int, one) -> Column:
+    """``extra`` characters of a wider form."""
+    return _joined(F.transform(F.sequence(F.lit(1), F.lit(extra)), one)) if extra else F.lit("")
+
+
+def _more_digits(stream: Column, extra: int) -> Column:
+    return _more(extra, lambda i: _digit(stream, i + 70))
+
+
+def _card(value: Column, stream: Column, extra: int = 0) -> Column:
     """Other digits with the same first one; a valid check digit stays valid."""
-    body = _digits(F.substr(value, F.lit(1), F.length(value) - 1), stream)
+    body = F.concat(_digits(F.substr(value, F.lit(1), F.length(value) - 1), stream), _more_digits(stream, extra))
     check = F.pmod(10 - luhn_sum(F.concat(body, F.lit("0"))) % 10, F.lit(10))
     other = F.pmod(check + 1 + _byte(stream, F.lit(100)) % 9, F.lit(10))
     valid = luhn_sum(value) % 10 == 0
     return F.concat(body, F.when(valid, check).otherwise(other).cast("string"))
 
 
-def _ip(value: Column, stream: Column) -> Column:
-    """Other octets of the same number of digits."""
+def _ip(value: Column, stream: Column, extra: int = 0) -> Column:
+    """Other octets of the same number of digits; in the wider form of any."""
     octets = F.split(value, r"\.")
 
     def octet(x, i):
         b = _byte(stream, i * 2) + _byte(stream, i * 2 + 1) * 256
+        if extra:
+            return (b % 256).cast("string")
         return (
             F.when(F.length(x) == 1, b % 10).when(F.length(x) == 2, b % 90 + 10).otherwise(b % 156 + 100)
         ).cast("string")
@@ -163,7 +180,7 @@ def _ip(value: Column, stream: Column) -> Column:
     return F.array_join(F.transform(octets, octet), ".")
 
 
-def _email(value: Column, stream: Column) -> Column:
+def _email(value: Column, stream: Column, extra: int = 0) -> Column:
     """Other letters and digits where there are some; the last label of the host stays."""
     host = F.regexp_extract(value, r"(\.[a-z]+)$", 1)
     head = F.substr(value, F.lit(1), F.length(value) - F.length(host))
@@ -177,17 +194,18 @@ def _email(value: Column, stream: Column) -> Column:
             .otherwise(c)
         )
 
-    return F.concat(_joined(F.transform(_points(head), other)), host)
+    front = _more(extra, lambda i: _char(letters, _byte(stream, i + 70) % 26))
+    return F.concat(front, _joined(F.transform(_points(head), other)), host)
 
 
-def _name(value: Column, gender: str, stream: Column) -> Column:
+def _name(value: Column, gender: str, stream: Column, draw: int = 0) -> Column:
     """A name of syllables in the same script, with an end that fits the gender."""
 
     def of(script: str) -> Column:
         consonants, vowels, ends = SOUNDS[script]
         c, v, e = (F.array(*map(F.lit, x)) for x in (consonants, vowels, ends[gender]))
         # As many syllables as fit the length, and more where draws need room.
-        n = F.greatest(F.lit(2), F.least(F.lit(6), F.length(value) / 2)).cast("int")
+        n = F.greatest(F.lit(2), F.least(F.lit(6), F.length(value) / 2)).cast("int") + draw // 2
 
         def syllable(i):
             return F.concat(
@@ -215,22 +233,22 @@ def _name(value: Column, gender: str, stream: Column) -> Column:
 def candidate(key: Column, draw: int, secret: str) -> Column:
     """The surrogate that a ``type:canonical`` key draws, without its type."""
     kind, value = F.substring_index(key, ":", 1), F.substr(key, F.instr(key, F.lit(":")) + 1)
-    stream = _bytes(key, draw, secret)
+    stream, extra = _bytes(key, draw, secret), max(0, draw + 1 - SAME_FORM)
     return (
-        F.when(kind == EMAIL, _email(value, stream))
-        .when(kind == IP, _ip(value, stream))
-        .when(kind == CARD, _card(value, stream))
-        .when(kind == PHONE, _digits(value, stream))
-        .when(kind == "m", _name(value, "m", stream))
-        .when(kind == "f", _name(value, "f", stream))
-        .otherwise(_name(value, "s", stream))
+        F.when(kind == EMAIL, _email(value, stream, extra))
+        .when(kind == IP, _ip(value, stream, extra))
+        .when(kind == CARD, _card(value, stream, extra))
+        .when(kind == PHONE, F.concat(_digits(value, stream), _more_digits(stream, extra)))
+        .when(kind == "m", _name(value, "m", stream, draw))
+        .when(kind == "f", _name(value, "f", stream, draw))
+        .otherwise(_name(value, "s", stream, draw))
     )
 
 
 def surrogates(keys: DataFrame, secret: str = KEY) -> DataFrame:
     """``key, surrogate`` for a table of distinct keys, no two with the same surrogate of one type and none
     with a surrogate that is itself a key. In each draw, of the keys that want one surrogate the least has it.
-    Raises an error when a type has no free surrogates for its keys."""
+    Raises an error when the wider forms have no free surrogates either, as for more addresses than IPv4 has."""
     done, left = [], keys
     for draw in range(MOST_DRAWS):
         wanted = left.withColumn("surrogate", candidate(F.col("key"), draw, secret)).withColumn(
@@ -264,30 +282,32 @@ def rendered(mention: Column, of_key: Column) -> Column:
     whole = F.element_at(of_key, F.element_at(keys, 1))
 
     def cased():
-        return _joined(
-            F.transform(
-                _points(mention),
-                lambda i: F.when(_char(mention, i) != F.lower(_char(mention, i)), F.upper(_char(whole, i))).otherwise(
-                    _char(whole, i)
-                ),
-            )
+        # Letters of a wider form stand in front.
+        front = F.length(whole) - F.length(mention)
+        same = F.transform(
+            _points(mention),
+            lambda i: F.when(
+                _char(mention, i) != F.lower(_char(mention, i)), F.upper(_char(whole, i + front))
+            ).otherwise(_char(whole, i + front)),
         )
+        return F.concat(F.substr(whole, F.lit(1), front), _joined(same))
 
     def spaced():
-        # The n-th digit of the mention becomes the n-th of the surrogate.
+        # The n-th digit of the mention becomes the n-th of the surrogate; digits of a wider form stand behind.
         digits = F.regexp_replace(whole, r"\+", "")
         before = F.transform(
             _points(mention),
             lambda i: F.length(F.regexp_replace(F.substr(mention, F.lit(1), i), "[^0-9]", "")),
         )
-        return _joined(
-            F.transform(
-                _points(mention),
-                lambda i: F.when(
-                    _char(mention, i).between("0", "9"), _char(digits, F.element_at(before, i + 1))
-                ).otherwise(_char(mention, i)),
-            )
+        same = F.transform(
+            _points(mention),
+            lambda i: F.when(
+                _char(mention, i).between("0", "9"), _char(digits, F.element_at(before, i + 1))
+            ).otherwise(_char(mention, i)),
         )
+        # The count before a place leaves its own digit out.
+        used = F.length(F.regexp_replace(mention, "[^0-9]", ""))
+        return F.concat(_joined(same), F.substr(digits, used + 1, F.length(digits)))
 
     def named():
         head, name = _named(mention)

@@ -108,6 +108,34 @@ def test_too_few_surrogates_are_an_error(spark, monkeypatch):
         pii.surrogates(keys, "k")
 
 
+def test_more_first_names_than_short_ones(spark):
+    """1,280 surrogates of two syllables."""
+    names = F.concat(F.lit("f:"), F.translate(F.lpad(F.col("id").cast("string"), 4, "0"), "0123456789", "bcdfghijkl"))
+    got = pii.surrogates(spark.range(2000).select(names.alias("key")), "k").collect()
+    assert len(got) == len({r.surrogate for r in got}) == 2000
+    assert all(r.surrogate.endswith("a") for r in got)
+
+
+def test_a_form_that_is_used_up_gets_wider(spark, monkeypatch):
+    monkeypatch.setattr(pii, "SAME_FORM", 2)
+    ids = spark.range(10)
+    value = F.col("id").cast("string")
+    keys = ids.select(F.concat(F.lit("phone:1"), value).alias("key")).unionAll(
+        ids.select(F.concat(value, F.lit("@_.zz")).alias("key")).select(F.concat(F.lit("email:"), "key").alias("key"))
+    )
+    got = {r.key: r.surrogate for r in pii.surrogates(keys, "k").collect()}
+    assert len(got) == 20 and len(set(got.values())) == 20
+    assert not {k.split(":")[1] for k in got} & set(got.values())
+
+
+def test_wider_surrogates_are_written_whole(spark):
+    rows = [("A.b@Mail.com", "xya.c@mail.com"), ("+1 (499) 555-6503", "+1234567890199"), ("4111 1111 1111 1111", "42222222222222229")]
+    df = spark.createDataFrame(rows, "mention string, surrogate string")
+    maps = F.create_map(F.element_at(pii.keys_of(F.col("mention")), 1), "surrogate")
+    got = [r[0] for r in df.select(pii.rendered(F.col("mention"), maps)).collect()]
+    assert got == ["xyA.c@Mail.com", "+1 (234) 567-890199", "4222 2222 2222 22229"]
+
+
 def test_odd_documents(spark):
     rows = [*odd.ROWS, (30, None), (31, "a.b@example.com " * 2000), (31, "a.b@example.com " * 2000)]
     docs = odd.documents(spark, rows)
