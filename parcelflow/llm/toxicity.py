@@ -26,9 +26,9 @@ from parcelflow.llm.common import about, batches, crc_of_id, grouped_texts, save
 BUCKET_BITS, WIDTH = 18, 4
 BUCKETS = 1 << BUCKET_BITS
 GRAMS = (3, 4, 5)
-#: Labelled texts of class 0 and 1 that the model learns from, about, if there are more, of those of up
-#: to ``SAMPLE_POINTS`` code points. All texts are scored, whole.
-SAMPLE, SAMPLE_POINTS = (7500, 2500), 4000
+#: Labelled texts of class 0 and 1 that the model learns from, about, if there are more. All texts are
+#: scored, whole.
+SAMPLE = (7500, 2500)
 EPOCHS, RATE, DECAY = 80, 0.5, 1e-6
 #: Buckets that fewer sampled words and texts hold keep the embedding zero.
 LEAST = 8
@@ -88,6 +88,12 @@ def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return (hashed >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), np.concatenate(owners)
 
 
+def counted(text: str) -> tuple[str, list[int]]:
+    """The distinct tokens of a text, with blanks between, and how often each occurs."""
+    tokens = Counter(text.split())
+    return " ".join(tokens), list(tokens.values())
+
+
 @dataclass
 class Model:
     embedding: np.ndarray  # buckets x width
@@ -103,13 +109,15 @@ class Model:
 
 
 class Bags:
-    """Texts as sparse means: words of texts, and subwords of words, over the buckets in use."""
+    """Texts as sparse means: words of texts, and subwords of words, over the buckets in use. A text may
+    be given as its distinct tokens and how often each occurs."""
 
-    def __init__(self, sample: list[str]):
+    def __init__(self, sample: list[str | tuple[str, list[int]]]):
         known: dict[str, int] = {}
         doc, word, count = [], [], []
         for row, text in enumerate(sample):
-            for token, times in Counter(text.split()).items():
+            tokens, times_of = counted(text) if isinstance(text, str) else text
+            for token, times in zip(tokens.split(), times_of):
                 found = bare(token)
                 if found:
                     doc.append(row)
@@ -145,7 +153,7 @@ class Bags:
         return out
 
 
-def train(sample: list[str], labels: np.ndarray, epochs: int = EPOCHS) -> Model:
+def train(sample: list[str | tuple[str, list[int]]], labels: np.ndarray, epochs: int = EPOCHS) -> Model:
     """Embeddings and linear layer, trained together; both classes weigh the same in the loss.
     Without texts of both classes the model is all zeros and scores one half."""
     rng = np.random.default_rng(10)
@@ -217,28 +225,42 @@ class Scorer:
 def fit(docs: DataFrame, labels: DataFrame, held_out: int = 1) -> tuple[np.ndarray, float]:
     """Shares of buckets and the offset of a model of ``labels.toxic`` over a bounded sample (``SAMPLE``) of labelled documents whose
     crc32(doc_id) modulo 3 is not ``held_out``. Null ids, texts and labels are not learned from;
-    of several labels of one id the largest counts. The sample is trained on in one task."""
+    of several labels of one id the largest counts. Texts of all lengths are drawn alike, reduced to their
+    distinct tokens with counts where they are read, and trained on in one task."""
     marks = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(
         F.max("toxic").alias("toxic")
     )
-    size = docs.where(F.col("doc_id").isNotNull() & (F.pmod(crc_of_id(), F.lit(3)) != held_out)).select(
-        "doc_id", F.length("text").alias("size")
-    )
-    rows = saved(size.where(F.col("size") <= SAMPLE_POINTS).select("doc_id").distinct().join(marks, "doc_id"))
+    known = F.col("doc_id").isNotNull() & F.col("text").isNotNull()
+    ids = docs.where(known & (F.pmod(crc_of_id(), F.lit(3)) != held_out)).select("doc_id").distinct()
+    rows = saved(ids.join(marks, "doc_id"))
     drawn = [about(saved(rows.where(F.col("toxic") == k)), most) for k, most in enumerate(SAMPLE)]
     chosen = saved(drawn[0].union(drawn[1]))
     # Of several texts of an id the largest is learned from.
     sample = (
         docs.select("doc_id", "text")
-        .where(F.length("text") <= SAMPLE_POINTS)
+        .where(known)
         .join(F.broadcast(chosen), "doc_id")
         .groupBy("doc_id", "toxic")
         .agg(F.max("text").alias("text"))
     )
 
+    schema = pa.schema(
+        [("doc_id", pa.int64()), ("toxic", pa.int64()), ("tokens", pa.string()), ("times", pa.list_(pa.int32()))]
+    )
+
+    def reduced(incoming: Iterator[pa.RecordBatch]):
+        for batch in incoming:
+            for doc_id, toxic, text in zip(*batch.columns):
+                yield doc_id.as_py(), toxic.as_py(), *counted(text.as_py())
+
+    sample = sample.mapInArrow(
+        lambda incoming: batches(reduced(incoming), schema, 64),
+        "doc_id bigint, toxic bigint, tokens string, times array<int>",
+    )
+
     def learn(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("doc_id", ignore_index=True)
-        model = train(list(frame["text"]), frame["toxic"].to_numpy())
+        model = train(list(zip(frame["tokens"], frame["times"])), frame["toxic"].to_numpy())
         shares = model.shares()
         used = np.flatnonzero(shares)
         return pd.DataFrame(

@@ -85,6 +85,16 @@ def test_held_out_labels_and_other_columns_do_not_matter(spark):
     assert scores[0] == scores[1] == scores[2]
 
 
+def test_long_texts_are_learned_from(spark):
+    """All toxic texts are long pages."""
+    plain = " ".join(f"word{i}" for i in range(900))
+    docs = odd.documents(spark, [(i, f"{plain} {'idiot ' * 300}" if i % 2 else "word1 word2") for i in range(90)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(90)], "doc_id bigint, toxic int")
+    got = {r.doc_id: r.predicted for r in tox.toxicity(docs, labels).collect()}
+    assert all(got[i] == i % 2 for i in range(90))
+    assert tox.counted("b a b") == ("b a", [2, 1])
+
+
 def test_odd_documents(spark):
     labels = spark.createDataFrame(
         [(1, 1), (2, 0), (2, 1), (3, 0), (6, 0), (7, None), (None, 1), (99, 1)], "doc_id bigint, toxic int"
