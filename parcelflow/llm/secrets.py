@@ -142,14 +142,16 @@ def linked(text: str, base: list[Part], reach: int = REACH) -> tuple[list[Part],
     for key in of["key"].parts:
         if of["access"].nearest(key, reach):
             shown.add(key)
+    armed: list[Part] = []
     for part in access:
         secret = secret_near(part)
         if secret:
+            armed.append(part)
             place = of["endpoint"].nearest(part, reach)
             credentials.append([p for p in (part, secret, place) if p])
+    with_secret = Scopes(armed, breaks)
     for place in of["endpoint"].parts:
-        identity = of["access"].nearest(place, reach)
-        if of["assign"].nearest(place, reach) or (identity and secret_near(identity)):
+        if of["assign"].nearest(place, reach) or with_secret.nearest(place, reach):
             shown.add(place)
     used = {p for c in credentials for p in c}
     for part in assign:
