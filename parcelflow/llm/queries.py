@@ -11,6 +11,7 @@ from parcelflow.llm import (
     ann,
     bpe,
     exact_dedup,
+    harmonic,
     language_model,
     near_dedup,
     packing,
@@ -65,6 +66,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return harmonic.piece_digests(harmonic.pack(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -78,6 +83,7 @@ QUERIES: dict[str, Query] = {
         op8_exact_dedup,
         op9_surrogates,
         op10_toxicity,
+        op11_harmonic_packing,
     )
 }
 
