@@ -13,6 +13,7 @@ from parcelflow.llm import (
     exact_dedup,
     harmonic,
     language_model,
+    merkle,
     near_dedup,
     packing,
     pii,
@@ -70,6 +71,10 @@ def op11_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return harmonic.piece_digests(harmonic.pack(table(spark, sf_dir, "documents")))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.check_rows(table(spark, sf_dir, "documents"), merkle.without_line_ends())
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -84,6 +89,7 @@ QUERIES: dict[str, Query] = {
         op9_surrogates,
         op10_toxicity,
         op11_harmonic_packing,
+        op13_merkle_manifest,
     )
 }
 
