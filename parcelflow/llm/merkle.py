@@ -146,9 +146,14 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 # -- proofs ------------------------------------------------------------------
 
 
-def blocks_of(first: Column, end: Column) -> Column:
-    """The numbers of blocks from the first up to ``end``, which is left out."""
-    return F.explode(F.sequence(first, end - 1))
+def with_blocks(rows: DataFrame, first: Column, end: Column, name: str) -> DataFrame:
+    """Each row once for each number from ``first`` up to ``end``, which is left out; in two steps, so that no
+    row ever carries more than a short list of numbers."""
+    step = 1 << 12
+    coarse = rows.withColumns({"_first": first.cast("bigint"), "_end": end.cast("bigint")})
+    coarse = coarse.withColumn("_from", F.explode(F.expr(f"sequence(_first, _end - 1, {step}L)")))
+    numbers = F.expr(f"sequence(_from, least(_from + {step - 1}, _end - 1))")
+    return coarse.withColumn(name, F.explode(numbers)).drop("_first", "_end", "_from")
 
 
 def jump(rows: DataFrame, distance: int) -> DataFrame:
@@ -162,7 +167,7 @@ def jump(rows: DataFrame, distance: int) -> DataFrame:
         below = WIDTH ** (distance - NEAR)
         # Nodes of the tree on the level of ``low``, in blocks.
         blocks = F.expr(f"(leaves - 1) div cast(power({WIDTH}, level) AS bigint) div {BLOCK} + 1")
-        high = high.select("*", blocks_of(F.col("to") * below, F.least((F.col("to") + 1) * below, blocks)).alias("block"))
+        high = with_blocks(high, F.col("to") * below, F.least((F.col("to") + 1) * below, blocks), "block")
         low = low.withColumn("block", F.expr(f"pos div {BLOCK}"))
         keys.append("block")
     joined = low.join(high.drop("leaves"), keys, "left")
@@ -209,8 +214,11 @@ def manifest(docs: DataFrame, claim: Column | None = None) -> DataFrame:
     bounds = sources.agg(F.max("size").alias("size"), F.max("trees").alias("trees")).first()
     # The number of a source reaches its rows by ranges of neighbours: one source may hold most of all rows.
     block = F.expr(f"pos div {BLOCK}")
-    numbers = sources.select(
-        F.col("source").alias("_source"), "tree", blocks_of(F.lit(0), F.expr(f"(size - 1) div {BLOCK} + 1")).alias("_block")
+    numbers = with_blocks(
+        sources.select(F.col("source").alias("_source"), "tree", "size"),
+        F.lit(0),
+        F.expr(f"(size - 1) div {BLOCK} + 1"),
+        "_block",
     )
     leaves = rows.withColumn("_at", block).join(
         numbers, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_at") == F.col("_block"))
@@ -233,8 +241,9 @@ def manifest(docs: DataFrame, claim: Column | None = None) -> DataFrame:
         F.col("pos").alias("tree"),
         F.col("row.digest").alias("subroot"),
         F.col("proof").alias("more"),
-        blocks_of(F.lit(0), F.expr(f"(row.size - 1) div {BLOCK} + 1")).alias("block"),
+        F.col("row.size").alias("size"),
     )
+    upper = with_blocks(upper, F.lit(0), F.expr(f"(size - 1) div {BLOCK} + 1"), "block")
     root = tops.first()
     sides = F.concat("proof", "more")
     return (
@@ -280,3 +289,83 @@ def without_line_ends() -> Column:
     """The leaf of a row; where crc32(doc_id) is even, of the row without the line feeds of its text."""
     cut = F.replace(F.col("text"), F.lit("\n"), F.lit(""))
     return row_digest(text=F.when(F.pmod(crc_of_id(), F.lit(2)) == 0, cut).otherwise(F.col("text")))
+
+
+#: crc32 of a number's decimal text, for DuckDB: ``crc_table`` holds the 256 remainders in ``t``.
+CRC_TABLE_SQL = """crc_table AS MATERIALIZED (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM (SELECT unnest(range(0, 256))::BIGINT AS i))"""
+
+
+def crc_sql(octets: str) -> str:
+    """crc32 of a list of bytes (BIGINT) in DuckDB, beside ``crc_table``."""
+    return (
+        f"xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], {octets}), "
+        "lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)])))"
+    )
+
+
+def _field_sql(value: str) -> str:
+    return f"coalesce(strlen(({value})::VARCHAR) || ':' || ({value})::VARCHAR, '-')"
+
+
+def _leaf_sql(text: str) -> str:
+    return f"sha256({' || '.join(_field_sql(text if c == 'text' else c) for c in FIELDS)})"
+
+
+MANIFEST_SQL = f"""
+WITH RECURSIVE {CRC_TABLE_SQL},
+docs AS (
+  SELECT *, {crc_sql("list_transform(string_split(coalesce(doc_id::VARCHAR, ''), ''), lambda x: ascii(x)::BIGINT)")} AS crc
+  FROM documents, crc_table),
+leaves AS (
+  SELECT doc_id, source, {_leaf_sql("text")} AS leaf,
+    {_leaf_sql("CASE WHEN crc % 2 = 0 THEN replace(text, chr(10), '') ELSE text END")} AS claim FROM docs),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+    count(*) OVER (PARTITION BY source) AS n, row_number() OVER () AS item FROM leaves),
+nodes(source, level, pos, n, digest) AS (
+  SELECT source, 0, pos, n, leaf FROM placed
+  UNION ALL
+  SELECT source, level + 1, pos // 3, (max(n) + 2) // 3, sha256(string_agg(digest, '' ORDER BY pos))
+  FROM nodes WHERE n > 1 GROUP BY source, level, pos // 3),
+tops AS (
+  SELECT source, level AS height, digest, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos,
+    count(*) OVER () AS n FROM nodes WHERE n = 1),
+upper(level, pos, n, digest) AS (
+  SELECT 0, pos, n, digest FROM tops
+  UNION ALL
+  SELECT level + 1, pos // 3, (max(n) + 2) // 3, sha256(string_agg(digest, '' ORDER BY pos))
+  FROM upper WHERE n > 1 GROUP BY level, pos // 3),
+sides AS (
+  SELECT a.source, a.level, a.pos,
+    coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS l,
+    coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS r
+  FROM nodes a JOIN nodes b ON a.source IS NOT DISTINCT FROM b.source AND a.level = b.level AND a.pos // 3 = b.pos // 3
+  WHERE a.n > 1 GROUP BY ALL),
+upper_sides AS (
+  SELECT a.level, a.pos,
+    coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS l,
+    coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS r
+  FROM upper a JOIN upper b ON a.level = b.level AND a.pos // 3 = b.pos // 3
+  WHERE a.n > 1 GROUP BY ALL),
+steps AS (
+  SELECT item, s.level, s.l, s.r FROM placed p
+  JOIN sides s ON p.source IS NOT DISTINCT FROM s.source AND p.pos // (3 ** s.level)::BIGINT = s.pos
+  UNION ALL
+  SELECT item, t.height + u.level, u.l, u.r FROM placed p
+  JOIN tops t ON p.source IS NOT DISTINCT FROM t.source
+  JOIN upper_sides u ON t.pos // (3 ** u.level)::BIGINT = u.pos),
+folds(item, level, held) AS (
+  SELECT item, 0, claim FROM placed
+  UNION ALL
+  SELECT f.item, f.level + 1, sha256(s.l || f.held || s.r) FROM folds f JOIN steps s USING (item, level)),
+proofs AS (SELECT item, string_agg(l || r, '' ORDER BY level) AS siblings FROM steps GROUP BY item),
+last AS (SELECT item, arg_max(held, level) AS folded FROM folds GROUP BY item)
+SELECT p.doc_id, p.leaf, t.digest AS subroot, root.digest AS root, sha256(coalesce(siblings, '')) AS proof_sha256,
+  folded AS folded_root, folded = root.digest AS verified
+FROM placed p JOIN tops t ON p.source IS NOT DISTINCT FROM t.source
+JOIN last USING (item) LEFT JOIN proofs USING (item)
+CROSS JOIN (SELECT digest FROM upper WHERE n = 1) root
+"""

@@ -93,4 +93,7 @@ QUERIES: dict[str, Query] = {
     )
 }
 
-SQL: dict[str, str] = {"op8_exact_dedup": exact_dedup.EXACT_DEDUP_SQL}
+SQL: dict[str, str] = {
+    "op8_exact_dedup": exact_dedup.EXACT_DEDUP_SQL,
+    "op13_merkle_manifest": merkle.MANIFEST_SQL,
+}

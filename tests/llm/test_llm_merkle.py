@@ -2,12 +2,13 @@ import hashlib
 import zlib
 from collections import defaultdict
 
+import duckdb
 import odd_documents as odd
 import pytest
 from pyspark.sql import functions as F
 
 from parcelflow.llm import merkle
-from parcelflow.llm.queries import QUERIES
+from parcelflow.llm.queries import QUERIES, SQL
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -78,6 +79,11 @@ def test_query_against_trees_in_memory(spark):
     got = odd.rows_of(QUERIES["op13_merkle_manifest"](spark, SF_DIR), *COLUMNS)
     assert got == expected(rows)
     assert 0 < sum(r[-1] for r in got) < len(got)
+    with duckdb.connect() as db:
+        db.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF_DIR}/documents.parquet'")
+        twin = db.sql(SQL["op13_merkle_manifest"])
+        assert set(twin.columns) == set(COLUMNS)
+        assert sorted(twin.project(",".join(COLUMNS)).fetchall(), key=repr) == got
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 3, 4, 9, 10, 28, 82])
