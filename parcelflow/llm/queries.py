@@ -19,6 +19,7 @@ from parcelflow.llm import (
     pii,
     quality,
     secrets,
+    spelling,
     toxicity,
 )
 from parcelflow.llm.common import table
@@ -71,6 +72,10 @@ def op11_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return harmonic.piece_digests(harmonic.pack(table(spark, sf_dir, "documents")))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.check_rows(table(spark, sf_dir, "documents"), merkle.without_line_ends())
 
@@ -89,11 +94,13 @@ QUERIES: dict[str, Query] = {
         op9_surrogates,
         op10_toxicity,
         op11_harmonic_packing,
+        op12_spelling_variants,
         op13_merkle_manifest,
     )
 }
 
 SQL: dict[str, str] = {
     "op8_exact_dedup": exact_dedup.EXACT_DEDUP_SQL,
+    "op12_spelling_variants": spelling.VARIANTS_SQL,
     "op13_merkle_manifest": merkle.MANIFEST_SQL,
 }
