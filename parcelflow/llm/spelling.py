@@ -37,7 +37,7 @@ LEVELS = len(GROUPS) + 1
 PLACE = 4000
 DEPTHS = (2, 3, 4, 5, 6, 8, 10, 13, LEVELS)
 #: Words that one task searches, about, and the steps of a search and pairs of words it takes at a time.
-TASK = 40_000
+TASK = 10_000
 STEPS, PAIRS = 1 << 16, 1 << 16
 #: Code points of words that are compared side by side; longer ones are compared one by one.
 WIDE = 32
@@ -300,12 +300,15 @@ def near_words(found: DataFrame) -> DataFrame:
     with every word one edit apart."""
     sizes = saved(place_sizes(found))
     depth = depth_of(sizes)
-    parts = sizes.where(F.col("depth") == depth).select(
-        "place", F.ceil(F.col("words") / PLACE).cast("int").alias("parts")
+    # Only places that the last depth leaves crowded are cut; there are none in most tables.
+    crowded = saved(
+        sizes.where((F.col("depth") == depth) & (F.col("words") > PLACE)).select(
+            "place", F.ceil(F.col("words") / PLACE).cast("int").alias("parts")
+        )
     )
     total = found.count()
     tasks = max(1, -(-total // TASK))
-    rows = routed(found, depth).join(parts, "place")
+    rows = routed(found, depth).join(crowded, "place", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     own = F.pmod(F.xxhash64("word"), F.col("parts")).cast("int")
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     here = F.col("spent") == HERE
