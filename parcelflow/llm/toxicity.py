@@ -1,8 +1,8 @@
 """Toxicity by embeddings of subwords, averaged, under a linear softmax.
 
 A word is the bag of its character n-grams and itself, each with an embedding in a hashed table;
-the word's vector is their mean, the text's the mean over its words, and a linear softmax gives the
-classes. Embeddings and the linear layer are trained together by full-batch Adam in numpy. A
+the word's vector is their mean, the text's the mean over its words and ``NULL_WORDS`` vectors of zeros, so that
+few words say little, and a linear softmax gives the classes. Embeddings and the linear layer are trained together by full-batch Adam in numpy. A
 misspelt word that was never seen shares most n-grams with the one that was.
 
 Since the model is linear above the embeddings, a trained model gives each word one number, its
@@ -23,15 +23,18 @@ from pyspark.sql import functions as F
 
 from parcelflow.llm.common import about, batches, crc_of_id, grouped_texts, saved, texts
 
-BUCKET_BITS, WIDTH = 18, 4
+BUCKET_BITS, WIDTH = 18, 2
 BUCKETS = 1 << BUCKET_BITS
 GRAMS = (3, 4, 5)
 #: Labelled texts of class 0 and 1 that the model learns from, about, if there are more. All texts are
 #: scored, whole.
 SAMPLE = (7500, 2500)
-EPOCHS, RATE, DECAY = 80, 0.5, 1e-6
-#: Buckets that fewer sampled words and texts hold keep the embedding zero.
-LEAST = 8
+EPOCHS, RATE, DECAY = 160, 0.5, 3e-6
+#: Vectors of zeros in the mean of each text.
+NULL_WORDS = 20
+#: Buckets that fewer words of sampled texts hold keep the embedding zero: this many, or in a small sample this
+#: share of its texts.
+LEAST, LEAST_SHARE = 8, 0.003
 THRESHOLD = 0.7
 #: Words whose share is kept by a task.
 CACHED = 300_000
@@ -126,12 +129,12 @@ class Bags:
         self.n, self.words = len(sample), len(known)
         self.doc, self.word = np.array(doc, np.int64), np.array(word, np.int64)
         count = np.array(count, np.float64)
-        self.part = count / np.bincount(self.doc, count, self.n)[self.doc]
+        self.part = count / (np.bincount(self.doc, count, self.n) + NULL_WORDS)[self.doc]
         flat, word_of = subwords(list(known))
         sizes = np.bincount(word_of, minlength=self.words)
         # Each word counts once for a bucket, in as many texts as hold it.
         texts_of = np.bincount(self.word, minlength=self.words)
-        often = np.bincount(flat, texts_of[word_of], BUCKETS) >= LEAST
+        often = np.bincount(flat, texts_of[word_of], BUCKETS) >= min(LEAST, LEAST_SHARE * self.n)
         kept = often[flat]
         self.word_of, self.gram_part = word_of[kept], 1.0 / sizes[word_of[kept]]
         self.used, self.gram = np.unique(flat[kept], return_inverse=True)
@@ -153,6 +156,29 @@ class Bags:
         return out
 
 
+def loss_and_slopes(bags: Bags, params: list[np.ndarray], labels: np.ndarray) -> tuple[float, list[np.ndarray]]:
+    """The loss of embeddings, weight and bias, both classes weighing the same, and its slopes."""
+    embedding, weight, bias = params
+    importance = len(labels) / (2 * np.bincount(labels, minlength=2))
+    importance = importance[labels] / len(labels)
+    mean = bags.up(embedding)
+    logits = mean @ weight + bias
+    logits -= logits.max(axis=1, keepdims=True)
+    chance = np.exp(logits)
+    chance /= chance.sum(axis=1, keepdims=True)
+    rows = np.arange(len(labels))
+    loss = -(importance * np.log(chance[rows, labels] + 1e-300)).sum()
+    loss += DECAY / 2 * ((embedding**2).sum() + (weight**2).sum())
+    chance[rows, labels] -= 1
+    chance *= importance[:, None]
+    slopes = [
+        bags.down(chance @ weight.T) + DECAY * embedding,
+        mean.T @ chance + DECAY * weight,
+        chance.sum(axis=0),
+    ]
+    return loss, slopes
+
+
 def train(sample: list[str | tuple[str, list[int]]], labels: np.ndarray, epochs: int = EPOCHS) -> Model:
     """Embeddings and linear layer, trained together; both classes weigh the same in the loss.
     Without texts of both classes the model is all zeros and scores one half."""
@@ -164,24 +190,11 @@ def train(sample: list[str | tuple[str, list[int]]], labels: np.ndarray, epochs:
     bags = Bags(sample)
     embedding = rng.normal(0, 0.1, (len(bags.used), WIDTH))
     weight, bias = rng.normal(0, 0.5, (WIDTH, 2)), np.zeros(2)
-    importance = len(labels) / (2 * np.bincount(labels, minlength=2))
-    importance = importance[labels] / len(labels)
     params = [embedding, weight, bias]
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     for step in range(1, epochs + 1):
         rate = RATE * (1 - (step - 1) / epochs)
-        mean = bags.up(embedding)
-        logits = mean @ weight + bias
-        logits -= logits.max(axis=1, keepdims=True)
-        chance = np.exp(logits)
-        chance /= chance.sum(axis=1, keepdims=True)
-        chance[np.arange(len(labels)), labels] -= 1
-        chance *= importance[:, None]
-        slopes = [
-            bags.down(chance @ weight.T) + DECAY * embedding,
-            mean.T @ chance + DECAY * weight,
-            chance.sum(axis=0),
-        ]
+        _, slopes = loss_and_slopes(bags, params, labels)
         for p, slope, m, v in zip(params, slopes, first, second):
             m += 0.1 * (slope - m)
             v += 0.001 * (slope * slope - v)
@@ -218,7 +231,7 @@ class Scorer:
         for k, tokens in enumerate(split):
             values = np.array([self.known[t] for t in tokens])
             values = values[~np.isnan(values)]
-            logits[k] = values.mean() if len(values) else 0.0
+            logits[k] = values.sum() / (len(values) + NULL_WORDS)
         return 1 / (1 + np.exp(-np.clip(logits + self.offset, -500, 500)))
 
 

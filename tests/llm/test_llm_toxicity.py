@@ -11,17 +11,22 @@ SF_DIR = "/root/testdata/sf0.1"
 
 def test_gradient_by_differences():
     bags = tox.Bags(["good word good", "bad word", "a bad bad day", ""])
-    rng = np.random.default_rng(1)
-    keep = tox.LEAST
-    assert keep > 1
-    embedding, gradient = rng.normal(size=(len(bags.used), 2)), rng.normal(size=(4, 2))
-    if len(bags.used):
-        up = (bags.up(embedding) * gradient).sum()
-        assert up == pytest.approx((embedding * bags.down(gradient)).sum())
-
-
-def test_means_over_words_and_subwords(monkeypatch):
-    monkeypatch.setattr(tox, "LEAST", 0)
+    assert len(bags.used) > 20
+    rng, labels = np.random.default_rng(1), np.array([0, 1, 1, 0])
+    params = [rng.normal(size=(len(bags.used), 2)), rng.normal(size=(2, 2)), rng.normal(size=2)]
+    _, slopes = tox.loss_and_slopes(bags, params, labels)
+    for which, slope in enumerate(slopes):
+        for _ in range(20):
+            place = tuple(rng.integers(0, n) for n in slope.shape)
+            sides = []
+            for step in (1e-5, -1e-5):
+                moved = [p.copy() for p in params]
+                moved[which][place] += step
+                sides.append(tox.loss_and_slopes(bags, moved, labels)[0])
+            assert slope[place] == pytest.approx((sides[0] - sides[1]) / 2e-5, abs=1e-8)
+
+
+def test_means_over_words_and_subwords():
     bags = tox.Bags(["ab ab, cd", "!!"])
     embedding = np.random.default_rng(2).normal(size=(len(bags.used), 3))
     whole = np.zeros((tox.BUCKETS, 3))
@@ -31,10 +36,19 @@ def test_means_over_words_and_subwords(monkeypatch):
         return whole[tox.subwords([word])[0]].mean(axis=0)
 
     got = bags.up(embedding)
-    assert got[0] == pytest.approx((2 * mean("ab") + mean("cd")) / 3)
+    assert got[0] == pytest.approx((2 * mean("ab") + mean("cd")) / (3 + tox.NULL_WORDS))
     assert got[1] == pytest.approx(0)
 
 
+def test_scores_are_those_of_the_trained_means():
+    texts, labels = ["good word good", "bad word", "a bad bad day", "good day", "bad"], np.array([0, 1, 1, 0, 1])
+    model = tox.train(texts, labels)
+    logits = tox.Bags(texts).up(model.embedding[tox.Bags(texts).used]) @ model.weight + model.bias
+    chances = 1 / (1 + np.exp(logits[:, 0] - logits[:, 1]))
+    assert tox.Scorer(model.shares(), model.offset())(texts) == pytest.approx(chances)
+    assert ((chances > 0.5) == labels).all()
+
+
 def test_subwords_of_each_word_do_not_depend_on_its_neighbours():
     words = ["idiot", "", "é", "x" * 500, "日本語"]
     bucket, owner = tox.subwords(words)
@@ -68,8 +82,12 @@ def test_held_out_accuracy(spark, tables):
     got = {r.doc_id: r for r in tox.toxicity(docs, labels).collect()}
     assert all(r.held_out == (zlib.crc32(str(i).encode()) % 3 == 1) for i, r in got.items())
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in got.values())
-    pairs = [(got[r.doc_id].predicted, r.toxic) for r in labels.collect() if got[r.doc_id].held_out]
-    assert sum(p for p, t in pairs if t) / sum(t for _, t in pairs) > 0.5
+    marks = [r for r in labels.collect() if got[r.doc_id].held_out]
+    pairs = [(got[r.doc_id].predicted, r.toxic) for r in marks]
+    short = {r.doc_id for r in docs.where("length(text) < 200").select("doc_id").collect()}
+    plain = [got[r.doc_id].predicted for r in marks if not r.toxic and r.doc_id in short]
+    assert len(plain) > 30 and sum(plain) / len(plain) < 0.1
+    assert sum(p for p, t in pairs if t) / sum(t for _, t in pairs) >= 0.69
     assert sum(p for p, t in pairs if not t) / sum(not t for _, t in pairs) < 0.03
 
 
