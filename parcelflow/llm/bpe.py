@@ -13,13 +13,13 @@ from __future__ import annotations
 import base64
 import heapq
 import struct
-import unicodedata
 from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,9 +38,6 @@ LONG = 48
 # Classes of code points.
 LETTER, NUMBER, SPACE, BLANK, OTHER, BREAK = range(6)
 
-# White space besides the blank, as in the pattern's \s.
-SPACES = [*range(0x09, 0x0E), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
-
 #: A code point beyond Unicode that stands between texts.
 EDGE = 0x110000
 
@@ -56,11 +53,16 @@ STATES = 8
 
 @cache
 def classes() -> np.ndarray:
-    """The class of each code point."""
-    kind = {"L": LETTER, "N": NUMBER}
-    table = np.array([kind.get(unicodedata.category(chr(c))[0], OTHER) for c in range(EDGE)] + [BREAK], np.uint8)
-    table[SPACES] = SPACE
-    table[0x20] = BLANK
+    """The class of each code point, as the tokenizer library knows them and not as the running Python does:
+    of all code points, a vocabulary of single bytes encodes only those of a class."""
+    every = "".join(chr(c) for c in range(EDGE) if not 0xD800 <= c < 0xE000)
+    single = {bytes([b]): b for b in range(256)}
+    table = np.full(EDGE + 1, OTHER, np.uint8)
+    for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\s+")):
+        only = tiktoken.Encoding(pattern, pat_str=pattern, mergeable_ranks=single, special_tokens={})
+        found = bytes(only.encode_ordinary(every)).decode().encode("utf-32-le")
+        table[np.frombuffer(found, "<u4")] = kind
+    table[0x20], table[EDGE] = BLANK, BREAK
     return table
 
 

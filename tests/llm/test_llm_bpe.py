@@ -39,9 +39,15 @@ def test_random_texts(path, reference):
     check(["".join(rng.choices(parts, k=rng.randint(0, 30))) for _ in range(5000)], path, reference)
 
 
-def test_code_points(path, reference):
-    points = [chr(c) for c in range(0, 0x110000, 13) if not 0xD800 <= c < 0xE000]
-    check([f"a{c}a {c}1{c}!{c}" for c in points], path, reference)
+def test_every_code_point(path, reference):
+    """In front of contractions, behind a blank, between numbers, beside a mark."""
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    lines = [f"{c}'s {c}'ll1{c}2 {c}!{c}" for c in points]
+    check(["\n".join(lines[k : k + 1000]) for k in range(0, len(lines), 1000)], path, reference)
+
+
+def test_letters_newer_than_python(path, reference):
+    check([f"{c}'s {c}'ll 1{c}2" for c in "\u1c8a\ua7cb\U000105c0"], path, reference)
 
 
 def test_long_pieces(path, reference):
