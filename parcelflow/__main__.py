@@ -10,13 +10,14 @@ topic. Without ``--every`` the flow takes what is there and ends.
 from __future__ import annotations
 
 import argparse
+from contextlib import nullcontext
 
 from pyspark.sql import SparkSession
 
 from parcelflow.plans.order_flow import OrderTables, run_order_flow
 from parcelflow.schemas import ENVELOPE, RAW_RECORD
 from parcelflow.sources import readers
-from parcelflow.streaming import AVAILABLE_NOW, every, finish
+from parcelflow.streaming import AVAILABLE_NOW, every, finish, large_state
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -35,6 +36,9 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument(
         "--compact-every", type=int, default=0, help="join old slices after so many batches"
     )
+    parser.add_argument(
+        "--once-within", help="leave out envelopes that came before within this time, '7 days'"
+    )
     args = parser.parse_args(argv)
     if args.topic and not args.servers:
         parser.error("--topic needs --servers")
@@ -55,16 +59,18 @@ def main(argv: list[str] | None = None) -> None:
         )
     tables = OrderTables.at(spark, args.tables, args.package_slices)
     trigger = every(args.every) if args.every else AVAILABLE_NOW
-    flow = run_order_flow(
-        stream,
-        tables,
-        args.checkpoint,
-        args.app,
-        raw=raw,
-        trigger=trigger,
-        compact_every=args.compact_every,
-    )
-    finish(flow)
+    with large_state(spark) if args.once_within else nullcontext():
+        flow = run_order_flow(
+            stream,
+            tables,
+            args.checkpoint,
+            args.app,
+            raw=raw,
+            trigger=trigger,
+            compact_every=args.compact_every,
+            once_within=args.once_within,
+        )
+        finish(flow)
 
 
 if __name__ == "__main__":

@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from parcelflow.operators import joins, tables
+from parcelflow.operators import joins, routing, tables
+from parcelflow.operators.feed import ChangeFeed
 from parcelflow.operators.merge import (
     Merge,
     items_by_product_merge,
@@ -57,7 +58,22 @@ from parcelflow.sources import readers
 from parcelflow.sources.landing import base_table, landing, shared_folder
 from parcelflow.sources.snapshots import SnapshotTable, key_slices
 from parcelflow.sources.writers import save
-from parcelflow.streaming import append_files, finish, large_state, to_function, to_table
+from parcelflow.streaming import (
+    append_files,
+    append_updates,
+    finish,
+    first_arrivals,
+    large_state,
+    latest_result,
+    latest_updates,
+    replace_result,
+    run_together,
+    running_totals,
+    skip_present,
+    status_transitions,
+    to_function,
+    to_table,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,10 +83,13 @@ BOUND = "1998-06-30 00:00:00"
 LOOKUP_PACKAGE = "pkg-1"
 WITHIN = timedelta(minutes=30)
 LATENESS = ("60 seconds", "150 seconds")
-# The one stock count of the tables is years later than the orders.
+# The one stock count of the tables, and the time of processing, are years later than the orders.
 STOCK_WITHIN = timedelta(days=3653)
 STOCK_LATENESS = ("1 day", "1 day")
 BYTES_PER_BATCH = 1 << 40
+# How long envelopes and statuses are remembered, and the partitions of routed messages.
+REMEMBERED = "7 days"
+PARTITIONS = 8
 
 _QUERIES: dict[str, Query] = {}
 
@@ -779,3 +798,265 @@ def stream_status_changes(spark, sf_dir):
     changes = _flow(spark, sf_dir).changes
     stream = readers.stream_files(spark, changes.stream_path(), changes.schema)
     return _through_files(spark, stream)
+
+
+# -- streams with memory ----------------------------------------------------
+
+
+def _repeated(spark, sf_dir, part: int) -> DataFrame:
+    """Two deliveries of the envelopes: half of the orders each, and in the second a third of the first again;
+    a third of each comes twice at once."""
+    envelopes = landing(spark, sf_dir).envelopes()
+    half, third = _order_number() % 2, _order_number() % 3 == 0
+    own = envelopes.where(half == part)
+    sent = own.unionAll(own.where(third))
+    return sent if part == 0 else sent.unionAll(envelopes.where((half == 0) & (_order_number() % 3 == 1)))
+
+
+def _two_deliveries(spark, sf_dir, root: str, run: Callable[[DataFrame], None]) -> None:
+    for part in (0, 1):
+        _repeated(spark, sf_dir, part).write.mode("append").parquet(f"{root}/landing")
+        with large_state(spark):
+            run(readers.stream_files(spark, f"{root}/landing", ENVELOPE))
+
+
+@_query
+def stream_dedup(spark, sf_dir):
+    """Events of a feed that repeats envelopes within a delivery and across two: every event once."""
+    root = shared_folder(spark)
+
+    def run(stream: DataFrame) -> None:
+        once = first_arrivals(stream, F.col("event_id"), REMEMBERED)
+        finish(append_files(order_events(once), f"{root}/rows", f"{root}/checkpoint"))
+
+    _two_deliveries(spark, sf_dir, root, run)
+    return readers.read_files(spark, f"{root}/rows", schema=EVENTS)
+
+
+@_query
+def flow_items_once(spark, sf_dir):
+    """Items that the whole flow makes of the same repeating feed."""
+    root = shared_folder(spark)
+    out = OrderTables.at(spark, root, package_slices=16)
+    out.packages.replace(landing(spark, sf_dir).packages())
+
+    def run(stream: DataFrame) -> None:
+        flow = run_order_flow(
+            stream, out, f"{root}/checkpoint", app="orders", at=_fixed_time(), once_within=REMEMBERED
+        )
+        finish(flow)
+
+    _two_deliveries(spark, sf_dir, root, run)
+    return out.items.read()
+
+
+def _by_time(spark, sf_dir) -> list[DataFrame]:
+    """The envelopes up to the bound and those after it, as a feed in order of time has them."""
+    envelopes = landing(spark, sf_dir).envelopes()
+    early = F.col("event_timestamp") <= F.lit(BOUND).cast("timestamp")
+    return [envelopes.where(early), envelopes.where(~early)]
+
+
+def _in_two_runs(spark, parts: list[DataFrame], root: str, schema, run: Callable[[DataFrame], None]) -> None:
+    for part in parts:
+        part.write.mode("append").parquet(f"{root}/landing")
+        with large_state(spark):
+            run(readers.stream_files(spark, f"{root}/landing", schema))
+
+
+@_query
+def stream_demand(spark, sf_dir):
+    """Demand per package and day as a running total, from two runs in order of time. Days are forgotten behind the
+    watermark; what each batch changed is kept, and the last total of each day counts."""
+    root = shared_folder(spark)
+    keys = list(tables.PACKAGE_KEYS)
+
+    def run(stream: DataFrame) -> None:
+        items = item_rows(stream).select(*keys, "items_quantity", "order_timestamp")
+        totals = running_totals(
+            items, "order_timestamp", "1 day", keys, {"items_quantity": "items_quantity"}, "1 day"
+        )
+        run.schema = totals.schema
+        finish(append_updates(totals, f"{root}/updates", f"{root}/checkpoint"))
+
+    _in_two_runs(spark, _by_time(spark, sf_dir), root, ENVELOPE, run)
+    return latest_updates(spark, f"{root}/updates", run.schema, ["since", *keys])
+
+
+_STATUSES = StructType([ORDERS["order_id"], ORDERS["status"], StructField("at", ORDERS["order_timestamp"].dataType)])
+
+
+@_query
+def stream_status_transitions(spark, sf_dir):
+    """Changes of status in a feed that sends every order twice and then with the status that the merge gives it."""
+    orders = flat_orders(landing(spark, sf_dir).envelopes())
+    first = orders.select("order_id", "status", F.col("order_timestamp").alias("at"))
+    again = first.withColumn("at", F.col("at") + F.expr("INTERVAL 1 DAY"))
+    later = _orders(spark, sf_dir).rows().select("order_id", "status", _fixed_time().alias("at"))
+    root = shared_folder(spark)
+
+    def run(stream: DataFrame) -> None:
+        finish(append_files(status_transitions(stream, remembered=STOCK_WITHIN), f"{root}/rows", f"{root}/checkpoint"))
+
+    _in_two_runs(spark, [first.unionAll(again), again.unionAll(later)], root, _STATUSES, run)
+    return spark.read.parquet(f"{root}/rows")
+
+
+@_query
+def stream_stock_rank(spark, sf_dir):
+    """Packages by what was ordered of them, sorted anew with every batch; the result after the last one."""
+    root, order = shared_folder(spark), [F.desc("items_quantity"), *tables.PACKAGE_KEYS]
+
+    def run(stream: DataFrame) -> None:
+        demand = tables.package_demand(item_quantities(stream))
+        finish(replace_result(demand.orderBy(*order), f"{root}/rank", f"{root}/checkpoint"))
+
+    _in_two_runs(spark, _halves(spark, sf_dir), root, DEMAND_FIELDS, run)
+    return latest_result(spark, f"{root}/rank", *order)
+
+
+@_query
+def stream_from_latest(spark, sf_dir):
+    """Events of what comes after the start; what lies there before is skipped unread."""
+    root = shared_folder(spark)
+    pending, others = _halves(spark, sf_dir)
+    table = SnapshotTable(spark, f"{root}/events", EVENTS)
+    others.write.parquet(f"{root}/landing")
+    skip_present(readers.stream_files(spark, f"{root}/landing", ENVELOPE), f"{root}/checkpoint")
+    pending.write.mode("append").parquet(f"{root}/landing")
+    stream = readers.stream_files(spark, f"{root}/landing", ENVELOPE)
+
+    def on_batch(rows: DataFrame, batch: int) -> None:
+        table.append(order_events(rows), "events", batch)
+
+    finish(to_function(stream, on_batch, f"{root}/checkpoint"))
+    return table.read()
+
+
+# -- change feeds -----------------------------------------------------------
+
+
+def _two_parts(rows: DataFrame) -> list[DataFrame]:
+    return [rows.where(_order_number() % 2 == part) for part in (0, 1)]
+
+
+def _fed(spark, root: str, table: SnapshotTable, build, sources: list[DataFrame]) -> ChangeFeed:
+    """The feed of a table after one merge for each source."""
+    feed = ChangeFeed(spark, f"{root}/feed", table.schema)
+    for version, source in enumerate(sources):
+        table.merge(build, source, "feed", version, before=lambda merge: feed.record(merge, "feed", version))
+    return feed
+
+
+@_query
+def change_feed_items(spark, sf_dir):
+    """Item rows before and after two merges that set them to processing."""
+    root = shared_folder(spark)
+    items = SnapshotTable(spark, f"{root}/orders_items", ORDER_ITEMS)
+    envelopes = landing(spark, sf_dir).envelopes()
+    items.append(_stored(envelopes, item_rows), "load", 0)
+    pending = tables.with_status(item_rows(envelopes), PENDING).select("order_id", "inventory_id")
+    return _fed(spark, root, items, items_merge, _two_parts(pending)).between()
+
+
+@_query
+def change_feed_orders(spark, sf_dir):
+    """Order rows before and after two merges that set the received ones to processing."""
+    root = shared_folder(spark)
+    orders = SnapshotTable(spark, f"{root}/orders", ORDERS)
+    rows = flat_orders(landing(spark, sf_dir).envelopes())
+    orders.append(rows, "load", 0)
+    received = tables.with_status(rows, RECEIVED).select("order_id").distinct()
+    return _fed(spark, root, orders, orders_merge, _two_parts(received)).between()
+
+
+@_query
+def change_feed_stock(spark, sf_dir):
+    """Stock before and after the demand of two batches, the second on what the first has left."""
+    root = shared_folder(spark)
+    stock = SnapshotTable(spark, f"{root}/package_table", PACKAGES, key_slices(16, *tables.PACKAGE_KEYS))
+    stock.replace(landing(spark, sf_dir).packages())
+    items = item_rows(landing(spark, sf_dir).envelopes())
+    sources = [tables.package_demand(part) for part in _two_parts(items)]
+    return _fed(spark, root, stock, stock_merge, sources).between()
+
+
+# -- messages, mixed feeds, queries beside each other -----------------------
+
+
+@_query
+def routed_messages(spark, sf_dir):
+    """Messages of items by order, in partitions, numbered in order of time."""
+    items = item_rows(landing(spark, sf_dir).envelopes())
+    sent = items.select(
+        F.col("order_id").alias("partitionKey"), "inventory_id", "order_timestamp", "items_quantity"
+    )
+    return routing.routed(sent, PARTITIONS, ["order_timestamp", "partitionKey", "inventory_id"])
+
+
+def _mixed(spark, sf_dir) -> readers.Mixed:
+    land = landing(spark, sf_dir)
+    older = land.envelopes_v1()
+    texts = base_table(spark, sf_dir, "documents").select(F.col("text").cast("binary").alias("data"))
+    both = land.raw().unionAll(older.select(F.to_json(F.struct(*older.columns)).cast("binary").alias("data")))
+    return readers.decode_mixed(both.unionAll(texts))
+
+
+@_query
+def decode_mixed(spark, sf_dir):
+    """Orders of both generations from one raw feed."""
+    mixed = _mixed(spark, sf_dir)
+    current = flat_orders(mixed.current()).withColumn("generation", F.lit(2))
+    older = flat_orders_v1(mixed.older()).withColumn("generation", F.lit(1))
+    return current.unionByName(older, allowMissingColumns=True)
+
+
+@_query
+def decode_mixed_items(spark, sf_dir):
+    """Items of the older generation from the same feed."""
+    return item_rows_v1(_mixed(spark, sf_dir).older())
+
+
+@_query
+def decode_mixed_rejected(spark, sf_dir):
+    return _mixed(spark, sf_dir).rejected.select(F.col("data").cast("string").alias("text"))
+
+
+def _side_by_side(spark, sf_dir) -> tuple[str, SnapshotTable]:
+    """Events and items saved by queries of their own over one landing, then statuses of the items."""
+    root = shared_folder(spark)
+    items = SnapshotTable(spark, f"{root}/orders_items", ORDER_ITEMS)
+
+    def save_items(rows: DataFrame, batch: int) -> None:
+        items.append(item_rows(rows), "items", batch)
+
+    def move_items(rows: DataFrame, batch: int) -> None:
+        pending = tables.with_status(item_rows(rows), PENDING).select("order_id", "inventory_id")
+        items.merge(items_merge, pending, "statuses", batch)
+
+    run_together(
+        spark,
+        {
+            "events": lambda: append_files(
+                order_events(_envelope_stream(spark, sf_dir)), f"{root}/events", f"{root}/checkpoints/events"
+            ),
+            "items": lambda: to_function(
+                _envelope_stream(spark, sf_dir), save_items, f"{root}/checkpoints/items"
+            ),
+            "statuses": lambda: to_function(
+                _envelope_stream(spark, sf_dir), move_items, f"{root}/checkpoints/statuses"
+            ),
+        },
+        after={"statuses": ["items"]},
+    )
+    return f"{root}/events", items
+
+
+@_query
+def pipeline_events(spark, sf_dir):
+    return readers.read_files(spark, _side_by_side(spark, sf_dir)[0], schema=EVENTS)
+
+
+@_query
+def pipeline_items(spark, sf_dir):
+    return _side_by_side(spark, sf_dir)[1].read()

@@ -8,7 +8,7 @@ row unless the order is longer than an envelope), its items in both generations
 
 from __future__ import annotations
 
-from parcelflow.plans.catalog import BOUND, LOOKUP_PACKAGE, PROCESSED_AT, WITHIN
+from parcelflow.plans.catalog import BOUND, LOOKUP_PACKAGE, PARTITIONS, PROCESSED_AT, WITHIN
 from parcelflow.sources import landing
 from parcelflow.sources.landing import STOCK_TIME
 
@@ -171,6 +171,29 @@ _OUTCOME = """SELECT * EXCLUDE (in_stock) REPLACE (CAST(quantity_updated AS DOUB
 _DEMAND = """SELECT package_id, subpackage_id, CAST(sum(items_quantity) AS BIGINT) AS items_quantity
   FROM (SELECT * FROM items UNION ALL SELECT * FROM earlier) {0} GROUP BY ALL"""
 
+_NUMBER = "CAST(substr(order_id, 5) AS BIGINT)"
+
+
+def _feed(rows: str, change: str) -> str:
+    """Rows before and after, the latter with ``change``; ``feed_version`` comes with the rows."""
+    return f"""SELECT *, 'update_preimage' AS change_type FROM ({rows})
+  UNION ALL SELECT * REPLACE ({change}), 'update_postimage' FROM ({rows})"""
+
+
+def _demand_of(part: int) -> str:
+    return f"""SELECT package_id, subpackage_id, CAST(sum(items_quantity) AS BIGINT) AS d{part}
+    FROM items WHERE {_NUMBER} % 2 = {part} GROUP BY ALL"""
+
+
+_STOCK_FEED = f"""SELECT package_id, subpackage_id, s.q AS stock_quantity, change_type, feed_version
+FROM (SELECT *, CASE WHEN stock_quantity >= d0 THEN stock_quantity - d0 ELSE stock_quantity END AS left0
+      FROM pkg LEFT JOIN ({_demand_of(0)}) USING (package_id, subpackage_id)
+        LEFT JOIN ({_demand_of(1)}) USING (package_id, subpackage_id)),
+  LATERAL (SELECT unnest([stock_quantity, left0]) AS q, unnest(['update_preimage', 'update_postimage']) AS change_type,
+      CAST(0 AS BIGINT) AS feed_version WHERE stock_quantity >= d0 AND d0 <> 0
+    UNION ALL SELECT unnest([left0, left0 - d1]), unnest(['update_preimage', 'update_postimage']), 1
+      WHERE left0 >= d1 AND d1 <> 0) s"""
+
 _BODIES = {
     "ingest_json": """SELECT e.event_id, event_type, event_timestamp, order_id, customer_id,
         CAST(CAST(event_timestamp AS DATE) AS VARCHAR) AS order_date, CAST(coalesce(n, 0) AS INTEGER) AS n_items,
@@ -297,6 +320,32 @@ _BODIES = {
     "flow_items": f"SELECT * REPLACE ('PROCESSING' AS status) FROM ({_ITEMS})",
     "flow_stock": _STOCK,
     "flow_shortage": _SHORTAGE,
+    "stream_dedup": _EVENTS,
+    "flow_items_once": f"SELECT * REPLACE ('PROCESSING' AS status) FROM ({_ITEMS})",
+    "stream_demand": """SELECT CAST(date_trunc('day', order_timestamp) AS TIMESTAMP) AS since, package_id, subpackage_id,
+        CAST(sum(items_quantity) AS BIGINT) AS items_quantity FROM items GROUP BY ALL""",
+    "stream_status_transitions": f"""SELECT DISTINCT order_id, status AS old_status, 'PROCESSING' AS new_status,
+        TIMESTAMP '{PROCESSED_AT}' AS changed_at FROM ord WHERE status = 'RECEIVED'""",
+    "stream_stock_rank": "SELECT * FROM demand ORDER BY items_quantity DESC, package_id, subpackage_id",
+    "stream_from_latest": f"{_EVENTS} JOIN hdr USING (event_id) WHERE o_orderstatus = 'P'".replace(
+        "order_id FROM", "evt.order_id FROM"
+    ),
+    "change_feed_items": _feed(f"SELECT {_ITEM}, {_NUMBER} % 2 AS feed_version FROM items", "'PROCESSING' AS status"),
+    "change_feed_orders": _feed(
+        f"SELECT {_ORDER}, {_NUMBER} % 2 AS feed_version FROM ord WHERE status = 'RECEIVED'", "'PROCESSING' AS status"
+    ),
+    "change_feed_stock": _STOCK_FEED,
+    "routed_messages": f"""SELECT *, row_number() OVER (PARTITION BY partition
+          ORDER BY order_timestamp, "partitionKey", inventory_id) - 1 AS position
+      FROM (SELECT order_id AS "partitionKey", inventory_id, order_timestamp, items_quantity,
+        CAST(CAST('0x' || substr(md5(order_id), 1, 8) AS BIGINT) % {PARTITIONS} AS INTEGER) AS partition FROM items)""",
+    # Numbers of a variant have no negative zero.
+    "decode_mixed": f"""SELECT * REPLACE (lon + CAST(0 AS DOUBLE) AS lon), 2 AS generation FROM ({_ORDERS})
+      UNION ALL SELECT * REPLACE (NULL AS total_volume, lon + CAST(0 AS DOUBLE) AS lon), 1 FROM ({_ORDERS})""",
+    "decode_mixed_items": f"SELECT {_ITEM1} FROM items1",
+    "decode_mixed_rejected": "SELECT text FROM documents",
+    "pipeline_events": _EVENTS,
+    "pipeline_items": f"SELECT * REPLACE ('PROCESSING' AS status) FROM ({_ITEMS})",
 }
 
 

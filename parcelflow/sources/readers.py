@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from parcelflow.schemas import ENVELOPE
+from parcelflow.schemas import ENVELOPE, ENVELOPE_V1
 
 
 def read_json(spark: SparkSession, path: str, schema: StructType = ENVELOPE) -> Decoded:
@@ -128,3 +128,52 @@ def decode_base64(
     """JSON text in base64. Text that is no base64 is rejected like bad JSON."""
     text = F.expr(f"CAST(try_to_binary(`{column}`, 'base64') AS STRING)")
     return _parsed(records, text, schema)
+
+
+@dataclass(frozen=True)
+class Mixed:
+    """Records of both envelope generations in one feed, parsed once: the text of a record becomes a VARIANT, and
+    its shape tells the generation."""
+
+    parsed: DataFrame
+
+    @staticmethod
+    def of(records: DataFrame, text: Column) -> Mixed:
+        kept = F.explode(F.array(F.struct(F.try_parse_json(text).alias("value"))))  # see _parsed
+        return Mixed(records.withColumn("_one", kept).withColumn("_doc", F.col("_one.value")).drop("_one"))
+
+    @property
+    def _is_object(self) -> Column:
+        kind = F.schema_of_variant("_doc")
+        return F.coalesce(kind.startswith("OBJECT<") & (kind != "OBJECT<>"), F.lit(False))
+
+    @property
+    def _is_older(self) -> Column:
+        """Older envelopes have items without packages and no volume."""
+        packages = F.expr("try_variant_get(_doc, '$.order_details.items[0].packages', 'variant')")
+        volume = F.expr("try_variant_get(_doc, '$.order_details.total_volume', 'variant')")
+        details = F.expr("try_variant_get(_doc, '$.order_details', 'variant')")
+        return details.isNotNull() & packages.isNull() & volume.isNull()
+
+    def _rows(self, schema: StructType, which: Column) -> DataFrame:
+        row = F.expr(f"try_variant_get(_doc, '$', '{schema.simpleString()}')")
+        names = schema.names
+        typed = self.parsed.where(self._is_object & which).select(F.explode(F.array(row)).alias("_row"))
+        known = reduce(or_, (F.col(f"_row.`{name}`").isNotNull() for name in names))
+        return typed.where(known).select("_row.*")
+
+    def current(self, schema: StructType = ENVELOPE) -> DataFrame:
+        return self._rows(schema, ~self._is_older)
+
+    def older(self, schema: StructType = ENVELOPE_V1) -> DataFrame:
+        return self._rows(schema, self._is_older)
+
+    @property
+    def rejected(self) -> DataFrame:
+        """Records that are no JSON object, as they came."""
+        return self.parsed.where(~self._is_object).drop("_doc")
+
+
+def decode_mixed(records: DataFrame, column: str = "data") -> Mixed:
+    """Binary records of either generation."""
+    return Mixed.of(records, F.col(column).cast("string"))

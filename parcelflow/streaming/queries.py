@@ -6,11 +6,13 @@ what is there and stops; without a source limit that is one batch.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
+from pyspark.sql.types import LongType, StructField, StructType
 
 Trigger = Mapping[str, Any]
 
@@ -64,6 +66,55 @@ def to_function(
     return _writer(stream, "update", trigger, checkpoint, name).foreachBatch(function).start()
 
 
+def append_updates(
+    stream: DataFrame, path: str, checkpoint: str, trigger: Trigger = AVAILABLE_NOW
+) -> StreamingQuery:
+    """Keep what every batch of an update-mode stream changed, in a folder ``batch=<id>`` of its own: a batch
+    that comes again replaces its folder."""
+
+    def write(rows: DataFrame, batch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+
+    return to_function(stream, write, checkpoint, trigger)
+
+
+def latest_updates(spark: SparkSession, path: str, schema: StructType, keys: Sequence[str]) -> DataFrame:
+    """The last row of each key in a folder of updates."""
+    stored = StructType([*schema.fields, StructField("batch", LongType())])
+    rows = spark.read.schema(stored).parquet(path)
+    values = [c for c in schema.names if c not in keys]
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("_last"))
+    return last.select(*(f"_last.{c}" if c in values else c for c in schema.names))
+
+
+def replace_result(
+    stream: DataFrame, path: str, checkpoint: str, trigger: Trigger = AVAILABLE_NOW
+) -> StreamingQuery:
+    """Complete mode: every batch gives the whole result of an aggregate, in sorted files if the stream is sorted,
+    and takes the place of the one before. Results lie in ``path/result-<batch>``; ``path/latest`` names the last one."""
+
+    def write(rows: DataFrame, batch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{path}/result-{batch}")
+        rows.sparkSession.range(1).select(F.lit(f"result-{batch}").alias("value")).coalesce(1).write.mode(
+            "overwrite"
+        ).text(f"{path}/latest")
+
+    writer = _writer(stream, "complete", trigger, checkpoint, None)
+    return writer.foreachBatch(write).start()
+
+
+def latest_result(spark: SparkSession, path: str, *order: Column | str) -> DataFrame:
+    """The whole result of the last batch. Files have no order among them: name it to get it."""
+    rows = spark.read.parquet(f"{path}/{spark.read.text(f'{path}/latest').first()[0]}")
+    return rows.orderBy(*order) if order else rows
+
+
+def observed(rows: DataFrame, name: str, /, **metrics: Column) -> DataFrame:
+    """Aggregates of the rows that pass here, reported with the progress of each batch (``inspect``) without
+    a pass of their own."""
+    return rows.observe(name, *(value.alias(key) for key, value in metrics.items()))
+
+
 def skip_present(stream: DataFrame, checkpoint: str) -> None:
     """Start at the latest: mark all that the source holds now as taken, without reading
     it. A ``to_function`` query on the same checkpoint then begins with what comes later."""
@@ -119,9 +170,14 @@ def inspect(query: StreamingQuery) -> dict[str, Any]:
         "message": query.status["message"],
         "batch": None if last is None else last["batchId"],
         "input_rows": None if last is None else last["numInputRows"],
+        "metrics": {} if last is None else {k: dict(_fields(v)) for k, v in last["observedMetrics"].items()},
     }
 
 
+def _fields(metrics) -> Mapping[str, Any]:
+    return metrics.asDict() if hasattr(metrics, "asDict") else metrics
+
+
 class ProgressLog(StreamingQueryListener):
     """Hands (query name, batch, input rows) of every finished batch to a function;
     without one they are listed in ``batches``, for runs of few batches."""

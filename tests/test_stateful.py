@@ -1,0 +1,120 @@
+"""Streams with memory, over hand-written deliveries."""
+
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from parcelflow import streaming
+from parcelflow.sources.readers import stream_files
+
+
+def deliver(spark, root, rows, schema):
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{root}/landing")
+    return stream_files(spark, f"{root}/landing", spark.read.parquet(f"{root}/landing").schema)
+
+
+def day(n, hour=0):
+    return datetime(2024, 1, n, hour)
+
+
+def test_a_key_comes_out_once_and_null_keys_by_their_row(spark, tmp_path):
+    schema = "id string, n int"
+    for rows in ([("a", 1), ("a", 2), (None, 1), (None, 2), (None, 2)], [("a", 3), ("b", 1), (None, 2), (None, 3)]):
+        stream = streaming.first_arrivals(deliver(spark, tmp_path, rows, schema), F.col("id"))
+        with streaming.large_state(spark):
+            streaming.finish(streaming.append_files(stream, f"{tmp_path}/out", f"{tmp_path}/ck"), 120)
+    got = sorted(map(tuple, spark.read.parquet(f"{tmp_path}/out").collect()), key=repr)
+    assert [r for r in got if r[0] is None] == [(None, 1), (None, 2), (None, 3)]
+    assert [r[0] for r in got if r[0]] == ["a", "b"] and ("a", 3) not in got
+
+
+def state_rows(query):
+    return [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+
+
+def test_totals_forget_days_behind_the_watermark(spark, tmp_path):
+    schema, sums = "k string, n int, at timestamp", {"total": "n"}
+    deliveries = [
+        [("a", 1, day(1)), ("a", 2, day(1, 5)), ("b", 4, day(1))],
+        [("a", 8, day(2)), ("a", 16, day(1, 7)), ("b", 99, None)],
+        [("b", 32, day(20))],
+        [("a", 64, day(1)), ("b", 128, day(20, 3))],  # the first comes too late
+    ]
+    sizes = []
+    for rows in deliveries:
+        totals = streaming.running_totals(deliver(spark, tmp_path, rows, schema), "at", "1 day", ["k"], sums, "2 days")
+        with streaming.large_state(spark):
+            query = streaming.append_updates(totals, f"{tmp_path}/updates", f"{tmp_path}/ck")
+            sizes += state_rows(streaming.finish(query, 120))
+    got = streaming.latest_updates(spark, f"{tmp_path}/updates", totals.schema, ["since", "k"])
+    assert sorted(map(tuple, got.collect())) == [
+        (day(1), "a", 19), (day(1), "b", 4), (day(2), "a", 8), (day(20), "b", 160),
+    ]
+    assert max(sizes) >= 3 and sizes[-1] == 1
+
+
+def test_only_real_changes_of_status(spark, tmp_path):
+    schema = "order_id string, status string, at timestamp"
+    deliveries = [
+        [("o1", "RECEIVED", day(1)), ("o1", "RECEIVED", day(2)), ("o2", "PENDING", day(2)), ("o2", "PROCESSING", day(1)),
+         (None, "PENDING", day(1)), ("o3", None, day(1)), ("o3", "PENDING", day(1))],
+        [("o1", "PROCESSING", day(3)), ("o1", "PROCESSING", day(4)), ("o1", "PENDING", day(1, 9)), ("o3", "PENDING", day(4))],
+        [("o4", "PENDING", day(30))],
+        [("o3", "PROCESSING", day(30))],  # forgotten: its first status is no change
+    ]
+    sizes = []
+    for rows in deliveries:
+        stream = deliver(spark, tmp_path, rows, schema)
+        changes = streaming.status_transitions(stream, "3 days", timedelta(days=5))
+        with streaming.large_state(spark):
+            query = streaming.append_files(changes, f"{tmp_path}/out", f"{tmp_path}/ck")
+            sizes += state_rows(streaming.finish(query, 120))
+    got = sorted(map(tuple, spark.read.parquet(f"{tmp_path}/out").collect()))
+    assert got == [("o1", "RECEIVED", "PROCESSING", day(3)), ("o2", "PROCESSING", "PENDING", day(2))]
+    assert sizes[-1] <= 2
+
+
+def test_metrics_come_with_the_progress(spark, tmp_path):
+    stream = deliver(spark, tmp_path, [(1, 10.0), (2, None), (3, 5.5)], "n int, money double")
+    counted = streaming.observed(stream, "orders", rows=F.count(F.lit(1)), priced=F.count("money"), money=F.sum("money"))
+    query = streaming.append_files(counted.where("n > 1"), f"{tmp_path}/out", f"{tmp_path}/ck")
+    found = streaming.inspect(streaming.finish(query, 120))
+    assert found["metrics"] == {"orders": {"rows": 3, "priced": 2, "money": 15.5}}
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 2
+
+
+def test_a_sorted_result_replaces_the_last(spark, tmp_path):
+    for rows in ([("a", 1), ("b", 2)], [("a", 5)]):
+        totals = deliver(spark, tmp_path, rows, "k string, n int").groupBy("k").agg(F.sum("n").alias("n"))
+        query = streaming.replace_result(totals.orderBy(F.desc("n")), f"{tmp_path}/rank", f"{tmp_path}/ck")
+        streaming.finish(query, 120)
+    assert list(map(tuple, streaming.latest_result(spark, f"{tmp_path}/rank", F.desc("n")).collect())) == [("a", 6), ("b", 2)]
+
+
+def starts(spark, root, order, fails=()):
+    def start(name):
+        def run(rows, batch):
+            rows.count()
+            if name in fails:
+                raise RuntimeError(f"{name} fails")
+            order.append(name)
+
+        stream = stream_files(spark, f"{root}/landing", spark.read.parquet(f"{root}/landing").schema)
+        return streaming.to_function(stream, run, f"{root}/checkpoints/{name}")
+
+    return {name: lambda name=name: start(name) for name in ("third", "first", "second")}
+
+
+def test_queries_beside_each_other(spark, tmp_path):
+    deliver(spark, tmp_path, [(1,)], "n int")
+    order, after = [], {"third": ["second"], "second": ["first"]}
+    with pytest.raises(Exception, match="second fails"):
+        streaming.run_together(spark, starts(spark, tmp_path, order, ["second"]), after, 120)
+    assert order == ["first"] and not spark.streams.active
+    ended = streaming.run_together(spark, starts(spark, tmp_path, order), after, 120)
+    assert order == ["first", "second", "third"] and set(ended) == {"first", "second", "third"}
+    for wrong in ({"third": ["fourth"]}, {"third": ["second"], "second": ["third"]}):
+        with pytest.raises(ValueError):
+            streaming.run_together(spark, starts(spark, tmp_path, order), wrong, 120)
+    assert not spark.streams.active
