@@ -5,9 +5,15 @@ stand where letters and digits stood, octets and check digits stay valid, names
 and their script. A mention is reduced to a canonical key first (an address in lower case, the digits of a
 number, the single parts of a name), so that one person or number has one surrogate however it is written.
 
+A name is found behind its forms of address. In the same text its parts are then mentions wherever they stand as
+capitalised words of two letters or more ("Mr Oleg Petrov came. Petrov said ..."), an ordinary word of the same
+letters too. Forms of address without gender give first names that suit either, so a first name behind "Dr" and
+the same one behind "Mr" are different keys; the family name is one key.
+
 All keys of the corpus meet in one table. There a candidate is refused when it equals another key's
 surrogate or any real key of its type; refused keys draw again until none is left. So different keys have
-different surrogates, and no surrogate is somebody else's data. Only texts that hold a mention are shuffled.
+different surrogates, and no surrogate is somebody else's data. Every text meets the forms once, and only texts
+that hold a mention are shuffled.
 
 Names get longer from draw to draw. The other types keep the form of the key for ``SAME_FORM`` draws; keys still
 left then draw from a wider form, so that a form that is used up ends no job: an address with letters in front,
@@ -27,29 +33,35 @@ KEY = "surrogates"
 MOST_DRAWS = 40
 #: Draws that keep the form of the key.
 SAME_FORM = 20
+#: Keys that one task draws for: at most, and at least where there are fewer than the cluster has cores for.
+MOST_KEYS, LEAST_KEYS = 20_000, 500
 
 # Forms of address by gender.
 MALE = ("Mr", "Mister", "Herr", "Herrn", "Señor", "Sr", "Monsieur", "Signor", "господин", "г-н", "κύριος")
-FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Señora", "Sra", "Señorita", "Madame", "Mme", "Signora", "госпожа", "г-жа", "κυρία")
+FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Señora", "Sra", "Señorita", "Madame", "Mme", "Signora", "госпожа", "г-жа", "κυρία", "Mademoiselle", "Mlle", "Madam", "Lady")
+EITHER = ("Dr", "Doctor", "Prof", "Professor", "Professorin", "доктор", "д-р", "профессор", "δρ")
 
 # The forms of mentions. No quantifier can start inside what another start has tried,
 # so long texts without spaces take linear time.
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
-_PART = r"\p{Lu}[\p{L}'’]*+"
+# An apostrophe belongs to a name unless only the "s" of a genitive is behind it.
+_PART = r"\p{Lu}\p{L}*+(?:['’](?![sS](?!\p{L}))\p{L}++)*+"
+_TITLES = rf"(?:(?:{'|'.join([*MALE, *FEMALE, *EITHER])})\.?[  ])"
 FORMS = {
     EMAIL: r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,62}[A-Za-z0-9])?\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])",
     IP: rf"(?<![0-9.]){_OCTET}(?:\.{_OCTET}){{3}}(?![0-9]|\.[0-9])",
     CARD: r"(?<![0-9A-Za-z+-])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9A-Za-z])",
     PHONE: r"(?<![0-9A-Za-z])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9A-Za-z])|(?<![0-9A-Za-z])\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z])|(?<![0-9A-Za-z.-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![0-9A-Za-z])",
-    NAME: rf"(?<![\p{{L}}\p{{N}}])(?:{'|'.join([*MALE, *FEMALE])})\.?[  ]{_PART}(?:[ -]{_PART}){{0,2}}",
+    NAME: rf"(?<![\p{{L}}\p{{N}}]){_TITLES}{{1,4}}+{_PART}(?:[ -]{_PART}){{0,2}}",
 }
 PATTERN = "|".join(f"(?:{FORMS[k]})" for k in KINDS)
+BARE = rf"(?<![\p{{L}}\p{{N}}]){_PART}"
 
-# Sounds of names by script, and the ends of male and female first names.
+# Sounds of names by script, and the ends of male, female and other first names and of family names.
 SOUNDS = {
-    "latin": ("b c d f g h k l m n p r s t v w".split(), "a e i o u".split(), {"m": ["n", "r", "s", "l"], "f": ["a"], "s": ["n", "r", "t", "k"]}),
-    "cyrillic": ("б в г д ж з к л м н п р с т".split(), "а е и о у".split(), {"m": ["н", "р", "м", "л"], "f": ["а"], "s": ["н", "р", "к", "т"]}),
-    "greek": ("β γ δ ζ κ λ μ ν π ρ σ τ".split(), "α ε ι ο υ".split(), {"m": ["ς"], "f": ["α"], "s": ["ς"]}),
+    "latin": ("b c d f g h k l m n p r s t v w".split(), "a e i o u".split(), {"m": ["n", "r", "s", "l"], "f": ["a"], "n": ["e", "i"], "s": ["n", "r", "t", "k"]}),
+    "cyrillic": ("б в г д ж з к л м н п р с т".split(), "а е и о у".split(), {"m": ["н", "р", "м", "л"], "f": ["а"], "n": ["е", "и"], "s": ["н", "р", "к", "т"]}),
+    "greek": ("β γ δ ζ κ λ μ ν π ρ σ τ".split(), "α ε ι ο υ".split(), {"m": ["ς"], "f": ["α"], "n": ["ι", "ε"], "s": ["ς"]}),
 }
 
 
@@ -69,14 +81,17 @@ def kind_of(mention: Column) -> Column:
 
 
 def _named(mention: Column) -> tuple[Column, Column]:
-    """The form of address with the blank behind it, and the name."""
-    head = F.regexp_extract(mention, r"^([\p{L}-]+\.?[  ])", 1)
+    """The forms of address with the blank behind them, and the name."""
+    head = F.regexp_extract(mention, f"^({_TITLES}+)", 1)
     return head, F.substr(mention, F.length(head) + 1)
 
 
 def gender_of(mention: Column) -> Column:
-    title = F.regexp_replace(_named(mention)[0], r"[.\s ]", "")
-    return F.when(title.isin(*FEMALE), "f").otherwise("m")
+    """``m`` or ``f`` by the first form of address that has a gender, ``n`` if none has."""
+    titles = F.split(_named(mention)[0], r"\.?[  ]")
+    gender = lambda t: F.when(t.isin(*FEMALE), "f").when(t.isin(*MALE), "m")
+    told = F.filter(F.transform(titles, gender), lambda g: g.isNotNull())
+    return F.coalesce(F.get(told, 0), F.lit("n"))
 
 
 def keys_of(mention: Column) -> Column:
@@ -214,7 +229,7 @@ def _name(value: Column, gender: str, stream: Column, draw: int = 0) -> Column:
             )
 
         last = F.element_at(e, _byte(stream, F.lit(127)) % len(ends[gender]) + 1)
-        if gender == "f":  # the end takes the place of the last vowel
+        if gender in "fn":  # the end takes the place of the last vowel
             body = F.concat(
                 _joined(F.transform(F.sequence(F.lit(0), n - 2), syllable)),
                 F.element_at(c, _byte(stream, F.lit(120)) % len(consonants) + 1),
@@ -241,28 +256,34 @@ def candidate(key: Column, draw: int, secret: str) -> Column:
         .when(kind == PHONE, F.concat(_digits(value, stream), _more_digits(stream, extra)))
         .when(kind == "m", _name(value, "m", stream, draw))
         .when(kind == "f", _name(value, "f", stream, draw))
+        .when(kind == "n", _name(value, "n", stream, draw))
         .otherwise(_name(value, "s", stream, draw))
     )
 
 
+def _tasks(keys: DataFrame) -> int:
+    """Tasks that draw for these keys of a written table."""
+    n = keys.count()
+    return max(1, -(-n // MOST_KEYS), min(keys.sparkSession.sparkContext.defaultParallelism, n // LEAST_KEYS))
+
+
 def surrogates(keys: DataFrame, secret: str = KEY) -> DataFrame:
     """``key, surrogate`` for a table of distinct keys, no two with the same surrogate of one type and none
     with a surrogate that is itself a key. In each draw, of the keys that want one surrogate the least has it.
     Raises an error when the wider forms have no free surrogates either, as for more addresses than IPv4 has."""
-    done, left = [], keys
+    taken, done, left = keys.select(F.col("key").alias("full")), [], keys
     for draw in range(MOST_DRAWS):
-        wanted = left.withColumn("surrogate", candidate(F.col("key"), draw, secret)).withColumn(
+        spread = left.repartition(_tasks(left), "key")
+        wanted = spread.withColumn("surrogate", candidate(F.col("key"), draw, secret)).withColumn(
             "full", F.concat(F.substring_index("key", ":", 1), F.lit(":"), F.col("surrogate"))
         )
-        free = wanted.join(keys.select(F.col("key").alias("full")), "full", "left_anti")
-        for before in done:
-            taken = before.select(
-                F.concat(F.substring_index("key", ":", 1), F.lit(":"), F.col("surrogate")).alias("full")
-            )
-            free = free.join(taken, "full", "left_anti")
-        won = saved(free.groupBy("full").agg(F.min_by(F.struct("key", "surrogate"), "key").alias("w")).select("w.*"))
-        done.append(won)
-        left = saved(left.join(won, "key", "left_anti"))
+        free = wanted.join(taken, "full", "left_anti")
+        won = saved(
+            free.groupBy("full").agg(F.min_by(F.struct("key", "surrogate"), "key").alias("w")).select("full", "w.*")
+        )
+        done.append(won.select("key", "surrogate"))
+        taken = taken.unionAll(won.select("full"))
+        left = saved(left.join(won, "key", "left_anti").select("key"))
         if left.isEmpty():
             break
     else:
@@ -276,6 +297,12 @@ def surrogates(keys: DataFrame, secret: str = KEY) -> DataFrame:
 # -- texts -------------------------------------------------------------------
 
 
+def _written_as(part: Column, surrogate: Column) -> Column:
+    """The surrogate of a part of a name in the case of the part."""
+    loud = (F.length(part) > 1) & (part == F.upper(part))
+    return F.when(loud, F.upper(surrogate)).otherwise(F.initcap(surrogate))
+
+
 def rendered(mention: Column, of_key: Column) -> Column:
     """The mention with the surrogates of its keys, written as the mention is."""
     kind, keys = kind_of(mention), keys_of(mention)
@@ -319,12 +346,7 @@ def rendered(mention: Column, of_key: Column) -> Column:
                 F.zip_with(
                     F.zip_with(parts, keys, lambda p, k: F.struct(p.alias("p"), F.element_at(of_key, k).alias("s"))),
                     marks,
-                    lambda x, m: F.concat(
-                        F.when(
-                            (F.length(x["p"]) > 1) & (x["p"] == F.upper(x["p"])), F.upper(x["s"])
-                        ).otherwise(F.initcap(x["s"])),
-                        m,
-                    ),
+                    lambda x, m: F.concat(_written_as(x["p"], x["s"]), m),
                 )
             ),
         )
@@ -332,36 +354,76 @@ def rendered(mention: Column, of_key: Column) -> Column:
     return F.when(kind == EMAIL, cased()).when(kind == IP, whole).when(kind == NAME, named()).otherwise(spaced())
 
 
-def _parts(text: Column) -> tuple[Column, Column]:
-    """Mentions, and the texts before, between and after them."""
-    return F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)), F.split(text, PATTERN, -1)
+def _parts(text: Column, pattern: str) -> tuple[Column, Column]:
+    """Matches, and the texts before, between and after them."""
+    return F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
+
+
+def _woven(between: Column, matches: Column) -> Column:
+    """A text from the pieces around its matches and what stands for the matches."""
+    return _joined(F.zip_with(between, F.concat(matches, F.array(F.lit(""))), lambda a, b: F.concat(a, b)))
+
+
+def _names_in(keys: Column) -> Column:
+    """Keys of the parts of names that a bare word can mean, family names first."""
+    long = F.filter(keys, lambda k: F.regexp_like(k, F.lit("^[mfns]:..")))
+    return F.concat(
+        F.filter(long, lambda k: k.startswith("s:")), F.filter(long, lambda k: ~k.startswith("s:"))
+    )
+
+
+def _bare_names(piece: Column) -> Column:
+    """``piece`` of a text with surrogates for the bare parts of the text's names."""
+    words, between = _parts(piece, BARE)
+
+    def other(word: Column) -> Column:
+        at = F.array_position("parts", F.lower(word)).cast("int")
+        surrogate = F.element_at("of_key", F.element_at("names", at))
+        return F.when(at > 0, _written_as(word, surrogate)).otherwise(word)
+
+    return _woven(between, F.transform(words, other))
+
+
+def _count_bare(pieces: Column) -> Column:
+    """How many bare parts of the text's names the pieces of a text hold."""
+    words = F.flatten(F.transform(pieces, lambda p: F.regexp_extract_all(p, F.lit(BARE), F.lit(0))))
+    return F.size(F.filter(words, lambda w: F.array_contains("parts", F.lower(w))))
 
 
 def replaced(docs: DataFrame, secret: str = KEY) -> DataFrame:
-    """``row``, all columns of ``docs`` with surrogates in ``text``, and ``kinds``, the types of the mentions
-    in order. Rows without a mention pass unchanged, null texts as null."""
+    """``row``, all columns of ``docs`` with surrogates in ``text``; ``kinds``, the types of the mentions
+    in order; ``bare``, how many parts of their names stand elsewhere in the text. Rows without a mention pass
+    unchanged, null texts as null."""
     rows = docs.select(whole_row(docs).alias("row"), F.col("text").alias("text"))
-    holds = F.coalesce(F.regexp_like("text", F.lit(PATTERN)), F.lit(False))
-    mentions, between = _parts(F.col("text"))
-    hits = saved(
-        rows.where(holds)
-        .select("row", mentions.alias("mentions"), between.alias("between"))
-        .withColumn("keys", F.array_distinct(F.flatten(F.transform("mentions", keys_of))))
+    mentions, between = _parts(F.col("text"), PATTERN)
+    none = F.array().cast("array<string>")
+    met = saved(
+        rows.select("row", "text", F.coalesce(mentions, none).alias("mentions"))
+        .select(
+            "row",
+            "mentions",
+            F.when(F.size("mentions") > 0, between).alias("between"),
+            F.array_distinct(F.flatten(F.transform("mentions", keys_of))).alias("keys"),
+        )
+        .withColumn("names", _names_in(F.col("keys")))
+        .withColumn("parts", F.transform("names", lambda k: F.substring(k, 3, 1 << 30)))
         .withColumn("number", F.monotonically_increasing_id())
     )
+    hits = met.where(F.size("mentions") > 0)
     asked = hits.select("number", F.explode("keys").alias("key"))
     found = surrogates(saved(asked.select("key").distinct()), secret)
     maps = asked.join(found, "key").groupBy("number").agg(
         F.map_from_entries(F.collect_list(F.struct("key", "surrogate"))).alias("of_key")
     )
     new = F.transform("mentions", lambda m: rendered(m, F.col("of_key")))
-    text = _joined(
-        F.zip_with(F.col("between"), F.concat(new, F.array(F.lit(""))), lambda a, b: F.concat(a, b))
-    )
+    named = F.size("parts") > 0
+    rest = F.when(named, F.transform("between", _bare_names)).otherwise(F.col("between"))
     changed = hits.join(maps, "number").select(
-        F.col("row").withField("text", text).alias("row"), F.transform("mentions", kind_of).alias("kinds")
+        F.col("row").withField("text", _woven(rest, new)).alias("row"),
+        F.transform("mentions", kind_of).alias("kinds"),
+        F.when(named, _count_bare(F.col("between"))).otherwise(0).alias("bare"),
     )
-    same = rows.where(~holds).select("row", F.array().cast("array<string>").alias("kinds"))
+    same = met.where(F.size("mentions") == 0).select("row", none.alias("kinds"), F.lit(0).alias("bare"))
     return changed.unionByName(same)
 
 
@@ -371,11 +433,11 @@ def hide(docs: DataFrame, secret: str = KEY) -> DataFrame:
 
 
 def hidden_documents(docs: DataFrame, secret: str = KEY) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id``, the ``text`` with surrogates, and the number of mentions of
-    each type (``n_email`` and so on). Null and empty texts give empty ones."""
+    """One row per row of ``docs``: ``doc_id``, the ``text`` with surrogates, the number of mentions of each
+    type (``n_email`` and so on) and ``n_bare``, that of bare parts of names. Null and empty texts give empty ones."""
     found = replaced(texts(docs), secret)
 
     def count(kind: str) -> Column:
         return F.size(F.filter("kinds", lambda k: k == kind)).cast("bigint").alias(f"n_{kind}")
 
-    return found.select("row.doc_id", "row.text", *(count(k) for k in KINDS))
+    return found.select("row.doc_id", "row.text", *(count(k) for k in KINDS), F.col("bare").cast("bigint").alias("n_bare"))

@@ -158,3 +158,79 @@ def test_main_path_has_no_python(spark):
 @pytest.mark.parametrize("text", ["1" * 60_000, "a" * 60_000 + "@", "a." * 30_000 + "@", "1.2." * 20_000, "+1 " * 20_000])
 def test_long_runs_take_linear_time(spark, text):
     assert hidden(spark, [text]) == [text]
+
+
+def test_bare_names_follow_titled_ones(spark):
+    texts = [
+        "Mr Oleg Petrov came. Petrov said hello. Oleg's car; PETROV! Petrovsky stayed, so did petrov.",
+        "Prof. Dr. Jane O'Brien and O'Brien's aunt, Frau Dr. Anna Roe. Jane, Roe.",
+        "Petrov has no form of address here.",
+        "Mr J Smith. J is a letter, smith is a trade.",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    rows = pii.hidden_documents(docs, "k").orderBy("doc_id").collect()
+    first, last = rows[0].text.split()[1], rows[0].text.split()[2].rstrip(".")
+    assert rows[0].text == (
+        f"Mr {first} {last} came. {last} said hello. {first}'s car; {last.upper()}! Petrovsky stayed, so did petrov."
+    )
+    found = re.fullmatch(r"Prof\. Dr\. (\w+) (\w+) and (\w+)'s aunt, Frau Dr\. (\w+) (\w+)\. (\w+), (\w+)\.", rows[1].text)
+    jane, obrien, aunt, anna, roe, bare, end = found.groups()
+    assert obrien == aunt and jane == bare and roe == end and jane[-1] in "ei" and anna[-1] == "a"
+    assert rows[2].text == texts[2]
+    assert rows[3].text.endswith(". J is a letter, smith is a trade.") and "Smith" not in rows[3].text
+    assert [r.n_bare for r in rows] == [3, 3, 0, 0] and [r.n_name for r in rows] == [1, 2, 0, 1]
+
+
+def plain_names(text, surrogate_of):
+    """Names by one loop over the text, surrogates from a dictionary."""
+    case = lambda p, s: s.upper() if len(p) > 1 and p == p.upper() else s.capitalize()
+    sex = dict.fromkeys(pii.FEMALE, "f") | dict.fromkeys(pii.MALE, "m")
+    titles = sorted([*pii.MALE, *pii.FEMALE, *pii.EITHER], key=len, reverse=True)
+    word = r"[^\W\d_]+"
+    name = re.compile(rf"(?<!\w)((?:(?:{'|'.join(titles)})\.? )+)({word}(?:[ -]{word})*)")
+    out, known, at = [], {}, 0
+    for m in name.finditer(text):
+        parts = []
+        for p in re.findall(word, m[2])[:3]:
+            if not p[0].isupper():
+                break
+            parts.append(p)
+        kind = next((sex[t] for t in re.findall(r"[\w-]+", m[1]) if t in sex), "n")
+        keys = [f"{kind}:{p.lower()}" for p in parts[:-1]] + [f"s:{parts[-1].lower()}"]
+        end = m.start(2) + len(" ".join(parts))
+        out += [(text[at : m.start()], False), (m[1], True)]
+        out.append((re.sub(word, lambda w, it=iter(keys): case(w[0], surrogate_of[next(it)]), text[m.start(2) : end]), True))
+        at = end
+        for key in keys:
+            if key[0] == "s" or key[2:] not in known:
+                known[key[2:]] = surrogate_of[key]
+    out.append((text[at:], False))
+    bare = lambda w: case(w[0], known[w[0].lower()]) if w[0][0].isupper() and len(w[0]) > 1 and w[0].lower() in known else w[0]
+    return "".join(t if done else re.sub(word, bare, t) for t, done in out)
+
+
+def test_planted_names_against_a_plain_version(spark):
+    firsts, lasts = ["Oleg", "Jane", "Иван", "Μαρία", "Ana-Lena", "WILL"], ["Petrov", "Roe", "Иванов", "Δήμου", "Stone"]
+    titles = ["Mr", "Mrs.", "Dr", "Prof. Dr.", "Frau Dr.", "г-н", "κυρία"]
+    texts = []
+    for k in range(210):
+        a, b, t = firsts[k % 6], lasts[k % 5], titles[k % 7]
+        other = lasts[(k + 1) % 5]
+        texts.append(
+            f"stone {b} and {other}, {t} {a} {b}; then {b.upper()} left {a}. {titles[(k + 3) % 7]} {other}\n{other}, xx{b} {b}x."
+        )
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(5)
+    mentions = F.regexp_extract_all("text", F.lit(pii.PATTERN), F.lit(0))
+    keys = docs.select(F.explode(F.flatten(F.transform(mentions, pii.keys_of))).alias("key")).distinct()
+    of_key = {r.key: r.surrogate for r in pii.surrogates(keys, "k").collect()}
+    got = {r.doc_id: r for r in pii.hidden_documents(docs, "k").collect()}
+    assert {i: r.text for i, r in got.items()} == {i: plain_names(t, of_key) for i, t in enumerate(texts)}
+    assert all(r.n_bare >= 3 for r in got.values())
+
+
+def test_draws_are_spread(spark):
+    keys = spark.range(20_000).select(F.concat(F.lit("email:u"), "id", F.lit("@x.org")).alias("key"))
+    assert pii._tasks(keys.limit(100)) == 1
+    assert pii._tasks(keys) == min(spark.sparkContext.defaultParallelism, 40)
+    got = pii.surrogates(keys, "k")
+    assert got.count() == 20_000 == got.select("surrogate").distinct().count()
