@@ -57,7 +57,7 @@ from parcelflow.schemas import (
 from parcelflow.sources import readers
 from parcelflow.sources.landing import base_table, landing, shared_folder
 from parcelflow.sources.snapshots import SnapshotTable, key_slices
-from parcelflow.sources.writers import save
+from parcelflow.sources.writers import save, save_for_lookup
 from parcelflow.streaming import (
     append_files,
     append_updates,
@@ -259,15 +259,27 @@ def item_review_lookup(spark, sf_dir):
     return item_review(landing(spark, sf_dir).envelopes(), package_id=LOOKUP_PACKAGE)
 
 
+def _first_order(spark, sf_dir) -> str:
+    """The first order that has the package."""
+    holds = F.concat(F.lit("pkg-"), F.col("l_partkey")) == LOOKUP_PACKAGE
+    lines = base_table(spark, sf_dir, "lineitem").where(holds)
+    return f"ord-{lines.agg(F.min('l_orderkey')).first()[0]}"
+
+
 @_query
 def item_review_order(spark, sf_dir):
     """One package in one order: the first order that has it."""
-    holds = F.concat(F.lit("pkg-"), F.col("l_partkey")) == LOOKUP_PACKAGE
-    lines = base_table(spark, sf_dir, "lineitem").where(holds)
-    first = lines.agg(F.min("l_orderkey")).first()[0]
-    return item_review(
-        landing(spark, sf_dir).envelopes(), package_id=LOOKUP_PACKAGE, order_id=f"ord-{first}"
-    )
+    order = _first_order(spark, sf_dir)
+    return item_review(landing(spark, sf_dir).envelopes(), package_id=LOOKUP_PACKAGE, order_id=order)
+
+
+@_query
+def item_review_indexed(spark, sf_dir):
+    """The whole first order that has the package, from envelopes written for lookups by order."""
+    path = f"{shared_folder(spark)}/envelopes"
+    save_for_lookup(landing(spark, sf_dir).envelopes(), path, "order_id")
+    rows = readers.read_files(spark, path, schema=ENVELOPE)
+    return item_review(rows, order_id=_first_order(spark, sf_dir))
 
 
 # -- batch writes -----------------------------------------------------------

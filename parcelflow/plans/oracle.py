@@ -218,6 +218,8 @@ _BODIES = {
     "item_review_lookup": f"{_REVIEW} WHERE package_id = '{LOOKUP_PACKAGE}'",
     "item_review_order": f"""{_REVIEW} WHERE package_id = '{LOOKUP_PACKAGE}' AND i.order_id =
         (SELECT 'ord-' || min(l_orderkey) FROM lineitem WHERE 'pkg-' || l_partkey = '{LOOKUP_PACKAGE}')""",
+    "item_review_indexed": f"""{_REVIEW} WHERE i.order_id =
+        (SELECT 'ord-' || min(l_orderkey) FROM lineitem WHERE 'pkg-' || l_partkey = '{LOOKUP_PACKAGE}')""",
     "batch_append": _EVENTS,
     "batch_overwrite": f"{_EVENTS} JOIN hdr USING (event_id) WHERE o_orderstatus <> 'P'".replace(
         "order_id FROM", "evt.order_id FROM"
