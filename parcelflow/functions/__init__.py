@@ -1,10 +1,12 @@
 from parcelflow.functions.columns import (
     now,
+    packed_id,
     prefixed_hash,
     prefixed_uuid,
     row_payload,
     time_slot,
+    unpacked_id,
 )
 from parcelflow.functions.rows import numbered
 
-__all__ = ["now", "numbered", "prefixed_hash", "prefixed_uuid", "row_payload", "time_slot"]
+__all__ = ["now", "numbered", "packed_id", "prefixed_hash", "prefixed_uuid", "row_payload", "time_slot", "unpacked_id"]

@@ -5,6 +5,9 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from parcelflow import streaming
+from parcelflow.functions import packed_id, unpacked_id
+from parcelflow.operators.merge import items_merge
+from parcelflow.sources import landing
 from parcelflow.sources.readers import stream_files
 from parcelflow.streaming import stateful
 
@@ -32,3 +35,37 @@ def test_orders_share_state_rows_and_are_forgotten_one_by_one(spark, tmp_path, m
     got = sorted(map(tuple, spark.read.parquet(f"{tmp_path}/out").collect()))
     assert got == sorted((f"o{i}", "RECEIVED", "PROCESSING", day(13)) for i in range(1, 20, 2))
     assert max(sizes) <= 2
+
+
+ID = "inv-" + "0a" * 32
+ODD_IDS = [ID, ID.upper(), ID[:-1], ID + "\n", "x" * 70, "0a" * 32, "é-" + "0a" * 32, "inv-1", "", "\x01" + "a" * 63, None]
+
+
+def test_packed_ids_are_the_same_texts(spark):
+    rows = spark.createDataFrame([(t,) for t in ODD_IDS], "t string").repartition(1)
+    packed = rows.select("t", packed_id(F.col("t")).alias("p")).collect()
+    assert len({r.p for r in packed}) == len(ODD_IDS)
+    assert {r.t: len(r.p) for r in packed if r.t == ID} == {ID: 37}
+    back = rows.select("t", unpacked_id(packed_id(F.col("t"))).alias("back")).collect()
+    assert all(r.t == r.back for r in back)
+
+
+def test_merge_by_odd_ids_in_more_partitions(spark):
+    schema = "inventory_id string, order_id string, status string"
+    items = spark.createDataFrame([(t, "o", "PENDING") for t in ODD_IDS] + [(ID, None, "PENDING")], schema)
+    batch = items.where("inventory_id IS NULL OR length(inventory_id) > 64")
+    merged = items_merge(items, batch, partitions=7)
+    rows = merged.rows()
+    moved = {t for t in ODD_IDS if t is not None and len(t) > 64}
+    want = [(t, "o", "PROCESSING" if t in moved else "PENDING") for t in ODD_IDS] + [(ID, None, "PENDING")]
+    assert sorted(map(tuple, rows.collect()), key=repr) == sorted(want, key=repr)
+    assert {r.inventory_id for r in merged.changed().collect()} == moved
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(", 7)") >= 2 and "SortMergeJoin" in plan
+
+
+def test_landing_rows_ask_for_partitions_by_size(spark, tmp_path, monkeypatch):
+    land = landing.Landing(spark, "/root/testdata/sf0.001")
+    assert land.partitions("envelopes") is None
+    monkeypatch.setattr(landing, "PARTITION_BYTES", 1 << 10)
+    assert land.partitions("envelopes") > int(spark.conf.get("spark.sql.shuffle.partitions"))
