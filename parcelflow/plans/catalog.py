@@ -47,6 +47,7 @@ from parcelflow.schemas import (
     INTERRUPTED,
     ORDER_ITEMS,
     ORDER_PART,
+    ORDER_PART_V1,
     ORDERS,
     PACKAGES,
     PENDING,
@@ -1025,8 +1026,8 @@ def _mixed(spark, sf_dir) -> readers.Mixed:
 def decode_mixed(spark, sf_dir):
     """Orders of both generations from one raw feed."""
     mixed = _mixed(spark, sf_dir)
-    current = flat_orders(mixed.current()).withColumn("generation", F.lit(2))
-    older = flat_orders_v1(mixed.older()).withColumn("generation", F.lit(1))
+    current = flat_orders(mixed.current(ORDER_PART)).withColumn("generation", F.lit(2))
+    older = flat_orders_v1(mixed.older(ORDER_PART_V1)).withColumn("generation", F.lit(1))
     return current.unionByName(older, allowMissingColumns=True)
 
 

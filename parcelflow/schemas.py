@@ -87,15 +87,21 @@ ENVELOPE = _envelope(_ITEM, total_amount=_DOUBLE, total_volume=_DOUBLE, total_we
 # The older generation: flat items that carry their own weight, no volume.
 ENVELOPE_V1 = _envelope(_ITEM_V1, total_amount=_DOUBLE, total_weight=_DOUBLE)
 
-# An envelope without its items, for what needs the order alone.
-ORDER_PART = StructType(
-    [
-        StructField(f.name, StructType([x for x in f.dataType if x.name != "items"]))
-        if f.name == "order_details"
-        else f
-        for f in ENVELOPE
-    ]
-)
+
+
+def _order_part(envelope: StructType) -> StructType:
+    """An envelope without its items, for what needs the order alone."""
+    return StructType(
+        [
+            StructField(f.name, StructType([x for x in f.dataType if x.name != "items"]))
+            if f.name == "order_details"
+            else f
+            for f in envelope
+        ]
+    )
+
+
+ORDER_PART, ORDER_PART_V1 = _order_part(ENVELOPE), _order_part(ENVELOPE_V1)
 
 # What the stock steps read of an envelope.
 DEMAND_FIELDS = _row(
