@@ -18,19 +18,22 @@ Last come the texts that are still apart. In a bucket of up to ``FEW`` texts all
 of larger ones, a passage in common, meet by what is rare among them: each edit changes two runs of two words at
 most, so two texts of the similarity share a known number of their rarest runs (``rare_pairs``). Runs of more than
 ``COMMON`` texts are no keys; where too many are among the rarest of two texts, single words take their place. Texts
-whose rarest fifth of words is common as well meet by longer runs, three to five words, that are rare
-(``longer_run_pairs``). Pairs grow with texts, never with the square of a bucket.
+whose rarest fifth of words is common as well are all compared with those of like lengths, in blocks of ``BLOCK``
+(``block_links``). So every link between two texts of a bucket ends in a class. Pairs grow with texts, but for texts
+made of common words alone, where they grow with the square of their number.
 """
 
 from __future__ import annotations
 
+import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelflow.llm.common import batches, find_package, saved, texts, whole_row
@@ -39,12 +42,16 @@ WORDS, SIMILARITY = 5, 0.8
 SKETCHES, TAKEN = 32, 2
 #: Texts of a bucket that are all compared; texts that make a run of words no key.
 FEW, COMMON = 8, 50
-#: Runs by which texts of common words meet, and the share of rare ones that two of them must share.
-LONGER, ENOUGH = (3, 4, 5), 0.03
+#: Texts of common words in a block, about, and values that are looked at together for two blocks.
+BLOCK, COLUMNS = 256, 1 << 13
+#: Bits of the texts of a block that are aligned with another one at once, and texts from which on that pays.
+BITS, MANY = 1 << 15, 4
+#: Lengths of the runs that are counted before an alignment.
+COUNTED = (1, 2, 3)
 CACHED = 300_000
 #: Hash values of shingles held at a time.
 VALUES = 1 << 19
-#: Edits up to which diagonals are followed; beyond, whole rows are aligned as bit vectors.
+#: Edits up to which diagonals are followed, at most; beyond, whole rows are aligned as bit vectors.
 BAND = 100
 
 
@@ -83,10 +90,19 @@ def occurrences(values: np.ndarray) -> np.ndarray:
     return out
 
 
+def labelled_runs(hashes: np.ndarray, size: int = WORDS) -> np.ndarray:
+    """Hashes of the runs of ``size`` words with their occurrences: no two of a text are equal."""
+    plain = shingles(hashes, size)
+    return _mixed(plain + occurrences(plain).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def hashed(words: list[str]) -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)
+
+
 def sketches(hashes: np.ndarray) -> np.ndarray:
     """The sketches of a text from the hashes of its words."""
-    plain = shingles(hashes)
-    labelled = _mixed(plain + occurrences(plain).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    labelled = labelled_runs(hashes)
     out = np.empty(SKETCHES, np.uint64)
     step = max(1, VALUES // len(labelled))
     for at in range(0, SKETCHES, step):
@@ -147,12 +163,10 @@ def entries_of(nodes: DataFrame) -> DataFrame:
         "n_words",
         F.posexplode(F.arrays_zip(F.col("sketches").alias("one"), following.alias("two"))).alias("at", "s"),
     ).select("node", "n_words", "at", F.col("s.one").alias("one"), F.col("s.two").alias("two"))
-    chosen = (
-        rows.groupBy("at", "one")
-        .agg(F.count("*").alias("size"), _one_of("node", "at", salt=0).alias("rep"))
-        .where("size > 1")
-    )
-    return rows.join(chosen, ["at", "one"])
+    # Most sketches are of one text: they are only counted.
+    chosen = rows.groupBy("at", "one").agg(F.count("*").alias("size")).where("size > 1")
+    met = saved(rows.join(chosen, ["at", "one"]))
+    return met.join(met.groupBy("at", "one").agg(_one_of("node", "at", salt=0).alias("rep")), ["at", "one"])
 
 
 def _one_of(*mixed: str, salt: int) -> Column:
@@ -226,43 +240,47 @@ def few_pairs(rows: DataFrame) -> DataFrame:
     )
 
 
-def runs_of(nodes: DataFrame, of_node: DataFrame, size: int) -> DataFrame:
-    """``id, class, n_words`` of ``nodes`` and ``runs``, the labelled runs of ``size`` words, of their texts."""
-    schema = pa.schema([("id", pa.int64()), ("runs", pa.list_(pa.int64()))])
+def runs_of(held: DataFrame, size: int) -> DataFrame:
+    """``id, class, run``: the labelled runs of ``size`` words of the texts ``held``."""
+    schema = pa.schema([("id", pa.int64()), ("class", pa.int64()), ("runs", pa.list_(pa.int64()))])
 
     def rows(incoming: Iterator[pa.RecordBatch]):
         for batch in incoming:
-            for id_, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                words = words_of(text.as_py())
-                plain = shingles(np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64), size)
-                labels = occurrences(plain).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-                yield id_, _mixed(plain + labels).view(np.int64)
+            for id_, class_, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                yield id_, class_, labelled_runs(hashed(words_of(text.as_py())), size).view(np.int64)
 
-    found = of_node.join(nodes.select("node", "id"), "node").select("id", "text").mapInArrow(
-        lambda incoming: batches(rows(incoming), schema), "id bigint, runs array<bigint>"
+    return (
+        held.select("id", "class", "text")
+        .mapInArrow(lambda incoming: batches(rows(incoming), schema), "id bigint, class bigint, runs array<bigint>")
+        .select("id", "class", F.explode("runs").alias("run"))
     )
-    return saved(found.join(nodes.select("id", "class", "n_words"), "id"))
 
 
-def rare_pairs(nodes: DataFrame, of_node: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs of different classes among ``nodes`` (``id, node, n_words, class``) that share enough rare runs of
-    ``size`` words, and the ``id`` of nodes of which this is not known because too many runs are common.
+def rare_pairs(held: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs of different classes among the texts ``held`` (``id, node, n_words, class, text``) that share enough
+    rare runs of ``size`` words, and the ``id`` of the texts with pairs of which this is not known because too many
+    runs are common.
 
     Two texts of the similarity, the longer one of N words, share at least ``N - size + 1 - size * 0.2 N`` runs.
     So, runs in one order, rare ones first, they share ``most`` of those that stand before all but as many less
-    ``most``. Of these, common runs are no keys; what they could be for both is taken off the number."""
+    ``most``. Of these, common runs are no keys; what they could be for both is taken off the number. It says
+    nothing if both texts have as many common ones as one of them must share, the shorter one the fewest."""
+
+    def bound(n: Column) -> Column:
+        return F.ceil(n * (1 - size * (1 - SIMILARITY)) - (size - 1) - 1e-6)
+
+    def most(n: Column) -> Column:
+        return F.greatest(F.lit(1), F.least(F.ceil(n * 0.05 - 1e-6), bound(n)))
+
     n = F.col("n_words")
-    bound = F.ceil(n * (1 - size * (1 - SIMILARITY)) - (size - 1) - 1e-6)
-    shared = F.greatest(F.lit(1), F.least(F.ceil(n * 0.05), bound))
-    texts_ = runs_of(nodes, of_node, size)
     ranked = (
-        texts_.select("id", "class", "n_words", F.size("runs").alias("n"), shared.alias("most"), bound.alias("bound"))
-        .join(shared_runs(texts_), "id", "left")
+        held.select("id", "class", "n_words", F.greatest(n - (size - 1), F.lit(1)).alias("n"), most(n).alias("most"))
+        .join(shared_runs(runs_of(held, size)), "id", "left")
         .withColumn("known", F.coalesce("known", F.expr("cast(array() AS array<struct<often: bigint, run: bigint>>)")))
         .withColumn("others", F.col("n") - F.coalesce("own", F.lit(0)))
     )
     # Runs of one class only come first in the order, common ones last.
-    first = F.greatest(F.lit(0), F.least(F.col("others") - F.col("bound") + F.col("most"), F.col("others")))
+    first = F.greatest(F.lit(0), F.least(F.col("others") - bound(n) + F.col("most"), F.col("others")))
     ranked = saved(
         ranked.withColumn("first", first.cast("int")).select(
             "id",
@@ -274,72 +292,160 @@ def rare_pairs(nodes: DataFrame, of_node: DataFrame, size: int) -> tuple[DataFra
         )
     )
     keyed = ranked.select("id", "class", "n_words", "most", "common", F.explode("keys").alias("key"))
-    least = F.least("most", "_most") - F.least("common", "_common")
-    return met_by_key(keyed, least), ranked.where("common >= most").select("id")
+    return met_by_key(keyed), ranked.where(F.col("common") >= most(n * SIMILARITY)).select("id")
 
 
-def shared_runs(texts_: DataFrame) -> DataFrame:
-    """Of ``id, class, runs``: ``known``, the runs of a text that 2 to ``COMMON`` texts of several classes hold,
+def shared_runs(runs: DataFrame) -> DataFrame:
+    """Of ``id, class, run``: ``known``, the runs of a text that 2 to ``COMMON`` texts of several classes hold,
     with how many, fewest first; and ``own``, how many runs of a text no other class holds. What is left of its
-    runs is common, so common ones need not be met again."""
-    rows = texts_.select("id", "class", F.explode("runs").alias("run"))
-    held = rows.groupBy("run").agg(
-        F.count("*").alias("often"),
-        F.min("id").alias("one"),
-        (F.min("class") != F.max("class")).alias("several"),
-    )
-    # A run of one text is known by its text, others by themselves.
-    held = saved(
-        held.where((F.col("often") <= COMMON) | ~F.col("several")).select(
-            F.when(F.col("often") > 1, F.col("run")).alias("run"),
-            F.when(F.col("often") == 1, F.col("one")).alias("one"),
-            "often",
-            "several",
-        )
-    )
-    alone = held.where("often = 1").groupBy(F.col("one").alias("id")).agg(F.count("*").alias("alone"))
+    runs is common. The runs are shuffled once; those of one hash stay on disk where they don't fit."""
+    of_run = Window.partitionBy("run")
+    met = runs.select(
+        "id",
+        "run",
+        F.count("*").over(of_run).alias("often"),
+        (F.min("class").over(of_run) != F.max("class").over(of_run)).alias("several"),
+    ).where((F.col("often") <= COMMON) | ~F.col("several"))
     known = F.when(F.col("several"), F.struct("often", "run"))
-    met = (
-        rows.select("id", "run")
-        .join(held.where("often > 1").select("run", "often", "several"), "run")
-        .groupBy("id")
-        .agg(F.sort_array(F.collect_list(known)).alias("known"), F.count_if(~F.col("several")).alias("of_class"))
+    return met.groupBy("id").agg(
+        F.sort_array(F.collect_list(known)).alias("known"), F.count_if(~F.col("several")).alias("own")
     )
-    own = F.coalesce("alone", F.lit(0)) + F.coalesce("of_class", F.lit(0))
-    return met.join(alone, "id", "full").select("id", "known", own.alias("own"))
 
 
-def met_by_key(keyed: DataFrame, least: Column) -> DataFrame:
-    """Pairs ``x, y`` (ids) of different classes that meet under ``least`` keys or more; columns of the second
-    text begin with ``_`` there. At most ``COMMON`` texts have a key."""
-    other = keyed.select("key", *(F.col(c).alias(f"_{c}") for c in keyed.columns if c != "key"))
+def met_by_key(keyed: DataFrame) -> DataFrame:
+    """Pairs ``x, y`` (ids) of different classes that meet under enough keys: ``most`` of one of them, less the
+    ``common`` ones of both. At most ``COMMON`` texts have a key."""
+    texts_ = F.collect_list(F.struct("id", "class", "n_words", "most", "common"))
+    of_key = keyed.groupBy("key").agg(texts_.alias("texts")).where(F.size("texts") > 1)
+    x, y = F.col("x"), F.col("y")
+    other = F.filter(
+        "texts",
+        lambda t: (t["id"] > x["id"]) & (t["class"] != x["class"]) & _alike(t["n_words"], x["n_words"]),
+    )
+    least = F.least(x["most"], y["most"]) - F.least(x["common"], y["common"])
     return (
-        keyed.join(other, "key")
-        .where((F.col("id") < F.col("_id")) & (F.col("class") != F.col("_class")) & _alike("n_words", "_n_words"))
-        .groupBy(F.col("id").alias("x"), F.col("_id").alias("y"))
+        of_key.select("texts", F.explode("texts").alias("x"))
+        .select("x", F.explode(other).alias("y"))
+        .groupBy(x["id"].alias("x_id"), y["id"].alias("y_id"))
         .agg(F.count("*").alias("met"), F.first(least).alias("least"))
         .where("met >= least")
-        .select("x", "y")
+        .select(F.col("x_id").alias("x"), F.col("y_id").alias("y"))
     )
 
 
-def longer_run_pairs(nodes: DataFrame, of_node: DataFrame, size: int) -> DataFrame:
-    """Pairs among texts made of common words: where runs of two words say nothing, longer ones outside the
-    passages in common are rare again. Two texts meet if they share ``ENOUGH`` of the rare runs of the one that
-    has fewer. Edits may break more of them, so this finds nearly all pairs, not all."""
-    texts_ = runs_of(nodes, of_node, size)
-    rare = saved(
-        shared_runs(texts_)
-        .where("size(known) > 0")
-        .join(texts_.select("id", "class", "n_words"), "id")
-        .select("id", "class", "n_words", (F.size("known") + F.col("own")).alias("rare"), "known")
+def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many values each array of ``left`` shares with each of ``right``; no two of an array are equal."""
+    values = np.intersect1d(np.concatenate(left), np.concatenate(right))
+
+    def placed(arrays: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        row, value = np.repeat(np.arange(len(arrays)), [len(x) for x in arrays]), np.concatenate(arrays)
+        held = np.isin(value, values)
+        row, place = row[held], np.searchsorted(values, value[held])
+        order = np.argsort(place, kind="stable")
+        return row[order], place[order]
+
+    def table(rows: int, row: np.ndarray, place: np.ndarray, start: int) -> np.ndarray:
+        some = slice(*np.searchsorted(place, (start, start + COLUMNS)))
+        out = np.zeros((rows, COLUMNS), np.float32)
+        out[row[some], place[some] - start] = 1
+        return out
+
+    of_left, of_right = placed(left), placed(right)
+    out = np.zeros((len(left), len(right)), np.int64)
+    for start in range(0, len(values), COLUMNS):
+        product = table(len(left), *of_left, start) @ table(len(right), *of_right, start).T
+        out += product.astype(np.int64)
+    return out
+
+
+def links_of_blocks(rows: pd.DataFrame, one: bool) -> Iterator[tuple[bytes, bytes, float]]:
+    """The links between the texts of two blocks, or inside ``one``, that connect classes not yet connected. Pairs
+    whose words and runs of words in common allow no link are not aligned."""
+    rows = rows.sort_values("node")
+    sides = [rows, rows] if one else [rows[rows["side"] == 0], rows[rows["side"] == 1]]
+    if not all(map(len, sides)):
+        return
+    words = [[words_of(t) for t in side["text"]] for side in sides]
+    hashes = [[hashed(w) for w in ws] for ws in words]
+    n, class_, node = ([side[c].to_numpy() for side in sides] for c in ("n_words", "class", "node"))
+    longer = np.maximum.outer(*n)
+    most = ((1 - SIMILARITY) * longer + 1e-9).astype(np.int64)
+    left = np.not_equal.outer(*class_) & (longer - np.minimum.outer(*n) <= most)
+    if one:
+        left &= np.triu(left, 1)
+    for size in COUNTED:
+        if not left.any():
+            return
+        counts = shared_counts(*([labelled_runs(h, size) for h in hs] for hs in hashes))
+        left &= counts >= longer - size + 1 - size * most
+    parent: dict[int, int] = {}
+
+    def root(c: int) -> int:
+        while parent.get(c, c) != c:
+            c = parent[c]
+        return c
+
+    # Texts of the first side stand side by side as bits, as many as ``BITS`` holds.
+    of_group = (np.cumsum(n[0]) - n[0]) // BITS
+    for group in np.split(np.arange(len(n[0])), np.flatnonzero(np.diff(of_group)) + 1):
+        edits_of = None
+        for j in np.flatnonzero(left[group].any(axis=0)):
+            apart = [i for i in group[left[group, j]] if root(class_[0][i]) != root(class_[1][j])]
+            if len(apart) >= MANY:
+                edits_of = edits_of or edits_of_each([words[0][i] for i in group])
+                near = edits_of(words[1][j]) <= most[group, j]
+                apart = [i for i in apart if near[i - group[0]]]
+            for i in apart:
+                a, b = root(class_[0][i]), root(class_[1][j])
+                if a != b and (reached := similarity(words[0][i], words[1][j])):
+                    parent[a] = b
+                    x, y = sorted((node[0][i], node[1][j]))
+                    yield x, y, reached
+
+
+def block_links(held: DataFrame) -> DataFrame:
+    """Links between the texts ``held`` (``node, class, n_words, text``) that connect all classes which any of their
+    links connects: every two texts of like lengths are compared, a block of them with a block at a time."""
+    # Lengths that allow the similarity are in one band or in neighbouring ones.
+    band = F.floor(F.log("n_words") / (math.log(1 / SIMILARITY) * (1 + 1e-9)))
+    rows = held.select("node", "class", "n_words", "text", band.alias("band"))
+    blocks = rows.groupBy("band").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    rows = saved(
+        rows.join(blocks, "band").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))).drop("blocks")
+    )
+    ends = rows.select("band", "block").distinct()
+    second = ends.select(F.col("band").alias("_band"), F.col("block").alias("_block"))
+    cell = ["band", "block", "_band", "_block"]
+    cells = (
+        ends.withColumn("_band", F.explode(F.array("band", F.col("band") + 1)))
+        .join(second, "_band")
+        .where("band < _band OR block <= _block")
+    )
+    sides = F.array(
+        F.struct(F.lit(0).alias("side"), F.col("band").alias("b"), F.col("block").alias("k")),
+        F.struct(F.lit(1).alias("side"), F.col("_band").alias("b"), F.col("_block").alias("k")),
+    )
+    one = (F.col("band") == F.col("_band")) & (F.col("block") == F.col("_block"))
+    cells = cells.select(*cell, F.explode(F.slice(sides, 1, F.when(one, 1).otherwise(2))).alias("s"))
+    of_block = rows.select(F.col("band").alias("b"), F.col("block").alias("k"), "node", "class", "n_words", "text")
+
+    def links(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(list(links_of_blocks(rows, key[:2] == key[2:])), columns=["a", "b", "similarity"])
+
+    # Cells are small in bytes and long in time: each partition stays a task.
+    tasks = int(held.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (
+        cells.select(*cell, "s.*")
+        .join(of_block, ["b", "k"])
+        .repartition(tasks, *cell)
+        .groupBy(*cell)
+        .applyInPandas(links, "a binary, b binary, similarity double")
     )
-    keyed = rare.select("id", "class", "n_words", "rare", F.explode("known.run").alias("key"))
-    return met_by_key(keyed, F.ceil(F.least("rare", "_rare") * ENOUGH))
 
 
-def last_pairs(entries: DataFrame, labels: DataFrame, of_node: DataFrame) -> DataFrame:
-    """The pairs of texts of a bucket that are still apart and may be near copies."""
+def last_pairs(entries: DataFrame, labels: DataFrame, of_node: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The pairs of texts of a bucket that are still apart and may be near copies, and the texts that have others
+    among themselves, too many of whose words are common."""
     rows = apart(entries, labels)
     # Runs of words travel with a short number of their text, not with its digest.
     crowd = saved(
@@ -348,15 +454,15 @@ def last_pairs(entries: DataFrame, labels: DataFrame, of_node: DataFrame) -> Dat
         .distinct()
         .withColumn("id", F.monotonically_increasing_id())
     )
-    by_two, left = rare_pairs(crowd, of_node, 2)
-    by_one, left = rare_pairs(saved(crowd.join(left, "id", "left_semi")), of_node, 1)
-    met, left = by_two.unionAll(by_one), saved(crowd.join(left, "id", "left_semi"))
-    for size in LONGER:
-        met = met.unionAll(longer_run_pairs(left, of_node, size))
-    met = met.distinct()
+    held = saved(of_node.select("node", "text").join(crowd, "node"))
+    by_two, left = rare_pairs(held, 2)
+    held = saved(held.join(left, "id", "left_semi"))
+    by_one, left = rare_pairs(held, 1)
+    met = by_two.unionAll(by_one).distinct()
     for side in ("x", "y"):
         met = met.join(crowd.select(F.col("id").alias(side), F.col("node").alias(f"of_{side}")), side)
-    return few_pairs(rows).unionAll(met.select(*_pair("of_x", "of_y"))).distinct()
+    pairs = few_pairs(rows).unionAll(met.select(*_pair("of_x", "of_y"))).distinct()
+    return pairs, held.join(left, "id", "left_semi")
 
 
 # -- alignment ---------------------------------------------------------------
@@ -364,8 +470,8 @@ def last_pairs(entries: DataFrame, labels: DataFrame, of_node: DataFrame) -> Dat
 
 def edits(a: list, b: list, most: int) -> int:
     """The edit distance of two sequences, or ``most + 1`` if it is larger. Diagonals of the alignment are
-    followed inside a band that grows by one with each edit; when many edits are needed, the rest of the
-    question goes to bit vectors."""
+    followed inside a band that grows by one with each edit; when this would take as many steps as there are words,
+    the rest of the question goes to bit vectors."""
     while a and b and a[-1] == b[-1]:
         a, b = a[:-1], b[:-1]
     n, m = len(a), len(b)
@@ -374,7 +480,8 @@ def edits(a: list, b: list, most: int) -> int:
     reach = {0: _slide(a, b, 0, 0)}  # diagonal (place in b less place in a): farthest place in a
     if reach[0] >= n and n == m:
         return 0
-    for edit in range(1, min(most, BAND) + 1):
+    band = min(most, BAND, math.isqrt(n + m))
+    for edit in range(1, band + 1):
         new = {}
         for diagonal in range(-min(edit, n), min(edit, m) + 1):
             place = max(
@@ -389,7 +496,7 @@ def edits(a: list, b: list, most: int) -> int:
         reach = new
         if reach.get(m - n, -1) >= n:
             return edit
-    return most + 1 if most <= BAND else min(edits_by_bits(a, b), most + 1)
+    return most + 1 if most <= band else min(edits_by_bits(a, b), most + 1)
 
 
 def _slide(a: list, b: list, i: int, j: int) -> int:
@@ -422,14 +529,50 @@ def edits_by_bits(a: list, b: list) -> int:
     return distance
 
 
+def edits_of_each(sequences: list[list]) -> Callable[[list], np.ndarray]:
+    """The edit distances of each of these to another sequence, as ``edits_by_bits`` has them: all stand side by side
+    in one number, with a bit above each that takes what an addition carries out of it."""
+    starts = np.cumsum([0, *(len(s) + 1 for s in sequences)])
+
+    def number(places) -> int:
+        bits = np.zeros(starts[-1], np.uint8)
+        bits[places] = 1
+        return int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
+
+    found: dict = {}
+    for start, sequence in zip(starts.tolist(), sequences):
+        for i, x in enumerate(sequence, start):
+            found.setdefault(x, []).append(i)
+    places = {x: number(at) for x, at in found.items()}
+    first, all_ = number(starts[:-1]), number(np.setdiff1d(np.arange(starts[-1]), starts[1:] - 1))
+
+    def bits_of(value: int) -> np.ndarray:
+        held = np.frombuffer(value.to_bytes(-(-int(starts[-1]) // 8), "little"), np.uint8)
+        return np.unpackbits(held, count=int(starts[-1]), bitorder="little").astype(np.int64)
+
+    def distances(b: list) -> np.ndarray:
+        up, down = all_, 0
+        for y in b:
+            same = places.get(y, 0)
+            zero = ((((same & up) + up) ^ up) | same | down) & all_
+            right, left = down | (all_ & ~(zero | up)), up & zero
+            right, left = (right << 1 | first) & all_, left << 1 & all_
+            up, down = left | (all_ & ~(zero | right)), right & zero
+        return len(b) + np.add.reduceat(bits_of(up) - bits_of(down), starts[:-1])
+
+    return distances
+
+
 def similarity(a: list, b: list, least: float = SIMILARITY) -> float:
     """1 less the edit distance over the longer length; 0 for pairs below ``least``."""
     longer = max(len(a), len(b))
     if not longer:
         return 1.0
     most = int((1 - least) * longer + 1e-9)
-    if longer - (Counter(a) & Counter(b)).total() > most:  # words in common are not enough
-        return 0.0
+    for size in COUNTED:  # an edit changes so many runs at most; those in common are not enough
+        x, y = (Counter(zip(*(side[k:] for k in range(size)))) for side in (a, b))
+        if (x & y).total() < longer - size + 1 - size * most:
+            return 0.0
     found = edits(a, b, most)
     return 1 - found / longer if found <= most else 0.0
 
@@ -461,8 +604,8 @@ def aligned(pairs: DataFrame, of_node: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """``node, class`` of every node of the links: the least node it is connected with. Each round takes the
-    least label among neighbours, then the label of that label, until none changes."""
+    """``node, class`` of every node of the links: the least node it is connected with. In each round all nodes of a
+    label take the least label next to any of them, then the label of that label, until none changes."""
     both = saved(links.select("a", "b").union(links.select("b", "a")).distinct())
     labels = saved(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("class")))
     while True:
@@ -471,7 +614,9 @@ def components(links: DataFrame) -> DataFrame:
             .groupBy(F.col("a").alias("node"))
             .agg(F.min("class").alias("near"))
         )
-        lower = labels.join(near, "node").select("node", "class", F.least("class", "near").alias("low"))
+        met = labels.join(near, "node")
+        least = met.groupBy("class").agg(F.min("near").alias("least"))
+        lower = met.join(least, "class").select("node", "class", F.least("class", "least").alias("low"))
         jump = labels.select(F.col("node").alias("low"), F.col("class").alias("of_low"))
         new = saved(
             lower.join(jump, "low", "left").select(
@@ -511,9 +656,14 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     links = aligned(tried, of_node)
     labels = components(links)
     for step in (1, 2, 3):
-        more = last_pairs(entries, labels, of_node) if step == 3 else later_pairs(entries, labels, step == 1)
+        if step == 3:
+            more, common = last_pairs(entries, labels, of_node)
+        else:
+            more = later_pairs(entries, labels, step == 1)
         pairs = saved(more.join(tried, ["a", "b"], "left_anti"))
         new = aligned(pairs, of_node)
+        if step == 3:
+            new = saved(new.unionAll(block_links(common)).dropDuplicates(["a", "b"]))
         labels = joined_classes(labels, new)
         links, tried = links.unionAll(new), tried.unionAll(pairs)
     return labels, links

@@ -153,6 +153,68 @@ def test_pairs_of_few_words_behind_a_passage(spark):
     assert len(set(got.values())) == 1000
 
 
+def test_texts_of_common_words_alone(spark, monkeypatch):
+    """No run of words is rare, whatever its length, so blocks of texts are compared; every link counts."""
+    monkeypatch.setattr(near, "COMMON", 1)
+    monkeypatch.setattr(near, "BLOCK", 16)
+    rng = random.Random(13)
+    passage, few = text(rng, 60), [f"few{k}" for k in range(10)]
+    rows = [(i, " ".join(passage + rng.choices(few, k=rng.randint(45, 75)))) for i in range(100)]
+    for i in range(100, 140):
+        words = rows[i - 100][1].split()
+        for k in rng.sample(range(60, len(words)), rng.randint(1, len(words) // 5)):
+            words[k] = rng.choice(few)
+        rows.append((i, " ".join(words)))
+    words = {i: t.split() for i, t in rows}
+    of = {i: near.sketches(np.array([near.xxhash.xxh64_intdigest(w) for w in ws], np.uint64)) for i, ws in words.items()}
+    links = [
+        (a, b)
+        for a in words
+        for b in range(a + 1, len(rows))
+        if (of[a] == of[b]).any() and near.similarity(words[a], words[b])
+    ]
+    got = {r.doc_id: r.class_id for r in classes_of(spark, rows)}
+    assert len(links) > 30
+    assert [p for p in links if got[p[0]] != got[p[1]]] == []
+    assert len(set(got.values())) > 80
+
+
+def test_edits_of_each_against_bits():
+    rng = random.Random(23)
+    for _ in range(200):
+        many = [rng.choices("abcd", k=rng.randint(1, 90)) for _ in range(rng.randint(1, 9))]
+        b = rng.choices("abcde", k=rng.randint(1, 90))
+        assert near.edits_of_each(many)(b).tolist() == [near.edits_by_bits(a, b) for a in many]
+
+
+def test_links_of_blocks_against_all_pairs(monkeypatch):
+    """Classes that any link connects are connected, whatever the columns held at a time."""
+    monkeypatch.setattr(near, "COLUMNS", 32)
+    rng = random.Random(17)
+    base = [text(rng, 40) for _ in range(6)]
+    texts = [" ".join(rng.choice(base[0]) if rng.random() < 0.14 else w for w in rng.choice(base)) for _ in range(40)]
+    rows = near.pd.DataFrame(
+        [(bytes([i]), i, len(t.split()), t, i % 2) for i, t in enumerate(texts)],
+        columns=["node", "class", "n_words", "text", "side"],
+    )
+    for one in (True, False):
+        got = list(near.links_of_blocks(rows, one))
+        assert all(a < b and s == near.similarity(texts[a[0]].split(), texts[b[0]].split()) >= 0.8 for a, b, s in got)
+        group = {i: i for i in range(40)}
+        for a, b, _ in got:
+            group = {i: group[a[0]] if g == group[b[0]] else g for i, g in group.items()}
+        pairs = [(a, b) for a in range(40) for b in range(a) if one or (a + b) % 2]
+        links = [p for p in pairs if near.similarity(*(texts[i].split() for i in p))]
+        assert len(links) > 20 and all(group[a] == group[b] for a, b in links)
+
+
+def test_components_of_a_long_path(spark):
+    rng = random.Random(19)
+    nodes = [rng.randbytes(16) for _ in range(300)]
+    links = spark.createDataFrame(list(zip(nodes, nodes[1:])), "a binary, b binary")
+    assert {(bytes(r.node), bytes(r["class"])) for r in near.components(links).collect()} == {(n, min(nodes)) for n in nodes}
+
+
 def test_a_chain_is_one_class(spark):
     rng = random.Random(4)
     words, rows = text(rng, 100), []
