@@ -49,8 +49,8 @@ BITS, MANY = 1 << 15, 4
 #: Lengths of the runs that are counted before an alignment.
 COUNTED = (1, 2, 3)
 CACHED = 300_000
-#: Hash values of shingles held at a time.
-VALUES = 1 << 19
+#: Hash values of shingles held at a time, and words of texts whose runs are counted together.
+VALUES, TOGETHER = 1 << 19, 1 << 18
 #: Edits up to which diagonals are followed, at most; beyond, whole rows are aligned as bit vectors.
 BAND = 100
 
@@ -240,19 +240,42 @@ def few_pairs(rows: DataFrame) -> DataFrame:
     )
 
 
+def runs_together(ids: list[int], classes: list[int], runs: list[np.ndarray], most: int) -> list[pa.Array]:
+    """The columns ``run, n, low, high, ids`` of each run of these texts: how many hold it, the least and the largest
+    class of these, and their ids; no ids if they are more than ``most`` and of several classes."""
+    value = np.concatenate(runs)
+    order = np.argsort(value, kind="stable")
+    value, text = value[order], np.repeat(np.arange(len(runs)), [len(r) for r in runs])[order]
+    starts = np.flatnonzero(np.append(True, value[1:] != value[:-1]))
+    n = np.diff(np.append(starts, len(value)))
+    class_ = np.array(classes, np.int64)[text]
+    low, high = np.minimum.reduceat(class_, starts), np.maximum.reduceat(class_, starts)
+    named = (n <= most) | (low == high)
+    ends = np.cumsum(np.append(0, np.where(named, n, 0))).astype(np.int32)
+    of_run = pa.ListArray.from_arrays(ends, np.array(ids, np.int64)[text[np.repeat(named, n)]])
+    return [pa.array(value[starts].view(np.int64)), pa.array(n), pa.array(low), pa.array(high), of_run]
+
+
 def runs_of(held: DataFrame, size: int) -> DataFrame:
-    """``id, class, run``: the labelled runs of ``size`` words of the texts ``held``."""
-    schema = pa.schema([("id", pa.int64()), ("class", pa.int64()), ("runs", pa.list_(pa.int64()))])
+    """``run, n, low, high, ids``: the labelled runs of ``size`` words of the texts ``held``, as ``runs_together`` has
+    them for about ``TOGETHER`` words of texts at a time. Without ids a run is common, whatever other texts hold."""
+    names, most = ["run", "n", "low", "high", "ids"], COMMON
 
     def rows(incoming: Iterator[pa.RecordBatch]):
+        texts_: list[tuple[int, int, np.ndarray]] = []
+        taken = 0
         for batch in incoming:
             for id_, class_, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                yield id_, class_, labelled_runs(hashed(words_of(text.as_py())), size).view(np.int64)
-
-    return (
-        held.select("id", "class", "text")
-        .mapInArrow(lambda incoming: batches(rows(incoming), schema), "id bigint, class bigint, runs array<bigint>")
-        .select("id", "class", F.explode("runs").alias("run"))
+                texts_.append((id_, class_, labelled_runs(hashed(words_of(text.as_py())), size)))
+                taken += len(texts_[-1][2])
+                if taken >= TOGETHER:
+                    yield pa.RecordBatch.from_arrays(runs_together(*zip(*texts_), most), names)
+                    texts_, taken = [], 0
+        if texts_:
+            yield pa.RecordBatch.from_arrays(runs_together(*zip(*texts_), most), names)
+
+    return held.select("id", "class", "text").mapInArrow(
+        rows, "run bigint, n bigint, low bigint, high bigint, ids array<bigint>"
     )
 
 
@@ -296,19 +319,26 @@ def rare_pairs(held: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
 
 
 def shared_runs(runs: DataFrame) -> DataFrame:
-    """Of ``id, class, run``: ``known``, the runs of a text that 2 to ``COMMON`` texts of several classes hold,
-    with how many, fewest first; and ``own``, how many runs of a text no other class holds. What is left of its
-    runs is common. The runs are shuffled once; those of one hash stay on disk where they don't fit."""
+    """Of ``run, n, low, high, ids`` (``runs_of``), for each ``id``: ``known``, the runs of the text that 2 to
+    ``COMMON`` texts of several classes hold, with how many, fewest first; and ``own``, how many runs of the text no
+    other class holds. What is left of its runs is common. The runs are shuffled once; those of one hash stay on disk
+    where they don't fit."""
     of_run = Window.partitionBy("run")
     met = runs.select(
-        "id",
+        "ids",
         "run",
-        F.count("*").over(of_run).alias("often"),
-        (F.min("class").over(of_run) != F.max("class").over(of_run)).alias("several"),
+        F.sum("n").over(of_run).alias("often"),
+        (F.min("low").over(of_run) != F.max("high").over(of_run)).alias("several"),
     ).where((F.col("often") <= COMMON) | ~F.col("several"))
     known = F.when(F.col("several"), F.struct("often", "run"))
-    return met.groupBy("id").agg(
-        F.sort_array(F.collect_list(known)).alias("known"), F.count_if(~F.col("several")).alias("own")
+    # The runs that the same texts hold go on together.
+    of_texts = met.groupBy("ids").agg(
+        F.collect_list(known).alias("known"), F.count_if(~F.col("several")).alias("own")
+    )
+    return (
+        of_texts.select(F.explode("ids").alias("id"), "known", "own")
+        .groupBy("id")
+        .agg(F.sort_array(F.flatten(F.collect_list("known"))).alias("known"), F.sum("own").alias("own"))
     )
 
 
@@ -603,10 +633,43 @@ def aligned(pairs: DataFrame, of_node: DataFrame) -> DataFrame:
 # -- classes -----------------------------------------------------------------
 
 
+def contracted(links: DataFrame) -> DataFrame:
+    """Links ``a, b`` that connect the same nodes as these of a written table: those that lie together, up to
+    ``CACHED`` nodes at a time, become links of each node to the least one that they connect it with. A task takes
+    about ``CACHED`` links, however many partitions they lie in."""
+    schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+
+    def rows(incoming: Iterator[pa.RecordBatch]):
+        parent: dict[bytes, bytes] = {}
+
+        def root(x: bytes) -> bytes:
+            while (up := parent.setdefault(x, x)) != x:
+                parent[x] = x = parent[up]
+            return x
+
+        for batch in incoming:
+            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                a, b = root(a), root(b)
+                parent[max(a, b)] = min(a, b)
+                if len(parent) >= CACHED:
+                    yield from ((x, root(x)) for x in list(parent) if root(x) != x)
+                    parent.clear()
+        yield from ((x, root(x)) for x in list(parent) if root(x) != x)
+
+    tasks = max(1, -(-links.count() // CACHED))
+    return (
+        links.select("a", "b")
+        .coalesce(tasks)
+        .mapInArrow(lambda incoming: batches(rows(incoming), schema, 4096), "a binary, b binary")
+    )
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node, class`` of every node of the links: the least node it is connected with. In each round all nodes of a
-    label take the least label next to any of them, then the label of that label, until none changes."""
-    both = saved(links.select("a", "b").union(links.select("b", "a")).distinct())
+    label take the least label next to any of them, then the label of that label, until none changes. Links that lie
+    together are contracted first, which leaves few rounds."""
+    links = contracted(saved(links.select("a", "b").where("a != b").distinct()))
+    both = saved(links.union(links.select("b", "a")).distinct())
     labels = saved(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("class")))
     while True:
         near = (

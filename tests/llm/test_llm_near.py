@@ -153,6 +153,52 @@ def test_pairs_of_few_words_behind_a_passage(spark):
     assert len(set(got.values())) == 1000
 
 
+def test_runs_of_many_texts_are_one_row_for_those_that_lie_together(spark, monkeypatch):
+    rng = random.Random(11)
+    passage = [f"p{k}" for k in range(30)]
+    rows = []
+    for k in range(200):
+        own = rng.choices([f"w{x}" for x in range(400)], k=12)
+        rows.append((k, k // 3, " ".join(passage + own + (["twice"] * 3 if k % 5 else []))))
+    held = spark.createDataFrame(rows, "id bigint, class bigint, text string").repartition(2).localCheckpoint()
+    holders = defaultdict(set)
+    for id_, class_, text in rows:
+        for run in near.labelled_runs(near.hashed(near.words_of(text)), 2).view(np.int64).tolist():
+            holders[run].add((id_, class_))
+    several = {r: len({c for _, c in h}) > 1 for r, h in holders.items()}
+    for most in (50, 3, 300):
+        monkeypatch.setattr(near, "COMMON", most)
+        want_known, want_own = defaultdict(list), Counter()
+        for run, texts in holders.items():
+            for id_, _ in texts:
+                if not several[run]:
+                    want_own[id_] += 1
+                elif len(texts) <= most:
+                    want_known[id_].append((len(texts), run))
+        runs = near.runs_of(held, 2)
+        got = {r.id: r for r in near.shared_runs(runs).collect()}
+        assert {k: [tuple(x) for x in r.known] for k, r in got.items() if r.known} == {
+            k: sorted(v) for k, v in want_known.items()
+        }
+        assert {k: r.own for k, r in got.items() if r.own} == want_own
+        assert runs.count() < sum(map(len, holders.values())) / 2
+
+
+def test_contracted_links_connect_the_same(spark):
+    rng = random.Random(12)
+    pairs = [tuple(rng.sample(range(300), 2)) for _ in range(600)]
+    node = lambda k: f"{k:04d}".encode()
+    links = spark.createDataFrame([(node(a), node(b)) for a, b in pairs], "a binary, b binary").repartition(2)
+    parent = {k: k for pair in pairs for k in pair}
+    for _ in parent:
+        for a, b in pairs:
+            parent[a] = parent[b] = min(parent[a], parent[b])
+    got = near.contracted(links)
+    assert got.count() < len(pairs) and got.where("a <= b").count() == 0
+    for found in (near.components(got), near.components(links)):
+        assert {bytes(r.node): bytes(r["class"]) for r in found.collect()} == {node(k): node(v) for k, v in parent.items()}
+
+
 def test_texts_of_common_words_alone(spark, monkeypatch):
     """No run of words is rare, whatever its length, so blocks of texts are compared; every link counts."""
     monkeypatch.setattr(near, "COMMON", 1)
