@@ -77,3 +77,26 @@ def test_an_object_is_told_without_a_schema_of_its_values(spark):
     rejected = readers.decode_mixed(feed).rejected
     assert sorted(r.data or "" for r in rejected.collect()) == sorted(t or "" for t in texts if t not in texts[1:8:6])
     assert "schema_of_variant" not in rejected._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_text_landing_is_compressed_in_many_files(spark, monkeypatch):
+    monkeypatch.setattr(landing, "TEXT_RECORDS", 100)
+    land = landing.Landing(spark, "/root/testdata/sf0.001")
+    texts = spark.read.text(land.path("json"))
+    files = texts.inputFiles()
+    assert files and all(f.endswith(".gz") for f in files)
+    assert texts.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0] <= 100
+    want = landing.json_lines(land.envelopes())
+    assert texts.exceptAll(want).isEmpty() and want.exceptAll(texts).isEmpty()
+
+
+def test_envelopes_are_built_in_partitions_by_size(spark, monkeypatch):
+    sf_dir, before = "/root/testdata/sf0.001", spark.conf.get("spark.sql.shuffle.partitions")
+    want = landing.Landing(spark, sf_dir).envelopes()
+    total = landing.file_bytes(spark, f"{sf_dir}/lineitem.parquet")
+    monkeypatch.setattr(landing, "LINE_BYTES", -(-total // 23))
+    got = landing.Landing(spark, sf_dir).envelopes()
+    assert len(got.inputFiles()) == 23
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled") == "true"
