@@ -1,0 +1,105 @@
+"""Merges of items whose ids are made behind the shuffle, and the one pass of a merge that is followed."""
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from parcelflow.operators import merge as merges
+from parcelflow.operators.merge import items_merge
+from parcelflow.operators.projections import item_rows
+from parcelflow.operators.status import status_changes
+from parcelflow.schemas import ENVELOPE, ORDER_ITEMS
+from parcelflow.sources.snapshots import SnapshotTable
+
+
+def envelopes(spark, *orders):
+    """Envelopes of (event, order, number of items), with two packages an item."""
+    rows = spark.createDataFrame(list(orders), "event_id string, order_id string, n int")
+    package = "named_struct('package_id', concat('pkg-', i), 'subpackage_id', {0}, 'quantity', 1L, 'weight', 1D, 'volume', 2D)"
+    items = f"""transform(filter(sequence(0, n), x -> x < n), i -> named_struct('product_id', concat('prd-', i),
+        'product_name', 'nut', 'price', 1.5D, 'quantity', 2L, 'packages', array({package.format(1)}, {package.format(2)})))"""
+    rows = rows.withColumn("order_details", F.struct(F.expr(items).alias("items")))
+    text = F.to_json(F.struct("event_id", "order_id", "order_details"))
+    return rows.select(F.from_json(text, ENVELOPE).alias("e")).select("e.*")
+
+
+STORED = [("e1", "o1", 40), ("e2", "o1", 3), (None, "o2", 2), ("e3", None, 2), ("old", "o3", 2), ("e4", "o4", 70)]
+BATCH = [("e1", "o1", 40), (None, "o2", 1), ("e3", None, 2), ("new", "o3", 2), ("e4", "o4", 50), ("e9", "o9", 1)]
+
+
+def table(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+@pytest.fixture
+def sides(spark):
+    return envelopes(spark, *STORED), envelopes(spark, *BATCH)
+
+
+@pytest.mark.parametrize("pieces", [None, 7])
+def test_placed_items_merge_like_items_with_ids(spark, sides, pieces):
+    stored, batch = sides
+    plain = items_merge(item_rows(stored), item_rows(batch))
+    assert sum(r[-1] == "PROCESSING" for r in table(plain.rows())) == 2 * (40 + 1 + 50)
+    both = items_merge(item_rows(stored, placed=True), item_rows(batch, placed=True), partitions=pieces)
+    late = items_merge(item_rows(stored), item_rows(batch, placed=True), partitions=pieces)
+    for merge in (both, late):
+        assert table(merge.rows()) == table(plain.rows())
+        assert merge.rows().columns == plain.rows().columns
+        assert table(status_changes(merge)) == table(status_changes(plain))
+        assert table(merge.source_keys) == table(plain.source_keys)
+
+
+def test_placed_items_are_shuffled_once_and_without_ids(spark, sides):
+    stored, batch = sides
+    both = items_merge(item_rows(stored, placed=True), item_rows(batch, placed=True), partitions=7)
+    plan = both.rows()._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 2 and plan.count(", 7)") == 2
+    assert plan.index("sha2") < plan.index("Join") and plan.count("sha2(") == 1
+    late = items_merge(item_rows(stored), item_rows(batch, placed=True), partitions=7)
+    with merges.dealt_by_some(spark):
+        plan = late.rows()._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 2 and plan.count(", 7)") == 2
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
+
+
+def test_twice_the_same_place_is_an_error(spark, sides):
+    stored, batch = sides
+    twice = batch.unionAll(batch.where("order_id = 'o1'"))
+    for target in (item_rows(stored), item_rows(stored, placed=True)):
+        with pytest.raises(PySparkException, match="several source rows match one target row"):
+            items_merge(target, item_rows(twice, placed=True)).rows().collect()
+    # Without a target row it is none.
+    absent = items_merge(item_rows(stored.where("order_id = 'o4'")), item_rows(twice, placed=True))
+    assert absent.rows().count() == 140
+
+
+def test_a_long_order_is_many_tasks_work(spark):
+    one = envelopes(spark, ("e", "o", 2000))
+    for merge in (
+        items_merge(item_rows(one, placed=True), item_rows(one, placed=True), partitions=8),
+        items_merge(item_rows(one), item_rows(one, placed=True), partitions=8),
+    ):
+        with merges.dealt_by_some(spark):
+            rows = merge.rows()
+            sizes = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 4000 and max(sizes) < 2000
+        assert rows.where("status = 'PROCESSING'").count() == 4000
+
+
+def test_what_follows_a_merge_reads_what_it_wrote(spark, tmp_path, sides):
+    """The join used to run once for the change rows and once more for the table."""
+    stored, batch = sides
+    items = SnapshotTable(spark, str(tmp_path / "items"), ORDER_ITEMS)
+    items.append(item_rows(stored), "load", 0)
+    want = items_merge(items.read(), item_rows(batch))
+    rows, changed, seen = table(want.rows()), table(status_changes(want)), []
+
+    def before(merge):
+        assert table(items.read()) == table(item_rows(stored))
+        seen.append(table(status_changes(merge)))
+        assert "Join" not in merge.changed()._jdf.queryExecution().optimizedPlan().toString()
+
+    assert items.merge(items_merge, item_rows(batch, placed=True), "feed", 0, before=before)
+    assert seen == [changed] and changed and table(items.read()) == rows
+    assert not items.merge(items_merge, item_rows(batch, placed=True), "feed", 0, before=before)
