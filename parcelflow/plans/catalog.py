@@ -31,6 +31,7 @@ from parcelflow.operators.merge import (
 from parcelflow.operators.projections import (
     flat_orders,
     flat_orders_v1,
+    item_id,
     item_quantities,
     item_review,
     item_rows,
@@ -1008,11 +1009,13 @@ def change_feed_stock(spark, sf_dir):
 @_query
 def routed_messages(spark, sf_dir):
     """Messages of items by order, in partitions, numbered in order of time."""
-    items = item_rows(landing(spark, sf_dir).envelopes())
-    sent = items.select(
+    land = landing(spark, sf_dir)
+    sent = item_rows(land.envelopes(), placed=True).select(
         F.col("order_id").alias("partitionKey"), "inventory_id", "order_timestamp", "items_quantity"
     )
-    return routing.routed(sent, PARTITIONS, ["order_timestamp", "partitionKey", "inventory_id"])
+    ids = {"inventory_id": item_id(F.col("partitionKey"), F.col("inventory_id"))}
+    order = ["order_timestamp", "partitionKey", "inventory_id"]
+    return routing.routed(sent, PARTITIONS, order, late=ids, ranges=land.partitions("envelopes"))
 
 
 def _mixed(spark, sf_dir) -> readers.Mixed:

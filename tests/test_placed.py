@@ -5,8 +5,9 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from parcelflow.operators import merge as merges
+from parcelflow.operators import routing
 from parcelflow.operators.merge import items_merge
-from parcelflow.operators.projections import item_rows
+from parcelflow.operators.projections import item_id, item_rows
 from parcelflow.operators.status import status_changes
 from parcelflow.schemas import ENVELOPE, ORDER_ITEMS
 from parcelflow.sources.snapshots import SnapshotTable
@@ -103,3 +104,23 @@ def test_what_follows_a_merge_reads_what_it_wrote(spark, tmp_path, sides):
     assert items.merge(items_merge, item_rows(batch, placed=True), "feed", 0, before=before)
     assert seen == [changed] and changed and table(items.read()) == rows
     assert not items.merge(items_merge, item_rows(batch, placed=True), "feed", 0, before=before)
+
+
+def test_routed_ids_are_made_behind_the_shuffle(spark, sides):
+    stored, _ = sides
+    key = F.col("order_id").alias("partitionKey")
+    order = ["order_timestamp", "partitionKey", "inventory_id"]
+    sent = [item_rows(stored, placed=p).select(key, "inventory_id", "order_timestamp") for p in (False, True)]
+    ids = {"inventory_id": item_id(F.col("partitionKey"), F.col("inventory_id"))}
+    plain = routing.routed(sent[0], 3, order)
+    late = routing.routed(sent[1], 3, order, late=ids, ranges=9)
+    assert late.columns == plain.columns and table(late) == table(plain)
+    assert len(late.inputFiles()) > 4
+    # Rows are shuffled into their ranges and not again to be numbered.
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = late.select("*")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
