@@ -7,6 +7,6 @@ from parcelflow.functions.columns import (
     time_slot,
     unpacked_id,
 )
-from parcelflow.functions.rows import numbered
+from parcelflow.functions.rows import hashed_if_large, is_large, numbered
 
-__all__ = ["now", "numbered", "packed_id", "prefixed_hash", "prefixed_uuid", "row_payload", "time_slot", "unpacked_id"]
+__all__ = ["hashed_if_large", "is_large", "now", "numbered", "packed_id", "prefixed_hash", "prefixed_uuid", "row_payload", "time_slot", "unpacked_id"]
