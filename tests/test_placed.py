@@ -4,13 +4,14 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from parcelflow.operators import joins, routing
 from parcelflow.operators import merge as merges
-from parcelflow.operators import routing
 from parcelflow.operators.merge import items_merge
-from parcelflow.operators.projections import item_id, item_rows
+from parcelflow.operators.projections import item_id, item_rows, item_rows_v1
 from parcelflow.operators.status import status_changes
-from parcelflow.schemas import ENVELOPE, ORDER_ITEMS
+from parcelflow.schemas import ENVELOPE, ORDER_ITEMS, PRODUCTS
 from parcelflow.sources.snapshots import SnapshotTable
+from parcelflow.streaming import large_state
 
 
 def envelopes(spark, *orders):
@@ -124,3 +125,17 @@ def test_routed_ids_are_made_behind_the_shuffle(spark, sides):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_older_items_join_products_by_their_place(spark, sides):
+    older = envelopes(spark, *STORED)
+    products = spark.createDataFrame([("prd-1", 9, True, None)], PRODUCTS)
+    plain, late = (joins.stock_outcome(item_rows_v1(older, placed=p), products) for p in (False, True))
+    assert late.columns == plain.columns and table(late) == table(plain)
+
+
+def test_large_state_is_kept_in_zstd(spark):
+    keys = [f"spark.sql.streaming.stateStore.{k}" for k in ("compression.codec", "rocksdb.compression")]
+    with large_state(spark):
+        assert [spark.conf.get(k) for k in keys] == ["zstd", "zstd"]
+    assert [spark.conf.get(k, "lz4") for k in keys] == ["lz4", "lz4"]
