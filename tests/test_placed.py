@@ -139,3 +139,11 @@ def test_large_state_is_kept_in_zstd(spark):
     with large_state(spark):
         assert [spark.conf.get(k) for k in keys] == ["zstd", "zstd"]
     assert [spark.conf.get(k, "lz4") for k in keys] == ["lz4", "lz4"]
+
+
+def test_state_rows_are_counted_where_they_are_looked_at(spark):
+    key = "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"
+    for options, wanted in (({}, "true"), ({"counted": False}, "false")):
+        with large_state(spark, **options):
+            assert spark.conf.get(key) == wanted
+    assert spark.conf.get(key, "true") == "true"
