@@ -9,12 +9,12 @@ from parcelflow.operators import merge as merges
 from parcelflow.operators.merge import items_merge
 from parcelflow.operators.projections import item_id, item_rows, item_rows_v1
 from parcelflow.operators.status import status_changes
-from parcelflow.schemas import ENVELOPE, ORDER_ITEMS, PRODUCTS
+from parcelflow.schemas import ENVELOPE, ENVELOPE_V1, ORDER_ITEMS, PRODUCTS
 from parcelflow.sources.snapshots import SnapshotTable
 from parcelflow.streaming import large_state
 
 
-def envelopes(spark, *orders):
+def envelopes(spark, *orders, schema=ENVELOPE):
     """Envelopes of (event, order, number of items), with two packages an item."""
     rows = spark.createDataFrame(list(orders), "event_id string, order_id string, n int")
     package = "named_struct('package_id', concat('pkg-', i), 'subpackage_id', {0}, 'quantity', 1L, 'weight', 1D, 'volume', 2D)"
@@ -22,7 +22,7 @@ def envelopes(spark, *orders):
         'product_name', 'nut', 'price', 1.5D, 'quantity', 2L, 'packages', array({package.format(1)}, {package.format(2)})))"""
     rows = rows.withColumn("order_details", F.struct(F.expr(items).alias("items")))
     text = F.to_json(F.struct("event_id", "order_id", "order_details"))
-    return rows.select(F.from_json(text, ENVELOPE).alias("e")).select("e.*")
+    return rows.select(F.from_json(text, schema).alias("e")).select("e.*")
 
 
 STORED = [("e1", "o1", 40), ("e2", "o1", 3), (None, "o2", 2), ("e3", None, 2), ("old", "o3", 2), ("e4", "o4", 70)]
@@ -128,7 +128,7 @@ def test_routed_ids_are_made_behind_the_shuffle(spark, sides):
 
 
 def test_older_items_join_products_by_their_place(spark, sides):
-    older = envelopes(spark, *STORED)
+    older = envelopes(spark, *STORED, schema=ENVELOPE_V1)
     products = spark.createDataFrame([("prd-1", 9, True, None)], PRODUCTS)
     plain, late = (joins.stock_outcome(item_rows_v1(older, placed=p), products) for p in (False, True))
     assert late.columns == plain.columns and table(late) == table(plain)
